@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskengine.constants import APPROVED, RULE_TEST_ACCOUNTS_LIKE
 from riskengine.functions.predicates import exclude_accounts, with_trigger
 from riskengine.functions.time import time_range, with_latency
-from riskengine.operators.joins import interval_join
+from riskengine.operators.joins import interval_join, salted_join
 from riskengine.operators.prefix import exact_quantiles, hashed_rank, prefix_sums
 
 PERCENTILES = {"p50_ms": 0.50, "p90_ms": 0.90, "p95_ms": 0.95, "p99_ms": 0.99}
@@ -229,7 +229,8 @@ def auc_pr(labelled: DataFrame, score: str = "ml_score", ties: str = "score", ro
         "transaction_id", F.col(score).alias("score"), F.col("is_fraud").cast("long").alias("tp")
     )
     placed = hashed_rank(rows, ["score"], "transaction_id", measures=["tp"]).filter("tp = 1")
-    placed = placed.join(ranked.filter("pos > 0").select("score", "pos_before", "n_before"), "score")
+    starts = ranked.filter("pos > 0").select("score", "pos_before", "n_before")
+    placed = salted_join(placed, starts, "score", "inner", "transaction_id")
     precision = (F.col("pos_before") + F.col("tp_upto")) / (F.col("n_before") + F.col("rank"))
     return placed.agg((F.sum(precision) / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("auc_pr"))
 

@@ -8,7 +8,6 @@ import uuid
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -16,19 +15,23 @@ DEFAULTS = {
 }
 
 
+# Settings that results depend on: times are UTC, and a repeated JSON key takes its last value.
+REQUIRED = {"spark.sql.session.timeZone": "UTC", "spark.sql.variant.allowDuplicateKeys": "true"}
+
+
 def build_session(app: str = "riskengine", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULTS, **conf}.items():
+    for key, value in {**DEFAULTS, **REQUIRED, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Hours, dates and zone-less timestamps are read in UTC everywhere."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> None:
+    for key, value in REQUIRED.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskengine.constants import DOMESTIC_LOCATIONS, FOREIGN_LOCATIONS
-from riskengine.session import use_utc
+from riskengine.session import prepare
 
 BASE_US = 1_704_067_200_000_000  # 2024-01-01T00:00:00Z
 SPAN_US = 108_000_000_000  # 30 days, compressed
@@ -17,7 +17,7 @@ _names = lambda values: "array(" + ", ".join(f"'{v}'" for v in values) + ")"  #
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    use_utc(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
