@@ -199,6 +199,9 @@ def replay_features(df: DataFrame, slice_s: int = SLICE_S) -> DataFrame:
     """As the model validation replays them: all history averaged, figures rounded."""
     location = F.col("location_name")
     columns = _columns(REPLAY, F.coalesce(F.col("_home") == location, F.lit(False)), is_domestic(location))
-    rounding = {"avg_amount_24h": 2, "log_amount_ratio_24h": 6, "time_since_last_tx_sec": 1}
-    columns = {name: F.round(c, rounding[name]) if name in rounding else c for name, c in columns.items()}
+    # The mean is rounded as the fraction it is: halves go up whatever its nearest double.
+    cents = F.expr("(200 * _sum24 + _n24) div (2 * _n24)") / 100.0
+    columns["avg_amount_24h"] = F.when(F.col("_n24") > 0, cents).otherwise(F.col("amount").cast("double"))
+    columns["log_amount_ratio_24h"] = F.round(columns["log_amount_ratio_24h"], 6)
+    columns["time_since_last_tx_sec"] = F.round(columns["time_since_last_tx_sec"], 1)
     return _finish(rolling(df, REPLAY, slice_s=slice_s), df.columns, columns, False)

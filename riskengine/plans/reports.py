@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskengine.constants import APPROVED, RULE_TEST_ACCOUNTS_LIKE
@@ -106,14 +106,25 @@ def top_slowest(decisions: DataFrame, n: int = 20) -> DataFrame:
 def rule_propagation_latency(rules: DataFrame, decisions: DataFrame) -> DataFrame:
     """From sending an account rule to the first BLOCK of a transaction produced after it.
 
-    ``rules`` has rule_id, account_id and sent_at. Rules that never blocked are left out.
+    ``rules`` has rule_id, account_id and sent_at. Rules that never blocked are left out. A block is matched only to
+    the latest sending before it; the least over the later sendings is then taken among the rules alone.
     """
-    blocks = decisions.filter("decision = 'BLOCK'").select("account_id", "produced_at", "decided_at")
+    blocks = decisions.filter("decision = 'BLOCK'").select("transaction_id", "account_id", "produced_at", "decided_at")
+    sendings = rules.groupBy("account_id").agg(F.collect_set("sent_at").alias("_sent"))
+    latest = F.array_max(F.filter("_sent", lambda s: s <= F.col("produced_at")))
+    firsts = (
+        salted_join(blocks, sendings, "account_id", "inner", "transaction_id")
+        .select("account_id", latest.alias("sent_at"), "decided_at")
+        .filter(F.col("sent_at").isNotNull())
+        .groupBy("account_id", "sent_at")
+        .agg(F.min("decided_at").alias("_first"))
+    )
+    later = Window.partitionBy("account_id").orderBy(F.desc("sent_at"))
     return (
-        rules.join(blocks, "account_id")
-        .filter("produced_at >= sent_at")
-        .groupBy("rule_id", "account_id", "sent_at")
-        .agg(F.min("decided_at").alias("first_block"))
+        rules.join(firsts, ["account_id", "sent_at"], "left")
+        .withColumn("first_block", F.min("_first").over(later))
+        .filter(F.col("first_block").isNotNull())
+        .drop("_first")
         .withColumn("latency_ms", F.unix_millis("first_block") - F.unix_millis("sent_at"))
     )
 
@@ -273,13 +284,18 @@ def classification_report(
     return out.select("*", *[(F.col(m) > targets[m]).alias(f"{m}_ok") for m in ("precision", "recall", "f1")])
 
 
-def errors(labelled: DataFrame, kind: str) -> DataFrame:
-    """Missed fraud (``fn``) or false alarms (``fp``)."""
-    return labelled.filter(F.col("is_fraud") & ~_caught() if kind == "fn" else ~F.col("is_fraud") & _caught())
+def errors(labelled: DataFrame) -> DataFrame:
+    """The wrongly decided rows, with ``kind``: missed fraud (``fn``) or false alarm (``fp``)."""
+    wrong = F.col("is_fraud") != _caught()
+    return labelled.filter(wrong).withColumn("kind", F.when(F.col("is_fraud"), "fn").otherwise("fp"))
+
+
+def missed(labelled: DataFrame) -> DataFrame:
+    return labelled.filter(F.col("is_fraud") & ~_caught())
 
 
 def missed_by_pattern(labelled: DataFrame) -> DataFrame:
     return (
-        errors(labelled, "fn").groupBy("fraud_pattern").agg(F.count(F.lit(1)).alias("n"))
+        missed(labelled).groupBy("fraud_pattern").agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "fraud_pattern")
     )

@@ -106,12 +106,21 @@ RULE_FIELDS = (
 )
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once per row however often they are used.
+
+    Catalyst would copy their expressions into every use, a filter above included; a generator of one row holds them
+    in place.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def _parse(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    df = raw.withColumn("_doc", F.try_parse_json("value")).withColumn(
-        "_keys", F.when(F.schema_of_variant("_doc").startswith("OBJECT"), F.json_object_keys("value"))
-    )
+    df = _once(raw, _doc=F.try_parse_json("value"))
     types = [F.schema_of_variant(F.try_variant_get("_doc", f"$.{f.name}", "variant")).alias(f.name) for f in fields]
-    df = df.withColumn("_types", F.struct(*types))
+    keys = F.when(F.schema_of_variant("_doc").startswith("OBJECT"), F.json_object_keys("value"))
+    df = _once(df, _keys=keys, _types=F.struct(*types))
     known = F.array(*[F.lit(f.name) for f in fields])
     extra = F.transform(F.array_except("_keys", known), lambda k: F.concat(k, F.lit(": not allowed")))
     found = F.concat(F.array_compact(F.array(*reduce(lambda a, f: a + f.errors(), fields, []))), extra)
@@ -120,7 +129,7 @@ def _parse(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
         .when(F.col("_keys").isNull(), F.array(F.lit("must be an object")))
         .otherwise(found)
     )
-    df = df.withColumn("errors", errors)
+    df = _once(df, errors=errors)
     good = F.size("errors") == 0
     columns = [F.when(good, f.value()).alias(f"_v_{f.name}") for f in fields]
     out = df.select(*raw.columns, "errors", *columns)

@@ -106,7 +106,7 @@ def rule_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
             "ELSE 2000 + s_suppkey % 50 END"
         ).alias("threshold"),
         F.expr(
-            "CASE WHEN s_nationkey % 5 < 3 THEN concat('ACC_', lpad(CAST(s_suppkey * 13 % 1500 AS STRING), 5, '0')) END"
+            "CASE WHEN s_nationkey % 5 < 3 THEN concat('ACC_', lpad(CAST(s_suppkey * 13 % 150 AS STRING), 5, '0')) END"
         ).alias("value"),
         F.expr("CASE WHEN s_suppkey % 3 = 0 THEN 'ALERT' ELSE 'BLOCK' END").alias("action"),
         F.expr("s_suppkey % 4 <> 0").alias("enabled"),
@@ -121,3 +121,53 @@ def load_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     busy = transactions(spark, sf_dir).groupBy(hour.alias("start")).agg(F.count(F.lit(1)).alias("tps"))
     idle = busy.agg(F.timestamp_add("HOUR", F.lit(1), F.max("start")).alias("start"), F.lit(0).cast("long").alias("tps"))
     return busy.unionByName(idle).select("tps", "start", F.timestamp_add("MINUTE", F.lit(40), "start").alias("end"))
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transaction as a JSON message; the event's number decides what, if anything, is wrong with it."""
+    tx = transactions(spark, sf_dir).withColumn("id", F.col("transaction_id").cast("long"))
+    iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    h = F.md5("transaction_id")
+    uuid = F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    kind = F.col("id") % 13
+
+    def text(name, value):
+        return F.concat(F.lit(f'"{name}":"'), value, F.lit('"'))
+
+    amount = F.concat(F.col("amount").cast("string"), F.when(F.col("id") % 4 == 0, ".75").otherwise(""))
+    parts = [
+        text("transaction_id", F.when(kind == 8, F.substring(uuid, 1, 20)).otherwise(uuid)),
+        text("produced_at", iso("produced_at")),
+        text("event_time", F.when(kind == 7, F.lit("yesterday")).otherwise(iso("event_time"))),
+        text("account_id", F.when(kind == 2, F.concat(F.lit("X"), "account_id")).otherwise(F.col("account_id"))),
+        F.when(kind == 9, F.lit('"card_id":"CARD"')).when(kind != 4, text("card_id", F.col("card_id"))),
+        F.concat(F.lit('"amount":'), F.when(kind == 5, F.concat(F.lit('"'), amount, F.lit('"'))).otherwise(amount)),
+        text("channel", F.when(kind == 3, F.lit("WEB")).otherwise(F.col("channel"))),
+        text("location_name", F.col("location_name")),
+        F.when(kind == 6, F.lit('"status":null')).when(kind == 9, F.lit('"status":"approved"')).otherwise(text("status", F.col("status"))),
+        F.when(kind == 1, F.lit('"is_fraud":true')),
+    ]
+    body = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    value = F.when(kind == 0, F.expr("substr(body, 1, length(body) - 1)")).when(
+        kind == 10, F.concat(F.lit("["), "body", F.lit("]"))
+    ).otherwise(F.col("body"))
+    return tx.withColumn("body", body).select(
+        value.alias("value"), F.lit("transactions").alias("topic"), (F.col("id") % 10).cast("int").alias("partition"),
+        F.col("id").alias("offset"),
+    )
+
+
+def rule_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rule message per part; size and key decide its operands and its faults."""
+    p = table(spark, sf_dir, "part")
+    return p.select(
+        F.expr(
+            """concat('{"rule_id":"R', p_size, '","field":"', element_at(array('amount', 'account_id', 'channel'),
+            CAST(p_partkey % 3 AS INT) + 1), '","operator":"', element_at(array('GT', 'GTE', 'LT', 'LTE', 'EQ', 'NEQ', 'IN'),
+            CAST(p_partkey % 7 AS INT) + 1), '"', CASE p_partkey % 5 WHEN 0 THEN concat(',"threshold":', p_size, '000')
+            WHEN 1 THEN concat(',"threshold":', p_size, '.5') WHEN 2 THEN concat(',"value":"ACC_000', p_size, '"') ELSE '' END,
+            ',"action":"', CASE WHEN p_partkey % 11 = 0 THEN 'LOG' WHEN p_partkey % 2 = 0 THEN 'BLOCK' ELSE 'ALERT' END,
+            CASE WHEN p_partkey % 17 = 0 THEN '"}' ELSE concat('","enabled":', CASE WHEN p_partkey % 4 = 0 THEN 'false' ELSE 'true' END, '}') END)"""
+        ).alias("value"),
+        F.lit("rules-updates").alias("topic"), F.lit(0).alias("partition"), F.col("p_partkey").alias("offset"),
+    )
