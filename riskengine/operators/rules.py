@@ -7,17 +7,18 @@ pass through without being shuffled or multiplied. The first match is the one wi
 
 from __future__ import annotations
 
-from functools import reduce
+import operator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskengine.constants import BLOCK
+from riskengine.constants import ALERT, BLOCK
 from riskengine.functions.predicates import action_status, rule_matches
 from riskengine.functions.time import bucket
 from riskengine.operators.dedup import latest_by_key
 
 INLINE_RULES = 64
+_HIT = "struct<rank:int,rule_id:string,status:string>"
 
 
 def active_rules(updates: DataFrame) -> DataFrame:
@@ -46,24 +47,36 @@ def _finish(df: DataFrame) -> DataFrame:
     )
 
 
-def _inline(rules: list, prefer_block: bool) -> Column:
-    """Few rules become one expression, compiled with the rest of the stage."""
-    if prefer_block:
-        rules = sorted(rules, key=lambda r: (r.action != BLOCK, r.rule_id))
-    else:
-        rules = sorted(rules, key=lambda r: r.rule_id)
-
-    def test(rule) -> Column:
-        return rule_matches(
-            F.lit(rule.field), F.lit(rule.operator), F.lit(rule.threshold).cast("long"), F.lit(rule.value)
-        )
+# A rule known when the plan is made needs only its one comparison.
+_COMPARE = {
+    "GT": operator.gt, "GTE": operator.ge, "LT": operator.lt, "LTE": operator.le, "EQ": operator.eq, "NEQ": operator.ne,
+}
 
-    no_hit = F.lit(None).cast("struct<rank:int,rule_id:string,status:string>")
-    return reduce(
-        lambda rest, rule: F.when(test(rule), _hit(prefer_block, F.lit(rule.rule_id), F.lit(rule.action))).otherwise(rest),
-        reversed(rules),
-        no_hit,
-    )
+
+def _test(rule) -> Column | None:
+    """The rule as a predicate, or None if it can never match."""
+    if rule.field == "amount" and rule.operator in _COMPARE:
+        return _COMPARE[rule.operator](F.col("amount"), rule.threshold or 0)
+    if rule.field == "account_id" and rule.operator in ("EQ", "NEQ") and rule.value is not None:
+        return _COMPARE[rule.operator](F.col("account_id"), rule.value)
+    return None
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _inline(rules: list, prefer_block: bool) -> Column:
+    """Few rules become one CASE expression, compiled with the rest of the stage."""
+    chain = F
+    for rule in sorted(rules, key=lambda r: (prefer_block and r.action != BLOCK, r.rule_id)):
+        test = _test(rule)
+        if test is not None:
+            rank = int(prefer_block and rule.action != BLOCK)
+            status = BLOCK if rule.action == BLOCK else ALERT
+            hit = f"named_struct('rank', {rank}, 'rule_id', {_quoted(rule.rule_id)}, 'status', '{status}')"
+            chain = chain.when(test, F.expr(hit))
+    return F.lit(None).cast(_HIT) if chain is F else chain
 
 
 def _without_useless(rules: DataFrame, prefer_block: bool) -> DataFrame:
@@ -161,7 +174,7 @@ def apply_rules_asof(
         .withColumn("_to", F.expr(f"(valid_to - 1 - pmod(valid_to - 1, {width}L)) div {width}L"))
     )
     span = updates.agg(F.min(F.unix_micros("updated_at")).alias("lo"), F.max(F.unix_micros("updated_at")).alias("hi")).first()
-    no_hit = F.lit(None).cast("struct<rank:int,rule_id:string,status:string>")
+    no_hit = F.lit(None).cast(_HIT)
     if span.lo is None:
         return _finish(tx.withColumn("_hit", no_hit))
     last = span.hi // width

@@ -1,14 +1,14 @@
 """From raw JSON messages to checked, typed rows.
 
-A message is parsed once into a variant; every check is an expression on it. ``errors`` lists all that is wrong, in
-the order of the fields, and a row with any error has null columns.
+A message is read once into a struct. Properties with a pattern or a list of values are read as text, since no number
+or flag can pass for one; the others keep their JSON type. ``errors`` lists all that is wrong, in the order of the
+fields, and a row with any error has null columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +17,8 @@ from riskengine import constants as C
 
 _UUID = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 _DATE_TIME = "^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})$"
-_INTEGRAL = "decimal(38,9)"
-_LONG_MAX = "9223372036854775807"
+_NUMBER = "decimal(38,9)"
+_LONG_MAX = float(2**63 - 1)
 
 
 @dataclass(frozen=True)
@@ -35,50 +35,57 @@ class Field:
     def json_type(self) -> str:
         return "string" if self.kind in ("uuid", "date-time") else self.kind
 
+    @property
+    def keeps_type(self) -> bool:
+        return self.kind in ("string", "number", "integer", "boolean") and not (self.pattern or self.values)
+
+    def read(self) -> list[Column]:
+        """The property's text and, where it matters, its type."""
+        raw = F.col(f"_doc.{self.name}")
+        if not self.keeps_type:
+            return [raw.alias(self.name)]
+        return [
+            F.try_variant_get(raw, "$", "string").alias(self.name),
+            F.schema_of_variant(raw).alias(f"{self.name}_type"),
+        ]
+
     @property
     def text(self) -> Column:
-        return F.try_variant_get("_doc", f"$.{self.name}", "string")
-
-    def errors(self) -> list[Column]:
-        present = F.array_contains("_keys", self.name)
-        found = F.col(f"_types.{self.name}")
-        numeric = found.rlike("^(BIGINT|DECIMAL|DOUBLE)")
-        typed = {
-            "string": found == "STRING",
-            "number": numeric,
-            "integer": numeric,
-            "boolean": found == "BOOLEAN",
-        }[self.json_type]
-        tests = []
+        return F.col(f"_text.{self.name}")
+
+    def error(self) -> Column:
+        """What is wrong with the property, or null."""
+        text, wrong_type = self.text, f"{self.name}: must be of type {self.json_type}"
+        absent = F.when(F.array_contains("_keys", self.name), wrong_type)
         if self.required:
-            tests.append((~present, f"{self.name}: required but missing"))
-        tests.append((present & ~typed, f"{self.name}: must be of type {self.json_type}"))
-        ok = present & typed
-        if self.json_type in ("number", "integer"):
-            value = F.try_variant_get("_doc", f"$.{self.name}", _INTEGRAL)
-            size = F.abs(F.try_variant_get("_doc", f"$.{self.name}", "double"))
-            out_of_range = size > float(_LONG_MAX)
-            if self.kind == "integer":
-                tests.append((ok & (value != F.floor(value)), f"{self.name}: must be of type integer"))
-            tests.append((ok & out_of_range, f"{self.name}: out of range"))
+            absent = absent.otherwise(f"{self.name}: required but missing")
+        found = F.when(text.isNull(), absent)
+        if self.keeps_type:
+            json_type = {"string": "^STRING$", "boolean": "^BOOLEAN$"}.get(self.kind, "^(BIGINT|DECIMAL|DOUBLE)")
+            found = found.when(~F.col(f"_text.{self.name}_type").rlike(json_type), wrong_type)
+        if self.kind == "integer":
+            number = text.cast(_NUMBER)
+            found = found.when(number != F.floor(number), wrong_type)
+        if self.kind in ("number", "integer"):
+            found = found.when(F.abs(text.cast("double")) > _LONG_MAX, f"{self.name}: out of range")
         if self.pattern:
-            tests.append((ok & ~self.text.rlike(self.pattern), f"{self.name}: must match {self.pattern}"))
+            found = found.when(~text.rlike(self.pattern), f"{self.name}: must match {self.pattern}")
         if self.values:
-            tests.append((ok & ~self.text.isin(*self.values), f"{self.name}: must be one of {', '.join(self.values)}"))
+            found = found.when(~text.isin(*self.values), f"{self.name}: must be one of {', '.join(self.values)}")
         if self.kind == "uuid":
-            tests.append((ok & ~self.text.rlike(_UUID), f"{self.name}: must be a uuid"))
+            found = found.when(~text.rlike(_UUID), f"{self.name}: must be a uuid")
         if self.kind == "date-time":
-            bad = ~self.text.rlike(_DATE_TIME) | F.try_to_timestamp(F.upper(self.text)).isNull()
-            tests.append((ok & bad, f"{self.name}: must be a date-time"))
-        return [F.when(test, message) for test, message in tests]
+            time = F.when(text.rlike(_DATE_TIME), F.try_to_timestamp(F.upper(text)))
+            found = found.when(time.isNull(), f"{self.name}: must be a date-time")
+        return found
 
     def value(self) -> Column:
-        if self.json_type in ("number", "integer"):
+        if self.kind in ("number", "integer"):
             # Fractions are cut off, toward zero; a missing number is 0.
-            cut = F.try_variant_get("_doc", f"$.{self.name}", _INTEGRAL).cast("long")
-            return F.coalesce(cut, F.lit(0)) if not self.required else cut
+            cut = self.text.cast(_NUMBER).cast("long")
+            return cut if self.required else F.coalesce(cut, F.lit(0))
         if self.kind == "boolean":
-            return F.try_variant_get("_doc", f"$.{self.name}", "boolean")
+            return self.text.cast("boolean")
         if self.kind == "date-time":
             return F.try_to_timestamp(F.upper(self.text))
         return self.text
@@ -117,19 +124,15 @@ def _once(df: DataFrame, **columns: Column) -> DataFrame:
 
 
 def _parse(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    df = _once(raw, _doc=F.try_parse_json("value"))
-    types = [F.schema_of_variant(F.try_variant_get("_doc", f"$.{f.name}", "variant")).alias(f.name) for f in fields]
-    keys = F.when(F.schema_of_variant("_doc").startswith("OBJECT"), F.json_object_keys("value"))
-    df = _once(df, _keys=keys, _types=F.struct(*types))
+    schema = ", ".join(f"`{f.name}` {'VARIANT' if f.keeps_type else 'STRING'}" for f in fields)
+    df = _once(raw, _doc=F.from_json("value", schema), _keys=F.json_object_keys("value"))
+    df = _once(df, _text=F.struct(*[c for f in fields for c in f.read()]))
     known = F.array(*[F.lit(f.name) for f in fields])
     extra = F.transform(F.array_except("_keys", known), lambda k: F.concat(k, F.lit(": not allowed")))
-    found = F.concat(F.array_compact(F.array(*reduce(lambda a, f: a + f.errors(), fields, []))), extra)
-    errors = (
-        F.when(F.col("_doc").isNull(), F.array(F.lit("not valid JSON")))
-        .when(F.col("_keys").isNull(), F.array(F.lit("must be an object")))
-        .otherwise(found)
-    )
-    df = _once(df, errors=errors)
+    found = F.concat(F.array_compact(F.array(*[f.error() for f in fields])), extra)
+    # Only what has no keys is looked at again, to tell broken text from another kind of value.
+    no_object = F.when(F.try_parse_json("value").isNull(), "not valid JSON").otherwise("must be an object")
+    df = _once(df, errors=F.when(F.col("_keys").isNull(), F.array(no_object)).otherwise(found))
     good = F.size("errors") == 0
     columns = [F.when(good, f.value()).alias(f"_v_{f.name}") for f in fields]
     out = df.select(*raw.columns, "errors", *columns)

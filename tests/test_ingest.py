@@ -39,6 +39,8 @@ BAD = [
     ("", ["not valid JSON"]),
     ("[1]", ["must be an object"]),
     ({**GOOD, "is_fraud": True}, ["is_fraud: not allowed"]),
+    ({**GOOD, "location_name": 5}, ["location_name: must be of type string"]),
+    (json.dumps(GOOD)[:-1], ["not valid JSON"]),
     (without(GOOD, "card_id"), ["card_id: required but missing"]),
     ({**GOOD, "account_id": "ACC_1"}, ["account_id: must match ^(ACC_[0-9]{5}|FRD_[A-Z0-9_]+)$"]),
     ({**GOOD, "card_id": "CARD_1"}, ["card_id: must match ^(CARD|FRD_CARD)_[0-9]{5}$"]),
@@ -50,7 +52,7 @@ BAD = [
     ({**GOOD, "transaction_id": "x"}, ["transaction_id: must be a uuid"]),
     ({**GOOD, "event_time": "2026-13-01T00:00:00Z"}, ["event_time: must be a date-time"]),
     ({**GOOD, "event_time": "2026-01-01T00:00:00"}, ["event_time: must be a date-time"]),
-    ({**GOOD, "channel": 1, "status": "x"}, ["channel: must be of type string", "status: must be one of Approved, Declined"]),
+    ({**GOOD, "channel": 1, "status": "x"}, ["channel: must be one of ATM, POS, ONLINE", "status: must be one of Approved, Declined"]),
 ]
 
 
