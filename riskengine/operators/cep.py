@@ -156,29 +156,35 @@ def sliced(df: DataFrame, config: CepConfig) -> DataFrame:
     )
 
 
-def cascade(df: DataFrame, config: CepConfig, reaches: str) -> DataFrame:
+def cascade(df: DataFrame, config: CepConfig, reaches: str, settled: str | None = None) -> DataFrame:
     """Adds ``cep_pattern`` to rows already cut by :func:`sliced`.
 
     A row that a pattern takes is not seen by the later ones. All steps share one partitioning and one order, so
-    the plan has a single exchange and a single sort.
+    the plan has a single exchange and a single sort. Rows whose boolean column ``settled`` is true bring their
+    ``cep_pattern`` and keep it.
     """
     df = df.withColumn("_reached", F.col(reaches))
     name = F.lit(None).cast("string")
     for i, pattern in enumerate(config.patterns):
         df = pattern.mark(df, "_reached", f"_hit{i}")
+        if settled:
+            stored = F.coalesce(F.col("cep_pattern") == pattern.name, F.lit(False))
+            df = df.withColumn(f"_hit{i}", F.when(F.col(settled), stored).otherwise(F.col(f"_hit{i}")))
         df = df.withColumn("_reached", F.col("_reached") & ~F.col(f"_hit{i}"))
         name = F.coalesce(name, F.when(F.col(f"_hit{i}"), pattern.name))
     hits = [f"_hit{i}" for i in range(len(config.patterns))]
     return df.withColumn("cep_pattern", name).drop("_reached", *hits)
 
 
-def cep_decide(df: DataFrame, config: CepConfig = CepConfig(), reaches: Column | None = None) -> DataFrame:
+def cep_decide(
+    df: DataFrame, config: CepConfig = CepConfig(), reaches: Column | None = None, settled: str | None = None
+) -> DataFrame:
     """Adds ``cep_pattern``: the first pattern that fires, or null.
 
     ``reaches`` marks the rows that come to the patterns at all; others are neither tested nor remembered.
     """
     df = df.withColumn("_reaches", F.lit(True) if reaches is None else reaches)
-    return cascade(sliced(df, config), config, "_reaches").filter(OWN).drop("_reaches", "_ms", SLICE, OWN)
+    return cascade(sliced(df, config), config, "_reaches", settled).filter(OWN).drop("_reaches", "_ms", SLICE, OWN)
 
 
 def pattern_alone(df: DataFrame, pattern: Pattern, slice_s: int = 86_400, fired: str = "fired") -> DataFrame:

@@ -75,3 +75,28 @@ MESSAGE = T.StructType([
     T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
 ])
+
+# What a decision stream keeps of every row, to look back at; and the first location of every account.
+DECIDED_LOG = T.StructType([
+    T.StructField("transaction_id", T.StringType()),
+    T.StructField("account_id", T.StringType()),
+    T.StructField("amount", T.LongType()),
+    T.StructField("status", T.StringType()),
+    T.StructField("location_name", T.StringType()),
+    T.StructField("event_time", T.TimestampType()),
+    T.StructField("produced_at", T.TimestampType()),
+    T.StructField("rule_hit", T.StringType()),
+    T.StructField("rule_status", T.StringType()),
+    T.StructField("cep_pattern", T.StringType()),
+    T.StructField("stage", T.StringType()),
+    T.StructField("ml_score", T.DoubleType()),
+    T.StructField("decision", T.StringType()),
+    T.StructField("decided_at", T.TimestampType()),
+    T.StructField("event_date", T.DateType()),
+    T.StructField("batch_id", T.LongType()),
+])
+HOMES = T.StructType([
+    T.StructField("account_id", T.StringType()),
+    T.StructField("home", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
