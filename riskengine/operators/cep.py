@@ -40,15 +40,15 @@ class CountPattern:
     window_s: int
     threshold: int = C.PATTERN_COUNT
 
-    def mark(self, df: DataFrame, reached: str, fired: str) -> DataFrame:
-        df = df.withColumn("_q", F.when(F.col(reached) & self.qualifies(), F.col("_ms")))
+    def mark(self, df: DataFrame, reached: Column, fired: str) -> DataFrame:
+        time = f"{fired}_time"
+        df = df.withColumn(time, F.when(reached & self.qualifies(), F.col("_ms")))
         if self.threshold <= 1:
-            return df.withColumn(fired, F.col("_q").isNotNull()).drop("_q")
+            return df.withColumn(fired, F.col(time).isNotNull())
         nth = F.expr(
-            f"lag(_q, {self.threshold - 1}) IGNORE NULLS OVER (PARTITION BY {_KEYS} ORDER BY {_ORDER})"
+            f"lag({time}, {self.threshold - 1}) IGNORE NULLS OVER (PARTITION BY {_KEYS} ORDER BY {_ORDER})"
         )
-        within = F.col("_q") - F.col("_nth") <= self.window_s * 1000
-        return df.withColumn("_nth", nth).withColumn(fired, F.coalesce(within, F.lit(False))).drop("_q", "_nth")
+        return df.withColumn(fired, F.coalesce(F.col(time) - nth <= self.window_s * 1000, F.lit(False)))
 
 
 @dataclass(frozen=True)
@@ -60,18 +60,16 @@ class ChangePattern:
     column: str
     window_s: int
 
-    def mark(self, df: DataFrame, reached: str, fired: str) -> DataFrame:
+    def mark(self, df: DataFrame, reached: Column, fired: str) -> DataFrame:
+        last = f"{fired}_last"
         before = _history().rowsBetween(Window.unboundedPreceding, -1)
         so_far = _history().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        seen = F.when(F.col(reached), F.struct(F.col("_ms").alias("ms"), F.col(self.column).alias("value")))
-        changed = F.col(reached) & F.col("_prev").isNotNull() & ~F.col("_prev.value").eqNullSafe(F.col(self.column))
-        within = F.col(reached) & (F.col("_ms") - F.col("_other") <= self.window_s * 1000)
-        return (
-            df.withColumn("_prev", F.last(seen, ignorenulls=True).over(before))
-            .withColumn("_other", F.last(F.when(changed, F.col("_prev.ms")), ignorenulls=True).over(so_far))
-            .withColumn(fired, F.coalesce(within, F.lit(False)))
-            .drop("_prev", "_other")
-        )
+        seen = F.when(reached, F.struct(F.col("_ms").alias("ms"), F.col(self.column).alias("value")))
+        df = df.withColumn(last, F.last(seen, ignorenulls=True).over(before))
+        changed = reached & F.col(last).isNotNull() & ~F.col(f"{last}.value").eqNullSafe(F.col(self.column))
+        other = F.last(F.when(changed, F.col(f"{last}.ms")), ignorenulls=True).over(so_far)
+        within = reached & (F.col("_ms") - other <= self.window_s * 1000)
+        return df.withColumn(fired, F.coalesce(within, F.lit(False)))
 
 
 Pattern = CountPattern | ChangePattern
@@ -163,17 +161,17 @@ def cascade(df: DataFrame, config: CepConfig, reaches: str, settled: str | None
     the plan has a single exchange and a single sort. Rows whose boolean column ``settled`` is true bring their
     ``cep_pattern`` and keep it.
     """
-    df = df.withColumn("_reached", F.col(reaches))
-    name = F.lit(None).cast("string")
+    columns = [c for c in df.columns if c != "cep_pattern"]
+    reached, name = F.col(reaches), F.lit(None).cast("string")
     for i, pattern in enumerate(config.patterns):
-        df = pattern.mark(df, "_reached", f"_hit{i}")
+        df = pattern.mark(df, reached, f"_hit{i}")
+        hit = F.col(f"_hit{i}")
         if settled:
             stored = F.coalesce(F.col("cep_pattern") == pattern.name, F.lit(False))
-            df = df.withColumn(f"_hit{i}", F.when(F.col(settled), stored).otherwise(F.col(f"_hit{i}")))
-        df = df.withColumn("_reached", F.col("_reached") & ~F.col(f"_hit{i}"))
-        name = F.coalesce(name, F.when(F.col(f"_hit{i}"), pattern.name))
-    hits = [f"_hit{i}" for i in range(len(config.patterns))]
-    return df.withColumn("cep_pattern", name).drop("_reached", *hits)
+            hit = F.when(F.col(settled), stored).otherwise(hit)
+        reached = reached & ~hit
+        name = F.coalesce(name, F.when(hit, pattern.name))
+    return df.select(*columns, name.alias("cep_pattern"))
 
 
 def cep_decide(
@@ -190,8 +188,8 @@ def cep_decide(
 def pattern_alone(df: DataFrame, pattern: Pattern, slice_s: int = 86_400, fired: str = "fired") -> DataFrame:
     """One pattern by itself, as a boolean column."""
     config = CepConfig((pattern,), slice_s)
-    cut = sliced(df, config).withColumn("_reached", F.lit(True))
-    return pattern.mark(cut, "_reached", fired).filter(OWN).drop("_reached", "_ms", SLICE, OWN)
+    cut = pattern.mark(sliced(df, config), F.lit(True), "_fired")
+    return cut.filter(OWN).select(*df.columns, F.col("_fired").alias(fired))
 
 
 def pattern_status(config: CepConfig) -> Column:

@@ -1,10 +1,10 @@
 """Rolling behavioural features per account, for training, serving and replay.
 
-A window [t - w, t] is the difference of two running totals: the one at t and the one just before t - w. Each row
-sends a *probe* to t - w for every window length; sorted in with the rows, a probe reads the running total there.
-Running totals cost the same however full the windows are, while a sliding frame would be summed again for every
-row. History is cut into (account, slice) groups with a halo as long as the longest window, and what lies further
-back (the previous row's time, the home location) comes in as one *carry* row per group.
+What a row finds in its window is a running total over *events*: each row adds itself when it comes and, per window
+length, takes itself out again when it leaves. Rows and leavings are sorted together once, so the cost of a row does
+not depend on how full its windows are, while a sliding frame would be summed again for every row. History is cut
+into (account, slice) groups with a halo as long as the longest window, and what lies further back (the previous
+row's time, the home location) comes in as one *carry* row per group.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ HOUR_S = 3600
 DAY_S = 24 * HOUR_S
 SLICE_S = 7 * DAY_S
 
-# Kinds of entries in a group, in the order they come at equal times; windows probe at negative kinds.
-_CARRY, _HERE, _ROW = "carry", "here", "row"
+# Where a carry row stands: before all times.
+_BEFORE_ALL = -(2**62)
 
 
 @dataclass(frozen=True)
@@ -62,8 +62,7 @@ def _carry(df: DataFrame, width: int, with_home: bool) -> DataFrame:
         SLICE,
         F.lag("_last").over(w).alias("_before"),
         F.first("_where").over(w).alias("_home"),
-        F.lit(_CARRY).alias("_kind"),
-        F.lit(True).alias(OWN),
+        F.lit(False).alias(OWN),
     )
 
 
@@ -73,78 +72,65 @@ def rolling(
     """Adds ``_n1``, ``_n3`` (rows in 1 h and 3 h), ``_n24``, ``_sum24`` (included rows in 24 h and their amount),
     ``_gap`` (time since the previous row, null if none), ``_home`` and ``_first`` (no earlier row at all)."""
     per_s = PER_SECOND[mode.unit]
-    day, width = DAY_S * per_s, slice_s * per_s
-    windows = {"w1": HOUR_S * per_s, "w3": 3 * HOUR_S * per_s, "w24": day}
+    hour, day, width = HOUR_S * per_s, DAY_S * per_s, slice_s * per_s
     payload = df.columns
-    df = df.withColumn("_k", epoch("event_time", mode.unit)).withColumn(
-        "_inc", F.lit(True) if include is None else F.coalesce(include, F.lit(False))
-    )
-
-    groups = halo_slices(df, "_k", width, day)
-    carry = _carry(df, width, mode.with_home)
-    groups = groups.withColumn("_kind", F.lit(_ROW)).unionByName(carry, allowMissingColumns=True)
-    groups = groups.repartition("account_id", SLICE)
-
-    # After the exchange, each own row becomes itself and its probes; the payload stays with the row alone.
-    def entry(kind: str, at: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), at.alias("at"))
-
-    probes = [entry(name, F.col("_k") - w) for name, w in windows.items()]
-    if not mode.ties_count:
-        probes.append(entry(_HERE, F.col("_k")))
-    row = F.struct(F.col("_kind").alias("kind"), F.col("_k").alias("at"))
-    entries = F.when(F.col(OWN) & (F.col("_kind") == _ROW), F.array(row, *probes)).otherwise(F.array(row))
-    is_row = F.col("_e.kind") == _ROW
-    flat = groups.withColumn("_e", F.explode(entries)).select(
+    counts = F.lit(True) if include is None else F.coalesce(include, F.lit(False))
+    timed = df.withColumn("_k", epoch("event_time", mode.unit))
+    groups = halo_slices(timed.withColumn("_inc", counts.cast("int")), "_k", width, day)
+    carry = _carry(timed, width, mode.with_home)
+    groups = groups.unionByName(carry, allowMissingColumns=True).repartition("account_id", SLICE)
+
+    # After the exchange a row becomes its arrival and its leavings; the payload stays with the arrival.
+    def event(offset: int, d1: int, d3: int, d24: int) -> str:
+        values = f"_k + {offset}L AS at, {d1} AS d1, {d3} AS d3, {d24} * _inc AS d24, {d24} * _inc * amount AS sum24"
+        return "struct(" + values + f", {offset > 0} AS leaves)"
+
+    events = (event(0, 1, 1, 1), event(hour, -1, 0, 0), event(3 * hour, 0, -1, 0), event(day, 0, 0, -1))
+    nothing = f"struct({_BEFORE_ALL}L AS at, 0 AS d1, 0 AS d3, 0 AS d24, 0L * amount AS sum24, false AS leaves)"
+    ends = F.expr(f"({SLICE} + 1) * {width}L")
+    flat = groups.select(
         "account_id",
         SLICE,
-        "_k",
         F.col("transaction_id").alias("_id"),
-        F.col("_e.kind").alias("_kind"),
-        F.col("_e.at").alias("_at"),
-        is_row.cast("int").alias("_is_row"),
-        (is_row & F.col("_inc")).cast("int").alias("_counts"),
-        F.when(is_row & F.col("_inc"), F.col("amount")).otherwise(F.lit(0)).alias("_amount"),
-        F.when(is_row & F.col(OWN), F.struct(*[F.col(c) for c in payload])).alias("_payload"),
+        F.col("_k").alias("_time"),
         "_before",
         F.col("_home").alias("_carried_home"),
+        *[F.col(c).alias(f"_p_{c}") for c in payload],
+        OWN,
+        F.expr(f"inline(CASE WHEN _k IS NULL THEN array({nothing}) ELSE array({', '.join(events)}) END)"),
+    ).filter(F.col("at") < ends)
+    arrival = ~F.col("leaves")
+    row = F.when(F.col(OWN) & arrival, F.struct(*[F.col(f"_p_{c}").alias(c) for c in payload]))
+    flat = flat.select(
+        "account_id", SLICE, "_id", "_time", "_before", "_carried_home", row.alias("_row"), "at", "d1", "d3", "d24",
+        "sum24", "leaves",
     )
 
-    # The carry entry has no time and so comes first; probes come before the rows of their time.
-    order = Window.partitionBy("account_id", SLICE).orderBy("_at", "_is_row", "_id")
+    # A leaving at t - w is still inside the window that starts there, so it comes after the rows of its time.
+    order = Window.partitionBy("account_id", SLICE).orderBy("at", "leaves", "_id")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    last_row = F.last(F.when(F.col("_kind") == _ROW, F.col("_at")), ignorenulls=True).over(before)
-    totals = flat.select(
-        "*",
-        F.sum("_is_row").over(upto).alias("_rows"),
-        F.sum("_counts").over(upto).alias("_incs"),
-        F.sum("_amount").over(upto).alias("_sums"),
-        last_row.alias("_prev"),
+    if mode.ties_count:
+        counted = before
+    else:
+        counted = Window.partitionBy("account_id", SLICE).orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    found = flat.select(
+        "_row",
+        "_time",
+        *[
+            F.coalesce(F.sum(c).over(counted), F.lit(0)).alias(name)
+            for c, name in (("d1", "_n1"), ("d3", "_n3"), ("d24", "_n24"), ("sum24", "_sum24"))
+        ],
+        F.last(F.when(arrival, F.col("_time")), ignorenulls=True).over(before).alias("_prev"),
         F.last("_before", ignorenulls=True).over(upto).alias("_prev_carried"),
         F.last("_carried_home", ignorenulls=True).over(upto).alias("_home"),
-    )
-
-    # A row and its probes share time and id; reading the probes back needs no further exchange.
-    own = Window.partitionBy("account_id", SLICE, "_k", "_id")
-
-    def probe(kind: str, col: str) -> Column:
-        return F.max(F.when(F.col("_kind") == kind, F.col(col))).over(own)
-
-    here = (lambda col, mine: F.col(col) - F.col(mine)) if mode.ties_count else (lambda col, mine: probe(_HERE, col))
-    joined = totals.select(
-        "*",
-        (here("_rows", "_is_row") - probe("w1", "_rows")).alias("_n1"),
-        (here("_rows", "_is_row") - probe("w3", "_rows")).alias("_n3"),
-        (here("_incs", "_counts") - probe("w24", "_incs")).alias("_n24"),
-        (here("_sums", "_amount") - probe("w24", "_sums")).alias("_sum24"),
-    ).filter(F.col("_payload").isNotNull())
+    ).filter(F.col("_row").isNotNull())
     previous = F.coalesce("_prev", "_prev_carried")
-    gap = F.col("_k") - previous
+    gap = F.col("_time") - previous
     if mode.gap_limit_s is not None:
         gap = F.when(gap <= mode.gap_limit_s * per_s, gap)
-    return joined.select(
-        "_payload.*", "_n1", "_n3", "_n24", "_sum24", gap.alias("_gap"), "_home", previous.isNull().alias("_first")
+    return found.select(
+        "_row.*", "_n1", "_n3", "_n24", "_sum24", gap.alias("_gap"), "_home", previous.isNull().alias("_first")
     )
 
 

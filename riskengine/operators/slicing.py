@@ -23,9 +23,5 @@ def halo_slices(df: DataFrame, time: str, width: int, lookback: int) -> DataFram
     """
     home = bucket(time, width)
     reach = F.expr(f"(`{time}` + {lookback}L - pmod(`{time}` + {lookback}L, {width}L)) div {width}L")
-    return (
-        df.withColumn("_first", home)
-        .withColumn(SLICE, F.explode(F.sequence("_first", reach)))
-        .withColumn(OWN, F.col(SLICE) == F.col("_first"))
-        .drop("_first")
-    )
+    cut = df.select("*", F.explode(F.sequence(home, reach)).alias(SLICE))
+    return cut.withColumn(OWN, F.col(SLICE) == home)

@@ -466,3 +466,38 @@ FROM lab JOIN parts USING (account_id) GROUP BY 1""",
   CASE WHEN error_message = '' THEN j->>'value' END AS operand, CASE WHEN error_message = '' THEN j->>'action' END AS action,
   CASE WHEN error_message = '' THEN CAST(j->>'enabled' AS BOOLEAN) END AS enabled FROM checked""",
 }
+
+# Streams end with what the batch gives.
+ORACLES["decide_stream"] = ORACLES["decide"]
+ORACLES["cep_stream"] = ORACLES["cep_cascade"]
+ORACLES["metrics_stream"] = f"""WITH {TX} SELECT decided_us - decided_us % 1000000 AS second_us, count(*) AS n,
+  max(decided_us // 1000 - us // 1000) AS max_ms FROM tx GROUP BY 1"""
+
+# The feedback between averages and decisions, one row of each account at a time.
+_RECENT = "list_filter(f.hist, lambda h: h.ms >= s.ms - 86400000)"
+_INCLUDED = "list_filter(f.hist, lambda h: h.ms >= s.ms - 86400000 AND h.ok)"
+ORACLES["sequential_serving_fold"] = f"""WITH RECURSIVE {TX}, seq AS (
+  SELECT transaction_id, account_id, amount, ms, event_time, location_name, amount > 1000000000 AS ruled,
+    {_DOMESTIC} AS domestic, row_number() OVER w AS k, lag(ms) OVER w AS prev, first(location_name) OVER w AS home_name FROM tx
+  WINDOW w AS (PARTITION BY account_id ORDER BY ms, transaction_id)
+), fold AS (
+  SELECT DISTINCT account_id, CAST(0 AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS transaction_id, CAST(NULL AS DOUBLE) AS avg24,
+    CAST(0 AS BIGINT) AS n1, CAST(0 AS BIGINT) AS n3, CAST(NULL AS DOUBLE) AS score, true AS approved,
+    CAST([] AS STRUCT(ms BIGINT, amount BIGINT, ok BOOLEAN)[]) AS hist FROM seq
+  UNION ALL
+  SELECT account_id, k, transaction_id, avg24, n1, n3, CASE WHEN NOT ruled THEN score END,
+    NOT ruled AND score < 0.6e0, list_append(hist, {{'ms': ms, 'amount': amount, 'ok': NOT ruled AND score < 0.6e0}})
+  FROM (
+    SELECT *, round(ln(1 + amount / avg24) / (1 + ln(1 + amount / avg24)) + least(n1, 9) / 100.0e0, 6) AS score FROM (
+      SELECT s.account_id, s.k, s.transaction_id, s.ms, s.amount, s.ruled, f.hist, len({_RECENT}) AS n24,
+        len(list_filter(f.hist, lambda h: h.ms >= s.ms - 3600000)) AS n1, len(list_filter(f.hist, lambda h: h.ms >= s.ms - 10800000)) AS n3,
+        CASE WHEN len({_INCLUDED}) > 0 THEN CAST(list_sum(list_transform({_INCLUDED}, lambda h: h.amount)) AS DOUBLE) / len({_INCLUDED})
+          ELSE CAST(s.amount AS DOUBLE) END AS avg24
+      FROM fold f JOIN seq s ON s.account_id = f.account_id AND s.k = f.k + 1
+    )
+  )
+), feat AS (
+  SELECT seq.*, avg24, n1, n3, fold.score, fold.approved, CASE WHEN seq.k = 1 THEN domestic ELSE location_name = home_name END AS home,
+    CASE WHEN seq.ms - prev <= 86400000 THEN (seq.ms - prev) / 1000.0e0 ELSE 0 END AS gap
+  FROM fold JOIN seq USING (transaction_id)
+) {_feature_select("feat").replace("SELECT transaction_id", "SELECT score AS ml_score, approved, transaction_id", 1)}"""

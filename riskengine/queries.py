@@ -15,9 +15,13 @@ from riskengine.constants import FEATURES, MODEL_TARGETS, SCORE_THRESHOLD
 from riskengine.functions import predicates as P
 from riskengine.operators import cep, features, joins, rules
 from riskengine.operators.dedup import latest_by_key
+from riskengine.operators.feedback import serve_until_stable
 from riskengine.plans import decide as D
-from riskengine.plans import profile, reports
+from riskengine.plans import ml, profile, reports
+from riskengine.session import shared_dir
 from riskengine.sources import parsing
+from riskengine.sources.sinks import overwrite_table, write_batch
+from riskengine.streaming import jobs, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -195,9 +199,9 @@ def latest_decision(spark, sf_dir):
 
 # Features
 
-def _features(df: DataFrame) -> DataFrame:
+def _features(df: DataFrame, *more: str) -> DataFrame:
     rounded = [F.round(f, 4 if f == "avg_amount_24h" else 6).alias(f) for f in FEATURES]
-    return df.select("transaction_id", "account_id", *rounded)
+    return df.select("transaction_id", "account_id", *rounded, *more)
 
 
 @query
@@ -438,3 +442,88 @@ def parse_rules(spark, sf_dir):
     return parsed.select(
         "offset", "error_message", "rule_id", "field", "operator", "threshold", F.col("value").alias("operand"), "action", "enabled"
     )
+
+
+# Model
+
+def _risk(df: DataFrame) -> DataFrame:
+    """A fixed stand-in for a model, so that results can be checked: busier and larger than usual is riskier."""
+    ratio, busy = F.col("log_amount_ratio_24h"), F.col("tx_count_1h")
+    return df.withColumn("ml_score", F.round(ratio / (1 + ratio) + F.least(busy, F.lit(9.0)) / 100, 6))
+
+
+@query
+def sequential_serving_fold(spark, sf_dir):
+    """Features that depend on the decisions they lead to."""
+    staged = V.transactions(spark, sf_dir).drop("ml_score").withColumn(
+        "stage", F.when(F.col("amount") > 1_000_000_000, "RULE").otherwise("ML")
+    )
+    return _features(serve_until_stable(staged, _risk, 0.6), "ml_score", "approved")
+
+
+@query
+def model_scores(spark, sf_dir):
+    """Scores of the test accounts by a model fitted on the training accounts."""
+    rows = features.training_features(V.labelled(spark, sf_dir))
+    rows = profile.with_part(rows, profile.account_split(rows))
+    model = ml.train(rows.filter("part = 'train'"), ml.Params(depth=3, rounds=8))
+    return ml.score(model, rows.filter("part = 'test'")).select("transaction_id", "is_fraud", F.round("ml_score", 6).alias("ml_score"))
+
+
+# Streams
+
+def _in_batches(spark, sf_dir, run, parts: int = 4) -> str:
+    """Writes the transactions in ``parts`` spans of time; after each, ``run(stream, folder)`` takes in what is new."""
+    folder = shared_dir(spark, "stream")
+    tx = V.transactions(spark, sf_dir)
+    width = V.SPAN_US // parts
+    part = F.least(F.lit(parts - 1), F.floor((F.unix_micros("event_time") - V.BASE_US) / width))
+    for i in range(parts):
+        tx.filter(part == i).write.mode("append").parquet(f"{folder}/in")
+        started = run(spark.readStream.schema(tx.schema).parquet(f"{folder}/in"), folder)
+        started.awaitTermination()
+        if started.exception() is not None:
+            raise started.exception()
+    return folder
+
+
+@query
+def decide_stream(spark, sf_dir):
+    updates = V.rule_updates(spark, sf_dir)
+
+    def run(stream, folder):
+        decider = jobs.Decider(jobs.DecisionLog(f"{folder}/out"), lambda: updates, CONFIG, PRIORITY)
+        return jobs.decide_stream(stream, decider, f"{folder}/checkpoint", availableNow=True)
+
+    folder = _in_batches(spark, sf_dir, run)
+    return jobs.DecisionLog(f"{folder}/out").read(spark).select(
+        "transaction_id", "account_id", F.col("amount").cast("long").alias("amount"), "rule_hit", "cep_pattern",
+        F.round(F.col("ml_score").cast("double"), 4).alias("ml_score"), _us("produced_at"), _us("decided_at"), "decision",
+    )
+
+
+@query
+def cep_stream(spark, sf_dir):
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+
+    def run(stream, folder):
+        return stateful.cep_stream(stream, CONFIG).writeStream.foreachBatch(
+            lambda batch, batch_id: write_batch(batch, f"{folder}/out", batch_id)
+        ).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+
+    folder = _in_batches(spark, sf_dir, run)
+    return spark.read.schema(stateful.OUTPUT).parquet(f"{folder}/out").select("transaction_id", "cep_pattern")
+
+
+@query
+def metrics_stream(spark, sf_dir):
+    def run(stream, folder):
+        return jobs.metrics_stream(stream).writeStream.outputMode("complete").foreachBatch(
+            lambda batch, batch_id: overwrite_table(batch, f"{folder}/out")
+        ).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+
+    folder = _in_batches(spark, sf_dir, run)
+    return spark.read.parquet(f"{folder}/out").select(_us("second"), "n", "max_ms")
