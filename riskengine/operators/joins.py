@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 32
+# Lookup rows are a few dozen bytes to a few hundred, so this many are some tens of megabytes at most.
+BROADCAST_ROWS = 200_000
 
 
 def salted_join(big: DataFrame, keyed: DataFrame, on: str, how: str, spread_by: str, salts: int = SALTS) -> DataFrame:
@@ -20,21 +22,41 @@ def salted_join(big: DataFrame, keyed: DataFrame, on: str, how: str, spread_by:
     return left.join(right, [on, "_salt"], how).drop("_salt")
 
 
+def lookup_join(
+    big: DataFrame, keyed: DataFrame, on: str, how: str, spread_by: str, limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join with a cheap lookup table, one row per key: broadcast if a count shows that it is small, salted if not."""
+    if keyed.limit(limit + 1).count() <= limit:
+        return big.join(F.broadcast(keyed), on, how)
+    return salted_join(big, keyed, on, how, spread_by)
+
+
 def interval_join(
-    points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, bucket_us: int, how: str = "inner"
+    points: DataFrame,
+    intervals: DataFrame,
+    at: str,
+    start: str,
+    end: str,
+    bucket_us: int,
+    spread_by: str,
+    limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Rows of ``points`` with each interval that holds them, ``start <= at < end``; all are timestamps.
 
-    Intervals are repeated in the time buckets they touch, so this is an equi-join on the bucket with the exact
-    bounds tested on the few intervals met there.
+    Intervals are repeated in the time buckets they touch and gathered per bucket, so this is a lookup by bucket with
+    the exact bounds tested on the few intervals met there.
     """
-    left = points.withColumn("_bucket", F.floor(F.unix_micros(at) / bucket_us))
-    right = intervals.filter(F.col(start) < F.col(end)).withColumn(
-        "_bucket_of",
-        F.explode(F.sequence(F.floor(F.unix_micros(start) / bucket_us), F.floor((F.unix_micros(end) - 1) / bucket_us))),
+    met = F.sequence(F.floor(F.unix_micros(start) / bucket_us), F.floor((F.unix_micros(end) - 1) / bucket_us))
+    lookup = (
+        intervals.filter(F.col(start) < F.col(end))
+        .select(F.struct(*intervals.columns).alias("_interval"), F.explode(met).alias("_bucket"))
+        .groupBy("_bucket")
+        .agg(F.collect_list("_interval").alias("_intervals"))
     )
-    inside = (F.col("_bucket") == F.col("_bucket_of")) & (F.col(at) >= F.col(start)) & (F.col(at) < F.col(end))
-    return left.join(right, inside, how).drop("_bucket", "_bucket_of")
+    left = points.withColumn("_bucket", F.floor(F.unix_micros(at) / bucket_us))
+    inside = F.filter("_intervals", lambda i: (F.col(at) >= i[start]) & (F.col(at) < i[end]))
+    joined = lookup_join(left, lookup, "_bucket", "inner", spread_by, limit)
+    return joined.select(*points.columns, F.inline(inside))
 
 
 def members(df: DataFrame, keys: DataFrame, on: str, spread_by: str) -> DataFrame:

@@ -14,24 +14,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
+FEW_BUCKETS, MAX_BUCKETS = 128, 4096
 MD5_DIGITS = 3
 
 
+def _cuts(df: DataFrame, value: str, rows_per_bucket: int) -> list[float]:
+    """Approximate quantiles that cut the values into buckets of about ``rows_per_bucket``."""
+    number = F.col(value).cast("double")
+    steps = [i / FEW_BUCKETS for i in range(1, FEW_BUCKETS)]
+    # The size and a first set of cuts in one pass; more cuts only for data that needs them.
+    seen = df.agg(F.count(value).alias("n"), F.percentile_approx(number, steps, 10 * FEW_BUCKETS).alias("cuts")).first()
+    buckets = min(MAX_BUCKETS, -(-seen.n // rows_per_bucket))
+    if buckets <= 1:
+        return []
+    if buckets <= FEW_BUCKETS:
+        return sorted(set(seen.cuts[:: FEW_BUCKETS // buckets]))
+    steps = [i / buckets for i in range(1, buckets)]
+    return sorted(set(df.agg(F.percentile_approx(number, steps, 10 * buckets).alias("cuts")).first().cuts))
+
+
 def with_buckets(df: DataFrame, value: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Adds ``_bucket``, which grows with ``value`` and is equal for equal values."""
-    n = df.agg(F.count(value).alias("n")).first().n
-    buckets = min(MAX_BUCKETS, -(-n // rows_per_bucket))
-    cuts = []
-    if buckets > 1:
-        steps = [i / buckets for i in range(1, buckets)]
-        found = df.agg(F.percentile_approx(F.col(value).cast("double"), steps, 10 * buckets).alias("cuts")).first()
-        cuts = sorted(set(found.cuts))
+    cuts = _cuts(df, value, rows_per_bucket)
     if not cuts:
         return df.withColumn("_bucket", F.lit(0.0))
     splits = [float("-inf"), *cuts, float("inf")]
     numbered = df.withColumn("_double", F.col(value).cast("double"))
-    return Bucketizer(splits=splits, inputCol="_double", outputCol="_bucket").transform(numbered).drop("_double")
+    # NaN sorts last in Spark and goes to a bucket after all others.
+    bucketizer = Bucketizer(splits=splits, inputCol="_double", outputCol="_bucket", handleInvalid="keep")
+    return bucketizer.transform(numbered).drop("_double")
 
 
 def prefix_sums(

@@ -16,6 +16,7 @@ from riskengine.constants import ALERT, BLOCK
 from riskengine.functions.predicates import action_status, rule_matches
 from riskengine.functions.time import bucket
 from riskengine.operators.dedup import latest_by_key
+from riskengine.operators.joins import lookup_join
 
 INLINE_RULES = 64
 _HIT = "struct<rank:int,rule_id:string,status:string>"
@@ -102,7 +103,7 @@ def _without_useless(rules: DataFrame, prefer_block: bool) -> DataFrame:
 def _first_by(rules: DataFrame, key: str, alias: str, prefer_block: bool) -> DataFrame:
     """First rule for each value of ``key``, ready for an equi-join."""
     hit = _hit(prefer_block, F.col("rule_id"), F.col("action"))
-    return rules.groupBy(F.col(key).alias(f"_{alias}_key")).agg(F.min(hit).alias(f"_{alias}"))
+    return rules.groupBy(F.col(key).alias(alias)).agg(F.min(hit).alias(f"_by_{alias}"))
 
 
 def apply_rules(
@@ -139,12 +140,11 @@ def apply_rules(
         .select(*cols)
     )
     rest = ranges.select(*cols).unionByName(unequal).collect()
-    joined = (
-        tx.join(_first_by(by_account, "value", "account", prefer_block), F.col("account_id") == F.col("_account_key"), "left")
-        .join(_first_by(by_amount, "threshold", "amount", prefer_block), F.col("amount") == F.col("_amount_key"), "left")
-    )
-    hit = _least_hit(F.col("_account"), F.col("_amount"), _inline(rest, prefer_block))
-    return _finish(joined.withColumn("_hit", hit)).drop("_account", "_account_key", "_amount", "_amount_key")
+    joined = tx
+    for named, operand, key in ((by_account, "value", "account_id"), (by_amount, "threshold", "amount")):
+        joined = lookup_join(joined, _first_by(named, operand, key, prefer_block), key, "left", "transaction_id")
+    hit = _least_hit(F.col("_by_account_id"), F.col("_by_amount"), _inline(rest, prefer_block))
+    return _finish(joined.withColumn("_hit", hit)).select(*tx.columns, "rule_hit", "rule_status")
 
 
 def rule_versions(updates: DataFrame) -> DataFrame:
@@ -194,6 +194,5 @@ def apply_rules_asof(
         return alive & rule_matches(v.field, v.operator, v.threshold, v.value)
 
     hits = F.transform(F.filter("_versions", in_force), lambda v: _hit(prefer_block, v.rule_id, v.action))
-    return _finish(
-        tx.join(lookup, "_bucket", "left").withColumn("_hit", F.array_min(hits))
-    ).drop("_bucket", "_t", "_versions")
+    joined = lookup_join(tx, lookup, "_bucket", "left", "transaction_id")
+    return _finish(joined.withColumn("_hit", F.array_min(hits))).drop("_bucket", "_t", "_versions")

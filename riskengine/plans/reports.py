@@ -68,9 +68,8 @@ def latency_series(decisions: DataFrame, col: str = "decided_at") -> DataFrame:
 def latency_by_level(decisions: DataFrame, levels: DataFrame, bucket_us: int = 60_000_000) -> DataFrame:
     """Latency per load level; a level without traffic has count 0 and null figures."""
     key = ["tps", "start"]
-    met = interval_join(
-        with_latency(decisions).select("produced_at", "latency_ms"), levels, "produced_at", "start", "end", bucket_us
-    )
+    points = with_latency(decisions).select("transaction_id", "produced_at", "latency_ms")
+    met = interval_join(points, levels, "produced_at", "start", "end", bucket_us, "transaction_id")
     counts = met.groupBy(*key, "latency_ms").agg(F.count(F.lit(1)).alias("n"))
     p = F.percentile("latency_ms", [0.5, 0.95, 0.99], F.col("n"))
     stats = counts.groupBy(*key).agg(

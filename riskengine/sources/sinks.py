@@ -18,6 +18,11 @@ def write_batch(df: DataFrame, path: str, batch_id: int, by: str | None = None)
     writer.parquet(f"{path}/batch_id={batch_id}")
 
 
+def write_parts(df: DataFrame, path: str, *by: str) -> None:
+    """Replaces the folders of ``by`` that the rows fall in, and leaves all others."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
 def write_decisions(decisions: DataFrame, path: str, batch_id: int = 0) -> None:
     """The decision table, by day decided."""
     rows = decisions.select(*schemas.DECISION.fieldNames(), F.to_date("decided_at").alias("decided_date"))

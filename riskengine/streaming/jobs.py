@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -23,15 +24,16 @@ from riskengine.operators.joins import members, salted_join
 from riskengine.operators.rules import active_rules, apply_rules
 from riskengine.plans.decide import conclude, reaches_patterns, stage_of
 from riskengine.sources.parsing import dlq_records, parse_rules, parse_transactions, split_dlq
-from riskengine.sources.sinks import write_batch, write_dlq
+from riskengine.sources.sinks import write_batch, write_dlq, write_parts
 
 LOG_COLUMNS = [c for c in schemas.DECIDED_LOG.fieldNames() if c not in ("event_date", "batch_id")]
+MOST_DAYS = 62
 
 
-def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def _stored(spark: SparkSession, path: str, schema: StructType, base: str | None = None) -> DataFrame:
     """The table at ``path``, which has no rows before its first batch."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("basePath", base or path).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -47,16 +49,25 @@ class DecisionLog:
 
     path: str
 
-    def _log(self, spark: SparkSession) -> DataFrame:
-        return _stored(spark, f"{self.path}/log", schemas.DECIDED_LOG)
+    def _days(self, first: date, last: date) -> str:
+        """The folders of these days, so that no other is even listed."""
+        n = (last - first).days + 1
+        if n > MOST_DAYS:
+            return f"{self.path}/log"
+        days = ",".join(str(first + timedelta(days=i)) for i in range(n))
+        return f"{self.path}/log/event_date={{{days}}}"
 
     def history(self, batch: DataFrame, batch_id: int, lookback_s: int) -> DataFrame:
         """Rows of earlier batches that the batch can look back at: its accounts, from its first row's window on."""
-        first = batch.agg(F.min("event_time").alias("t")).first().t
-        since = F.lit(first).cast("timestamp") - F.expr(f"INTERVAL {lookback_s} SECONDS")
-        recent = self._log(batch.sparkSession).filter(
-            (F.col("batch_id") < batch_id) & (F.col("event_date") >= F.to_date(since)) & (F.col("event_time") >= since)
-        )
+        spark = batch.sparkSession
+        since = F.min("event_time") - F.expr(f"INTERVAL {lookback_s} SECONDS")
+        span = batch.agg(
+            F.unix_micros(since).alias("since"), F.to_date(since).alias("first"), F.to_date(F.max("event_time")).alias("last")
+        ).first()
+        if span.since is None:
+            return spark.createDataFrame([], schemas.DECIDED_LOG).select(*LOG_COLUMNS)
+        log = _stored(spark, self._days(span.first, span.last), schemas.DECIDED_LOG, f"{self.path}/log")
+        recent = log.filter((F.col("batch_id") < batch_id) & (F.col("event_time") >= F.timestamp_micros(F.lit(span.since))))
         return members(recent.select(*LOG_COLUMNS), batch, "account_id", "transaction_id")
 
     def with_homes(self, df: DataFrame, batch_id: int) -> DataFrame:
@@ -70,7 +81,8 @@ class DecisionLog:
     def append(self, decided: DataFrame, batch_id: int) -> None:
         rows = decided.select(*LOG_COLUMNS, F.to_date("event_time").alias("event_date"), "_stored_home").persist()
         try:
-            write_batch(rows.drop("_stored_home"), f"{self.path}/log", batch_id, "event_date")
+            # By day first: a batch looks back over a few days, however many batches there have been.
+            write_parts(rows.drop("_stored_home").withColumn("batch_id", F.lit(batch_id)), f"{self.path}/log", "event_date", "batch_id")
             new = rows.filter(F.col("_stored_home").isNull()).groupBy("account_id").agg(
                 F.min_by("location_name", F.struct(F.unix_millis("event_time"), "transaction_id")).alias("home")
             )
@@ -80,7 +92,7 @@ class DecisionLog:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Decisions of all batches, in the decision table's columns."""
-        log = self._log(spark).withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+        log = _stored(spark, f"{self.path}/log", schemas.DECIDED_LOG).withColumn("amount", F.col("amount").cast("decimal(18,2)"))
         return log.withColumn("ml_score", F.col("ml_score").cast("float")).select(*schemas.DECISION.fieldNames())
 
 
