@@ -160,3 +160,19 @@ def test_account_split(spark):
     assert parts.count() == 300
     assert parts.select("account_id", "part").distinct().count() == 100
     assert split.join(profile.account_split(df, seed=7).withColumnRenamed("part", "p2"), "account_id").filter("part <> p2").count() > 0
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_lookups_by_broadcast_and_by_salt(spark, limit):
+    _, df = decisions(spark)
+    table = spark.createDataFrame([("ACC_1", 1), ("ACC_2", 2)], "account_id string, w int")
+    got = joins.lookup_join(df, table, "account_id", "left", "transaction_id", limit)
+    assert {(r.account_id, r.w) for r in got.collect()} == {("ACC_1", 1), ("ACC_2", 2), ("FRD_RULE_UPDATE_ACC_7", None)}
+    assert got.count() == 200
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (limit > 0)
+    spans = spark.createDataFrame([(1, T0, T0 + timedelta(seconds=5)), (2, T0 + timedelta(seconds=3), T0 + timedelta(seconds=9))], "i int, a timestamp, b timestamp")
+    met = joins.interval_join(df, spans, "produced_at", "a", "b", 1_000_000, "transaction_id", limit)
+    want = df.join(spans, (F.col("produced_at") >= F.col("a")) & (F.col("produced_at") < F.col("b")))
+    key = lambda d: sorted((r.transaction_id, r.i) for r in d.collect())
+    assert key(met) == key(want) and met.columns == want.columns
