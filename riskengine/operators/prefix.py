@@ -33,11 +33,8 @@ def _cuts(df: DataFrame, value: str, rows_per_bucket: int) -> list[float]:
     return sorted(set(df.agg(F.percentile_approx(number, steps, 10 * buckets).alias("cuts")).first().cuts))
 
 
-def with_buckets(df: DataFrame, value: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def _with_buckets(df: DataFrame, value: str, cuts: list[float]) -> DataFrame:
     """Adds ``_bucket``, which grows with ``value`` and is equal for equal values."""
-    cuts = _cuts(df, value, rows_per_bucket)
-    if not cuts:
-        return df.withColumn("_bucket", F.lit(0.0))
     splits = [float("-inf"), *cuts, float("inf")]
     numbered = df.withColumn("_double", F.col(value).cast("double"))
     # NaN sorts last in Spark and goes to a bucket after all others.
@@ -56,21 +53,31 @@ def prefix_sums(
     """For rows unique in (groups, value): adds ``{m}_before``, the total of the rows that precede in ``value``
     order within the group, and ``{m}_total``, the total of the group."""
     order = F.col(value).desc() if descending else F.col(value).asc()
-    bucket_order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    keys = [*groups, "_bucket"]
-    df = with_buckets(df, value, rows_per_bucket)
-    local = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per bucket from here on: at most MAX_BUCKETS per group.
-    earlier = Window.partitionBy(*groups).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
+
+    def running(window, m):
+        return F.coalesce(F.sum(m).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
     whole = Window.partitionBy(*groups)
+    cuts = _cuts(df, value, rows_per_bucket)
+    if not cuts:
+        # No more rows than fit one bucket.
+        ordered = whole.orderBy(order)
+        before = [running(ordered, m).alias(f"{m}_before") for m in measures]
+        return df.select("*", *before, *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures])
+
+    keys = [*groups, "_bucket"]
+    df = _with_buckets(df, value, cuts)
+    # One row per bucket here: at most MAX_BUCKETS per group.
+    earlier = whole.orderBy(F.col("_bucket").desc() if descending else F.col("_bucket").asc())
     offsets = df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]).select(
         *keys,
-        *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_{m}_offset") for m in measures],
+        *[running(earlier, m).alias(f"_{m}_offset") for m in measures],
         *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures],
     )
-    out = df.join(offsets, keys)
-    for m in measures:
-        out = out.withColumn(f"{m}_before", F.coalesce(F.sum(m).over(local), F.lit(0)) + F.col(f"_{m}_offset"))
+    local = Window.partitionBy(*keys).orderBy(order)
+    out = df.join(offsets, keys).withColumns(
+        {f"{m}_before": running(local, m) + F.col(f"_{m}_offset") for m in measures}
+    )
     return out.drop("_bucket", *[f"_{m}_offset" for m in measures])
 
 

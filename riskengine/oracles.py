@@ -501,3 +501,15 @@ ORACLES["sequential_serving_fold"] = f"""WITH RECURSIVE {TX}, seq AS (
     CASE WHEN seq.ms - prev <= 86400000 THEN (seq.ms - prev) / 1000.0e0 ELSE 0 END AS gap
   FROM fold JOIN seq USING (transaction_id)
 ) {_feature_select("feat").replace("SELECT transaction_id", "SELECT score AS ml_score, approved, transaction_id", 1)}"""
+
+ORACLES["dataset_union"] = f"""WITH {TX} SELECT transaction_id, account_id, amount, us AS event_time_us,
+  CASE WHEN is_fraud THEN 'Fraud' ELSE 'Normal' END AS label FROM tx"""
+ORACLES["dlq_stream"] = f"""{PARSED} SELECT error_message AS "errorMessage", count(*) AS n,
+  CASE WHEN error_message <> '' THEN CAST(sum("offset") AS BIGINT) END AS offsets FROM checked GROUP BY error_message"""
+ORACLES["rule_stream"] = f"""WITH {RULE_MESSAGES}, {_checked(_RULE_CHECKS, _RULE_KEYS)}, good AS (
+  SELECT j->>'rule_id' AS rule_id, j->>'field' AS field, j->>'operator' AS operator,
+    coalesce(CAST(CAST(j->>'threshold' AS DOUBLE) AS BIGINT), 0) AS threshold, j->>'value' AS operand, j->>'action' AS action,
+    "offset" AS seq, CAST(j->>'enabled' AS BOOLEAN) AS enabled FROM checked WHERE error_message = ''
+) SELECT * EXCLUDE (enabled, rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY seq DESC) AS rn FROM good
+) WHERE rn = 1 AND enabled"""

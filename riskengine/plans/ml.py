@@ -103,12 +103,11 @@ def evaluate(scored: DataFrame) -> DataFrame:
     """Best threshold, the figures there, both areas, and whether each beats its target."""
     best = reports.best_threshold(scored).first()
     at = reports.classification_report(scored, best.threshold, MODEL_TARGETS)
-    areas = reports.auc_roc(scored).withColumn("_", F.lit(1)).join(reports.auc_pr(scored).withColumn("_", F.lit(1)), "_").drop("_")
-    areas = areas.select("*", *[(F.col(m) > MODEL_TARGETS[m]).alias(f"{m}_ok") for m in ("auc_roc", "auc_pr")])
-    return (
-        at.withColumn("_", F.lit(1)).join(areas.withColumn("_", F.lit(1)), "_").drop("_")
-        .withColumn("threshold", F.lit(best.threshold))
+    out = at.select(
+        F.lit(best.threshold).alias("threshold"), "*", reports.auc_roc(scored).scalar().alias("auc_roc"),
+        reports.auc_pr(scored).scalar().alias("auc_pr"),
     )
+    return out.select("*", *[(F.col(m) > MODEL_TARGETS[m]).alias(f"{m}_ok") for m in ("auc_roc", "auc_pr")])
 
 
 def save_model(model: PipelineModel, path: str) -> None:

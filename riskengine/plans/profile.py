@@ -16,6 +16,13 @@ def _exact_sum(col: str):
     return F.sum(F.col(col).cast("decimal(20,0)"))
 
 
+def combine(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """All rows of several data sets, in order of time."""
+    for other in others:
+        first = first.unionByName(other)
+    return first.orderBy("event_time", "transaction_id")
+
+
 def profile(df: DataFrame, rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Rows, fraud share, accounts, time range, and count/mean/std/min/quartiles/max of the amount."""
     n = F.count(F.lit(1))
@@ -32,12 +39,12 @@ def profile(df: DataFrame, rows_per_bucket: int = 1_000_000) -> DataFrame:
         F.max("amount").alias("amount_max"),
     )
     # Distinct accounts apart: beside other aggregates they would make every row be repeated.
-    accounts = df.groupBy("account_id").agg(F.lit(1).alias("_")).agg(F.count("account_id").alias("accounts"))
+    accounts = df.groupBy("account_id").agg(F.lit(1)).agg(F.count("account_id"))
     quartiles = exact_quantiles(df, "amount", QUARTILES, rows_per_bucket=rows_per_bucket)
-    one = F.lit(1).alias("_one")
-    return (
-        main.select("*", one).join(accounts.select("*", one), "_one").join(quartiles.select("*", one), "_one").drop("_one")
+    out = main.select(
+        "*", accounts.scalar().alias("accounts"), quartiles.select(F.struct(*QUARTILES)).scalar().alias("_quartiles")
     )
+    return out.select("*", "_quartiles.*").drop("_quartiles")
 
 
 def hour_histogram(df: DataFrame) -> DataFrame:

@@ -380,6 +380,14 @@ def dataset_profile(spark, sf_dir):
     )
 
 
+@query
+def dataset_union(spark, sf_dir):
+    """Normal and fraudulent rows put together in order of time."""
+    rows = V.labelled(spark, sf_dir)
+    both = profile.combine(rows.filter(~F.col("is_fraud")), rows.filter("is_fraud"))
+    return both.select("transaction_id", "account_id", "amount", _us("event_time"), P.label_name().alias("label"))
+
+
 @query
 def hour_histogram(spark, sf_dir):
     return profile.hour_histogram(V.labelled(spark, sf_dir))
@@ -472,21 +480,25 @@ def model_scores(spark, sf_dir):
 
 # Streams
 
-def _in_batches(spark, sf_dir, run, parts: int = 4) -> str:
-    """Writes the transactions in ``parts`` spans of time; after each, ``run(stream, folder)`` takes in what is new."""
+def _in_batches(spark, rows, part, run, parts: int = 4) -> str:
+    """Writes the rows part by part; after each, ``run(stream, folder)`` takes in what is new."""
     folder = shared_dir(spark, "stream")
-    tx = V.transactions(spark, sf_dir)
-    width = V.SPAN_US // parts
-    part = F.least(F.lit(parts - 1), F.floor((F.unix_micros("event_time") - V.BASE_US) / width))
     for i in range(parts):
-        tx.filter(part == i).write.mode("append").parquet(f"{folder}/in")
-        started = run(spark.readStream.schema(tx.schema).parquet(f"{folder}/in"), folder)
+        rows.filter(part == i).write.mode("append").parquet(f"{folder}/in")
+        started = run(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"), folder)
         started.awaitTermination()
         if started.exception() is not None:
             raise started.exception()
     return folder
 
 
+def _by_time(spark, sf_dir, run, parts: int = 4) -> str:
+    """Transactions in spans of event time."""
+    width = V.SPAN_US // parts
+    part = F.least(F.lit(parts - 1), F.floor((F.unix_micros("event_time") - V.BASE_US) / width))
+    return _in_batches(spark, V.transactions(spark, sf_dir), part, run, parts)
+
+
 @query
 def decide_stream(spark, sf_dir):
     updates = V.rule_updates(spark, sf_dir)
@@ -495,7 +507,7 @@ def decide_stream(spark, sf_dir):
         decider = jobs.Decider(jobs.DecisionLog(f"{folder}/out"), lambda: updates, CONFIG, PRIORITY)
         return jobs.decide_stream(stream, decider, f"{folder}/checkpoint", availableNow=True)
 
-    folder = _in_batches(spark, sf_dir, run)
+    folder = _by_time(spark, sf_dir, run)
     return jobs.DecisionLog(f"{folder}/out").read(spark).select(
         "transaction_id", "account_id", F.col("amount").cast("long").alias("amount"), "rule_hit", "cep_pattern",
         F.round(F.col("ml_score").cast("double"), 4).alias("ml_score"), _us("produced_at"), _us("decided_at"), "decision",
@@ -514,7 +526,7 @@ def cep_stream(spark, sf_dir):
             lambda batch, batch_id: write_batch(batch, f"{folder}/out", batch_id)
         ).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
 
-    folder = _in_batches(spark, sf_dir, run)
+    folder = _by_time(spark, sf_dir, run)
     return spark.read.schema(stateful.OUTPUT).parquet(f"{folder}/out").select("transaction_id", "cep_pattern")
 
 
@@ -525,5 +537,36 @@ def metrics_stream(spark, sf_dir):
             lambda batch, batch_id: overwrite_table(batch, f"{folder}/out")
         ).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
 
-    folder = _in_batches(spark, sf_dir, run)
+    folder = _by_time(spark, sf_dir, run)
     return spark.read.parquet(f"{folder}/out").select(_us("second"), "n", "max_ms")
+
+
+@query
+def dlq_stream(spark, sf_dir):
+    """Dead letters of a message stream whose good messages are decided."""
+    def run(stream, folder):
+        decider = jobs.Decider(jobs.DecisionLog(f"{folder}/out"), lambda: V.rule_updates(spark, sf_dir), CONFIG, PRIORITY)
+        return jobs.decide_messages(stream, decider, f"{folder}/dlq", f"{folder}/checkpoint", availableNow=True)
+
+    messages = V.messages(spark, sf_dir)
+    folder = _in_batches(spark, messages, F.pmod(F.xxhash64("offset"), F.lit(2)), run, 2)
+    letter = F.from_json("value", "sourceTopic STRING, partition INT, `offset` BIGINT, rawPayload STRING, errorMessage STRING")
+    letters = spark.read.text(f"{folder}/dlq").select(letter.alias("l")).select("l.*")
+    # What was not dead must have been decided.
+    decided = jobs.DecisionLog(f"{folder}/out").read(spark).agg(F.count(F.lit(1)).alias("decided"))
+    return letters.groupBy("errorMessage").agg(F.count(F.lit(1)).alias("n"), F.sum("offset").alias("offsets")).unionByName(
+        decided.select(F.lit("").alias("errorMessage"), F.col("decided").alias("n"), F.lit(None).cast("long").alias("offsets"))
+    )
+
+
+@query
+def rule_stream(spark, sf_dir):
+    """Rules in force after all updates have come in as messages."""
+    def run(stream, folder):
+        return jobs.rule_stream(stream, f"{folder}/rules", f"{folder}/dlq", f"{folder}/checkpoint", availableNow=True)
+
+    messages = V.rule_messages(spark, sf_dir)
+    folder = _in_batches(spark, messages, F.pmod(F.xxhash64("offset"), F.lit(2)), run, 2)
+    return rules.active_rules(jobs.read_rule_table(spark, f"{folder}/rules")).select(
+        "rule_id", "field", "operator", "threshold", F.col("value").alias("operand"), "action", "seq"
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskengine import schemas
+from riskengine.constants import APPROVED
 from riskengine.operators.dedup import latest_by_key
 from riskengine.sources.parsing import as_messages
 
@@ -29,6 +30,11 @@ def write_decisions(decisions: DataFrame, path: str, batch_id: int = 0) -> None:
     write_batch(rows, path, batch_id, "decided_date")
 
 
+def write_alerts(decisions: DataFrame, path: str, batch_id: int = 0) -> None:
+    """The decisions that are not APPROVED, in a table of their own."""
+    write_decisions(decisions.filter(F.col("decision") != APPROVED), path, batch_id)
+
+
 def read_decisions(spark: SparkSession, path: str) -> DataFrame:
     """The newest row of each transaction."""
     return latest_by_key(spark.read.parquet(path), ["transaction_id"], ["decided_at", "batch_id"])
