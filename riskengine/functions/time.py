@@ -14,9 +14,13 @@ def epoch(col: str | Column, unit: str = MS) -> Column:
     return F.unix_millis(col) if unit == MS else F.unix_micros(col)
 
 
-def bucket(time: str, width: int) -> Column:
-    """Floor division of an integer time column, right for times before 1970 too."""
-    return F.expr(f"(`{time}` - pmod(`{time}`, {width}L)) div {width}L")
+def bucket(time: str, width: int | str) -> Column:
+    """Floor division of an integer time (a column or an expression), right for times before 1970 too.
+
+    ``width`` is a number or the name of a column.
+    """
+    w = f"{width}L" if isinstance(width, int) else f"`{width}`"
+    return F.expr(f"(({time}) - pmod({time}, {w})) div {w}")
 
 
 def latency_ms() -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from riskengine import constants as C
 from riskengine.functions.time import epoch
-from riskengine.operators.slicing import OWN, SLICE, halo_slices
+from riskengine.operators.slicing import OWN, SLICE, WIDTH, halo_slices, with_widths
 
 _KEYS = f"account_id, {SLICE}"
 _ORDER = "_ms, transaction_id"
@@ -95,12 +95,17 @@ RAPID_MICROPAYMENTS = CountPattern("RAPID_MICROPAYMENTS", C.ALERT, _micropayment
 
 @dataclass(frozen=True)
 class CepConfig:
-    """Patterns in the order they are tried, and the slice width the history is cut into."""
+    """Patterns in the order they are tried, and the slices the history is cut into.
+
+    With ``rows_per_slice`` accounts whose slices hold more rows than that are cut finer, at the cost of one pass that
+    counts them.
+    """
 
     patterns: Sequence[Pattern] = field(
         default=(LOCATION_JUMP, HIGH_FREQUENCY, DECLINED_BURST, RAPID_MICROPAYMENTS)
     )
     slice_s: int = 86_400
+    rows_per_slice: int | None = None
 
     @property
     def lookback_s(self) -> int:
@@ -149,9 +154,9 @@ class CepConfig:
 
 
 def sliced(df: DataFrame, config: CepConfig) -> DataFrame:
-    return halo_slices(
-        df.withColumn("_ms", epoch("event_time")), "_ms", config.slice_s * 1000, config.lookback_s * 1000
-    )
+    timed, lookback = df.withColumn("_ms", epoch("event_time")), config.lookback_s * 1000
+    timed = with_widths(timed, "_ms", config.slice_s * 1000, lookback, config.rows_per_slice)
+    return halo_slices(timed, "_ms", lookback).drop(WIDTH)
 
 
 def cascade(df: DataFrame, config: CepConfig, reaches: str, settled: str | None = None) -> DataFrame:

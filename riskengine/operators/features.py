@@ -4,7 +4,8 @@ What a row finds in its window is a running total over *events*: each row adds i
 length, takes itself out again when it leaves. Rows and leavings are sorted together once, so the cost of a row does
 not depend on how full its windows are, while a sliding frame would be summed again for every row. History is cut
 into (account, slice) groups with a halo as long as the longest window, and what lies further back (the previous
-row's time, the home location) comes in as one *carry* row per group.
+row's time, the home location) comes in as one *carry* row per group. With ``rows_per_slice``, busy accounts are cut
+finer.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from riskengine.constants import FEATURES
 from riskengine.functions.predicates import is_domestic, is_home, log_amount_ratio
 from riskengine.functions.time import MS, PER_SECOND, US, bucket, epoch
-from riskengine.operators.slicing import OWN, SLICE, halo_slices
+from riskengine.operators.slicing import OWN, SLICE, WIDTH, halo_slices, with_widths
 
 HOUR_S = 3600
 DAY_S = 24 * HOUR_S
@@ -47,13 +48,13 @@ SERVING = Rolling(MS, ties_count=True, gap_limit_s=DAY_S, with_home=True)
 REPLAY = Rolling(US, ties_count=True, gap_limit_s=None, with_home=True)
 
 
-def _carry(df: DataFrame, width: int, with_home: bool) -> DataFrame:
+def _carry(df: DataFrame, with_home: bool) -> DataFrame:
     """Per (account, slice): the last time before the slice and the account's first location.
 
     The aggregate shrinks before its shuffle; the window then sees one row per slice of an account.
     """
     where = F.min_by("location_name", F.struct("_k", "transaction_id")) if with_home else F.lit(None).cast("string")
-    per_slice = df.groupBy("account_id", bucket("_k", width).alias(SLICE)).agg(
+    per_slice = df.groupBy("account_id", bucket("_k", WIDTH).alias(SLICE)).agg(
         F.max("_k").alias("_last"), where.alias("_where")
     )
     w = Window.partitionBy("account_id").orderBy(SLICE)
@@ -67,17 +68,21 @@ def _carry(df: DataFrame, width: int, with_home: bool) -> DataFrame:
 
 
 def rolling(
-    df: DataFrame, mode: Rolling, include: Column | None = None, slice_s: int = SLICE_S
+    df: DataFrame,
+    mode: Rolling,
+    include: Column | None = None,
+    slice_s: int = SLICE_S,
+    rows_per_slice: int | None = None,
 ) -> DataFrame:
     """Adds ``_n1``, ``_n3`` (rows in 1 h and 3 h), ``_n24``, ``_sum24`` (included rows in 24 h and their amount),
     ``_gap`` (time since the previous row, null if none), ``_home`` and ``_first`` (no earlier row at all)."""
     per_s = PER_SECOND[mode.unit]
-    hour, day, width = HOUR_S * per_s, DAY_S * per_s, slice_s * per_s
+    hour, day = HOUR_S * per_s, DAY_S * per_s
     payload = df.columns
     counts = F.lit(True) if include is None else F.coalesce(include, F.lit(False))
-    timed = df.withColumn("_k", epoch("event_time", mode.unit))
-    groups = halo_slices(timed.withColumn("_inc", counts.cast("int")), "_k", width, day)
-    carry = _carry(timed, width, mode.with_home)
+    timed = df.withColumns({"_k": epoch("event_time", mode.unit), "_inc": counts.cast("int")})
+    timed = with_widths(timed, "_k", slice_s * per_s, day, rows_per_slice)
+    groups, carry = halo_slices(timed, "_k", day), _carry(timed, mode.with_home)
     groups = groups.unionByName(carry, allowMissingColumns=True).repartition("account_id", SLICE)
 
     # After the exchange a row becomes its arrival and its leavings; the payload stays with the arrival.
@@ -87,7 +92,6 @@ def rolling(
 
     events = (event(0, 1, 1, 1), event(hour, -1, 0, 0), event(3 * hour, 0, -1, 0), event(day, 0, 0, -1))
     nothing = f"struct({_BEFORE_ALL}L AS at, 0 AS d1, 0 AS d3, 0 AS d24, 0L * amount AS sum24, false AS leaves)"
-    ends = F.expr(f"({SLICE} + 1) * {width}L")
     flat = groups.select(
         "account_id",
         SLICE,
@@ -97,8 +101,11 @@ def rolling(
         F.col("_home").alias("_carried_home"),
         *[F.col(c).alias(f"_p_{c}") for c in payload],
         OWN,
+        WIDTH,
         F.expr(f"inline(CASE WHEN _k IS NULL THEN array({nothing}) ELSE array({', '.join(events)}) END)"),
-    ).filter(F.col("at") < ends)
+    )
+    # What leaves after the end of the slice is of no concern there; a carry row has no width.
+    flat = flat.filter(F.col(WIDTH).isNull() | (F.col("at") < (F.col(SLICE) + 1) * F.col(WIDTH)))
     arrival = ~F.col("leaves")
     row = F.when(F.col(OWN) & arrival, F.struct(*[F.col(f"_p_{c}").alias(c) for c in payload]))
     flat = flat.select(
@@ -161,14 +168,20 @@ def _columns(mode: Rolling, home: Column, domestic: Column) -> dict[str, Column]
     return dict(zip(FEATURES, values))
 
 
-def training_features(df: DataFrame, slice_s: int = SLICE_S, float32: bool = False) -> DataFrame:
+def training_features(
+    df: DataFrame, slice_s: int = SLICE_S, float32: bool = False, rows_per_slice: int | None = None
+) -> DataFrame:
     """From a labelled set with its own is_home and is_domestic: windows [t - w, t), all history averaged."""
     columns = _columns(TRAINING, F.col("is_home"), F.col("is_domestic"))
-    return _finish(rolling(df, TRAINING, slice_s=slice_s), df.columns, columns, float32)
+    return _finish(rolling(df, TRAINING, None, slice_s, rows_per_slice), df.columns, columns, float32)
 
 
 def serving_features(
-    df: DataFrame, include: Column | None = None, slice_s: int = SLICE_S, float32: bool = False
+    df: DataFrame,
+    include: Column | None = None,
+    slice_s: int = SLICE_S,
+    float32: bool = False,
+    rows_per_slice: int | None = None,
 ) -> DataFrame:
     """As the decision path sees them: windows [t - w, t], only rows with ``include`` averaged.
 
@@ -178,10 +191,10 @@ def serving_features(
     location = F.col("location_name")
     home = is_home(F.when(~F.col("_first"), F.col("_home")), location)
     columns = _columns(SERVING, home, is_domestic(location))
-    return _finish(rolling(df, SERVING, include, slice_s), df.columns, columns, float32)
+    return _finish(rolling(df, SERVING, include, slice_s, rows_per_slice), df.columns, columns, float32)
 
 
-def replay_features(df: DataFrame, slice_s: int = SLICE_S) -> DataFrame:
+def replay_features(df: DataFrame, slice_s: int = SLICE_S, rows_per_slice: int | None = None) -> DataFrame:
     """As the model validation replays them: all history averaged, figures rounded."""
     location = F.col("location_name")
     columns = _columns(REPLAY, F.coalesce(F.col("_home") == location, F.lit(False)), is_domestic(location))
@@ -190,4 +203,4 @@ def replay_features(df: DataFrame, slice_s: int = SLICE_S) -> DataFrame:
     columns["avg_amount_24h"] = F.when(F.col("_n24") > 0, cents).otherwise(F.col("amount").cast("double"))
     columns["log_amount_ratio_24h"] = F.round(columns["log_amount_ratio_24h"], 6)
     columns["time_since_last_tx_sec"] = F.round(columns["time_since_last_tx_sec"], 1)
-    return _finish(rolling(df, REPLAY, slice_s=slice_s), df.columns, columns, False)
+    return _finish(rolling(df, REPLAY, None, slice_s, rows_per_slice), df.columns, columns, False)

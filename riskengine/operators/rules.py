@@ -171,7 +171,7 @@ def apply_rules_asof(
     versions = (
         rule_versions(updates)
         .withColumn("_from", bucket("valid_from", width))
-        .withColumn("_to", F.expr(f"(valid_to - 1 - pmod(valid_to - 1, {width}L)) div {width}L"))
+        .withColumn("_to", bucket("valid_to - 1", width))
     )
     span = updates.agg(F.min(F.unix_micros("updated_at")).alias("lo"), F.max(F.unix_micros("updated_at")).alias("hi")).first()
     no_hit = F.lit(None).cast(_HIT)

@@ -12,16 +12,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskengine.functions.time import bucket
+from riskengine.operators.joins import lookup_join
+from riskengine.session import shared_dir
 
-SLICE, OWN = "_slice", "_own"
+SLICE, OWN, WIDTH = "_slice", "_own", "_width"
 
 
-def halo_slices(df: DataFrame, time: str, width: int, lookback: int) -> DataFrame:
+def with_widths(df: DataFrame, time: str, width: int, least: int, rows_per_slice: int | None) -> DataFrame:
+    """Adds ``_width``, the slice width of the row's account.
+
+    With ``rows_per_slice``, one pass counts rows per account and slice, and accounts with fuller slices are cut finer,
+    down to ``least``. There are no more such accounts than the table holds multiples of that number.
+    """
+    if rows_per_slice is None:
+        return df.withColumn(WIDTH, F.lit(width).cast("long"))
+    path = shared_dir(df.sparkSession, "widths")
+    counts = df.groupBy("account_id", bucket(time, width).alias(SLICE)).agg(F.count(F.lit(1)).alias("n"))
+    fit = F.greatest(F.lit(least), F.floor(F.lit(float(width) * rows_per_slice) / F.max("n"))).cast("long")
+    counts.filter(F.col("n") > rows_per_slice).groupBy("account_id").agg(fit.alias("_finer")).write.parquet(path)
+    joined = lookup_join(df, df.sparkSession.read.parquet(path), "account_id", "left", "transaction_id")
+    return joined.select(*df.columns, F.coalesce("_finer", F.lit(width)).cast("long").alias(WIDTH))
+
+
+def halo_slices(df: DataFrame, time: str, lookback: int) -> DataFrame:
     """Adds ``_slice`` and ``_own``; a row comes out once with ``_own`` true and once per later slice it reaches.
 
-    ``time`` is an integer column, ``width`` and ``lookback`` are in its unit.
+    ``time`` is an integer column; ``_width`` and ``lookback`` are in its unit.
     """
-    home = bucket(time, width)
-    reach = F.expr(f"(`{time}` + {lookback}L - pmod(`{time}` + {lookback}L, {width}L)) div {width}L")
+    home, reach = bucket(time, WIDTH), bucket(f"{time} + {lookback}L", WIDTH)
     cut = df.select("*", F.explode(F.sequence(home, reach)).alias(SLICE))
     return cut.withColumn(OWN, F.col(SLICE) == home)

@@ -6,6 +6,7 @@ from folds import cep_fold
 from pyspark.sql import functions as F
 
 from riskengine.operators import cep
+from riskengine.operators.slicing import with_widths
 
 BASE = datetime(2026, 1, 1, tzinfo=timezone.utc)
 M = 1_000_000
@@ -76,10 +77,10 @@ def random_rows(seed, n=1500):
     return rows
 
 
-@pytest.mark.parametrize("seed,slice_s", [(1, 86_400), (2, 3_600), (3, 600)])
-def test_cascade_equals_fold(spark, seed, slice_s):
+@pytest.mark.parametrize("seed,slice_s,rows_per_slice", [(1, 86_400, None), (2, 3_600, None), (3, 600, None), (4, 86_400, 300)])
+def test_cascade_equals_fold(spark, seed, slice_s, rows_per_slice):
     windows = {"LOCATION_JUMP": 300, "HIGH_FREQUENCY": 200, "DECLINED_BURST": 120, "RAPID_MICROPAYMENTS": 120}
-    config = cep.CepConfig(slice_s=slice_s).with_windows(**windows)
+    config = cep.CepConfig(slice_s=slice_s, rows_per_slice=rows_per_slice).with_windows(**windows)
     df = frame(spark, random_rows(seed)).withColumn("blocked", F.pmod(F.xxhash64("transaction_id"), F.lit(9)) == 0)
     got = cep.cep_decide(df, config, ~F.col("blocked")).withColumn("ms", F.unix_millis("event_time")).collect()
     rows = [r.asDict() for r in got]
@@ -106,3 +107,10 @@ def test_config_from_properties(spark):
 def test_custom_pattern(spark):
     df = cep.windowed_count(frame(spark, same(5, "Approved", [0, 1])), lambda: F.col("amount") == 5, 1, 10)
     assert [r.fired for r in df.collect()] == [True, True]
+
+
+def test_only_busy_accounts_are_cut_finer(spark):
+    df = frame(spark, random_rows(5, 400)).withColumn("_ms", F.unix_millis("event_time"))
+    widths = with_widths(df, "_ms", 86_400_000, 600_000, 100).select("account_id", "_width").distinct().collect()
+    finer = {r.account_id for r in widths if r._width < 86_400_000}
+    assert finer == {"ACC_4"} and min(r._width for r in widths) >= 600_000

@@ -66,16 +66,16 @@ def fold(data, mode):
 
 
 @pytest.mark.parametrize("mode", ["training", "serving", "replay"])
-@pytest.mark.parametrize("slice_s", [features.SLICE_S, 6 * 3600])
-def test_features_equal_fold(spark, mode, slice_s):
+@pytest.mark.parametrize("slice_s,rows_per_slice", [(features.SLICE_S, None), (6 * 3600, None), (features.SLICE_S, 60)])
+def test_features_equal_fold(spark, mode, slice_s, rows_per_slice):
     data = rows(7)
     df = frame(spark, data)
     if mode == "serving":
-        got = features.serving_features(df, F.col("ok"), slice_s)
+        got = features.serving_features(df, F.col("ok"), slice_s, rows_per_slice=rows_per_slice)
     elif mode == "training":
-        got = features.training_features(df, slice_s)
+        got = features.training_features(df, slice_s, rows_per_slice=rows_per_slice)
     else:
-        got = features.replay_features(df, slice_s)
+        got = features.replay_features(df, slice_s, rows_per_slice)
     want = fold(data, mode)
     seen = got.collect()
     assert len(seen) == len(want)
