@@ -95,8 +95,8 @@ def test_messages_are_split_and_scored(spark, tmp_path):
     assert "tx_count_3h" in seen[0]
 
 
-def run_rows(rows, batches):
-    """The stateful step over rows in arrival order, cut in batches."""
+def run_rows(rows):
+    """The stateful step over rows in arrival order."""
     steps = stateful._steps(CONFIG)
     state, out = {}, {}
     for r in rows:
@@ -109,13 +109,13 @@ def run_rows(rows, batches):
     return out
 
 
-def test_fixed_size_state_equals_fold(spark):
+def test_fixed_size_state_equals_fold():
     rows = [
         {"transaction_id": f"{a}-{i:04d}", "account_id": a, "amount": m, "status": s, "location_name": loc, "ms": t * 1000}
         for i, (a, m, s, loc, t) in enumerate(random_rows(9, 3000))
     ]
     rows.sort(key=lambda r: (r["account_id"], r["ms"], r["transaction_id"]))
-    assert run_rows(rows, 1) == cep_fold(rows, WINDOWS)
+    assert run_rows(rows) == cep_fold(rows, WINDOWS)
 
 
 def test_cep_stream_equals_batch(spark, tmp_path):
