@@ -7,7 +7,7 @@ the two new pairs; entries that no longer describe a live pair of that rank are
 merges within a piece is that of the rank, then from left to right, whatever the other pieces do. The work is
 proportional to the bytes of a piece, also for a piece of a megabyte.
 
-Encoded chunks are remembered per worker in two generations of bounded size.
+Encoded chunks and pieces are remembered per worker in two generations of bounded size.
 
 Rules for odd input: a null text counts as empty and gives no ids; repeated rows are encoded alike; result columns
 replace input columns of the same name, others pass through.
@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskengine.llm.common import clashing, list_column
+from riskengine.llm.common import Pieces, clashing, distinct_spans, list_column, per_group, slices
 
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 
 
 class RankQueue:
@@ -40,6 +40,14 @@ class RankQueue:
         self.mid = [0] * ((words >> 6) + 1)
         self.top = 0
 
+    def fill(self, ranks: np.ndarray, positions: np.ndarray) -> None:
+        """Files many positions, given in ascending order."""
+        order = np.argsort(ranks, kind="stable")
+        values, firsts = np.unique(ranks[order], return_index=True)
+        for rank, bucket in zip(values.tolist(), np.split(positions[order], firsts[1:])):
+            self.push(rank, -1)
+            self.buckets[rank] = bucket.tolist()
+
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
         if bucket is None:
@@ -78,7 +86,8 @@ class Merger:
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self.size = max(self.tokens) + 1
-        self.byte = [ranks[bytes([b])] for b in range(256)]
+        self.byte = np.array([ranks[bytes([b])] for b in range(256)])
+        self.pairs = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
         self.merged: dict[int, int] = {}
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -88,27 +97,22 @@ class Merger:
 
     def encode(self, pieces: list[bytes]) -> list[list[int]]:
         """The ids of each piece; pieces are independent of each other."""
-        data = b"".join(pieces)
-        n, size, merged = len(data), self.size, self.merged
-        token = [self.byte[b] for b in data]
-        after, before, last = list(range(1, n + 1)), list(range(-1, n - 1)), bytearray(n)
-        starts, at = [], 0
-        for piece in pieces:
-            starts.append(at)
-            at += len(piece)
-            if piece:
-                last[at - 1] = 1
-        queue = RankQueue(self.size)
-        push, get = queue.push, merged.get
-        for i in range(n - 1):
-            if not last[i]:
-                rank = get(token[i] * size + token[i + 1])
-                if rank is not None:
-                    push(rank, i)
-        live = bytearray(b"\1") * n
-        first = bytearray(n + 1)
-        for s in starts:
-            first[s] = 1
+        if not pieces:
+            return []
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        n, size, get = len(data), self.size, self.merged.get
+        token = self.byte[data].tolist()
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        ends = np.cumsum([len(p) for p in pieces])
+        starts = ends - [len(p) for p in pieces]
+        edge = np.zeros(n + 1, np.uint8)
+        edge[ends], edge[starts] = 1, 1
+        first, last, live = bytearray(edge), bytearray(edge[1:]), bytearray(b"\1") * n
+        queue = RankQueue(size)
+        push = queue.push
+        ranks = self.pairs[data[:-1], data[1:]]
+        at = np.flatnonzero((ranks >= 0) & (edge[1:n] == 0))
+        queue.fill(ranks[at], at)
         while (rank := queue.first()) >= 0:
             for i in sorted(queue.take(rank)):
                 # Stale: the left token is gone, is the last of its piece, or the pair is another one by now.
@@ -132,8 +136,8 @@ class Merger:
                     if new is not None:
                         push(new, p)
         out = []
-        for s, piece in zip(starts, pieces):
-            ids, i, end = [], s, s + len(piece)
+        for i, end in zip(starts.tolist(), ends.tolist()):
+            ids = []
             while i < end:
                 ids.append(token[i])
                 i = after[i]
@@ -150,48 +154,67 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Encoder:
     """Texts to ids; remembers what it has encoded.
 
-    A text is looked up in chunks that begin at a space: no match of the pattern goes on from a character other than
-    white space into white space, so a chunk's matches do not depend on its neighbours. Where spaces follow each other
-    a chunk is a run of white space with what comes after it.
+    A text is looked up in chunks that begin at ASCII white space after something else. No match of the pattern goes
+    on from other characters into white space, so a chunk's matches do not depend on its neighbours.
     """
 
     def __init__(self, path: str, pattern: str, remembered: int = REMEMBERED):
         self.merger = Merger(read_ranks(path))
         self.pattern = regex.compile(pattern)
-        self.chunks = regex.compile(r"\s+\S*|\S+")
         self.remembered, self.young, self.old = remembered, {}, {}
 
-    def split(self, text: str) -> list[str]:
-        if "  " in text:
-            return self.chunks.findall(text)
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + p for p in rest]
-
-    def learn(self, chunks: set[str]) -> None:
+    def learn(self, chunks: list[bytes]) -> None:
         """Sees to it that every chunk is remembered."""
-        new, young, old = [], self.young, self.old
-        for chunk in chunks:
-            if chunk not in young:
-                known = old.get(chunk)
-                if known is None:
-                    new.append(chunk)
-                else:
-                    young[chunk] = known
-        matches = [[m.encode() for m in self.pattern.findall(c)] for c in new]
-        pieces = list({p for c in matches for p in c})
-        ids = dict(zip(pieces, self.merger.encode(pieces)))
+        young = self.young
+        new = [c for c in chunks if not self.known(c)]
+        matches = [[m.encode() for m in self.pattern.findall(c.decode("utf-8", "replace"))] for c in new]
+        pieces = [p for p in {p for c in matches for p in c} if not self.known(p)]
+        for piece, ids in zip(pieces, self.merger.encode(pieces)):
+            young[piece] = np.array(ids, np.int32).tobytes()
         for chunk, parts in zip(new, matches):
-            young[chunk] = np.array([i for p in parts for i in ids[p]], np.int32).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as 32-bit integers."""
-        parts = [self.split(t) for t in texts]
-        self.learn({c for p in parts for c in p})
-        get = self.young.__getitem__
-        out = [b"".join(map(get, p)) for p in parts]
+            if parts != [chunk]:
+                young[chunk] = b"".join([young[p] for p in parts])
+
+    def known(self, part: bytes) -> bool:
+        if part in self.young:
+            return True
+        ids = self.old.get(part)
+        if ids is not None:
+            self.young[part] = ids
+        return ids is not None
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the documents of a slice one after another, and how many each has."""
+        starts = chunk_starts(data, offsets)
+        ends = np.append(starts[1:], len(data))
+        chunks, which = distinct_spans(data, starts, ends)
+        self.learn(chunks)
+        found = [self.young[c] for c in chunks]
         if len(self.young) > self.remembered:
             self.young, self.old = {}, self.young
-        return out
+        pieces = Pieces(np.frombuffer(b"".join(found), np.int32), np.fromiter(map(len, found), np.int64, len(found)) // 4)
+        ids, counts = pieces.gather(which)
+        docs = np.searchsorted(offsets, starts, "right") - 1
+        return ids, per_group(counts, docs, len(offsets) - 1)
+
+
+def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where chunks begin: at every document, and at ASCII white space that does not follow white space.
+
+    What follows a character that may be other white space (or begins with the same two bytes as one) begins no chunk.
+    """
+    space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+    blank = space | ((data >= 0x1C) & (data <= 0x1F))
+    start = space.copy()
+    start[1:] &= ~blank[:-1]
+    if len(data) > 2:
+        wide = np.zeros(len(data), bool)
+        wide[1:] = (data[:-1] == 0xC2) & ((data[1:] == 0x85) | (data[1:] == 0xA0))
+        first, second = data[:-2], data[1:-1]
+        wide[2:] |= (first >= 0xE1) & (first <= 0xE3) & ((second == 0x9A) | (second == 0x80) | (second == 0x81))
+        start[1:] &= ~wide[:-1]
+    start[offsets[:-1][offsets[:-1] < len(data)]] = True
+    return np.flatnonzero(start)
 
 
 @lru_cache(maxsize=2)
@@ -200,23 +223,13 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 
 @lru_cache(maxsize=2)
-def token_table(path: str) -> list[bytes]:
+def token_table(path: str) -> Pieces:
+    """The bytes of each id."""
     ranks = read_ranks(path)
     table = [b""] * (max(ranks.values()) + 1)
     for token, i in ranks.items():
         table[i] = token
-    return table
-
-
-def _slices(texts: list, limit: int = 1 << 20):
-    first = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= limit:
-            yield texts[first : i + 1]
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield texts[first:]
+    return Pieces(np.frombuffer(b"".join(table), np.uint8), np.array([len(t) for t in table]))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -228,13 +241,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: st
         own = encoder(path, pattern)
         for batch in batches:
             at = batch.schema.get_field_index("_text")
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            parts = [p for s in _slices(texts) for p in own.encode(s)]
-            counts = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-            column = list_column(np.frombuffer(b"".join(parts), np.int32), counts, pa.int32())
-            rest = [batch.column(i) for i in range(batch.num_columns) if i != at]
             names = [n for i, n in enumerate(batch.schema.names) if i != at]
-            yield pa.RecordBatch.from_arrays([*rest, column], names=[*names, ids])
+            for first, end, data, offsets in slices(batch.column(at)):
+                rest = [batch.column(i).slice(first, end - first) for i in range(batch.num_columns) if i != at]
+                yield pa.RecordBatch.from_arrays([*rest, list_column(*own.encode(data, offsets), pa.int32())], names=[*names, ids])
 
     return kept.mapInArrow(run, schema)
 
@@ -245,12 +255,12 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
     schema = T.StructType([*kept.schema, T.StructField(out, T.BinaryType(), False)])
 
     def run(batches):
-        get = token_table(path).__getitem__
+        table = token_table(path)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
             ends = column.offsets.to_numpy()
             values = column.values.to_numpy()
-            decoded = [b"".join(map(get, values[a:b].tolist())) for a, b in zip(ends[:-1], ends[1:])]
+            decoded = [table.gather(values[a:b])[0].tobytes() for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, out])
 
     return kept.mapInArrow(run, schema)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riskengine.session import shared_dir
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 3 << 20
 #: Random values of bytes and the base of the rolling hash; any odd base will do.
 _VALUES = np.random.default_rng(20240101).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -121,6 +121,37 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return spans_of(~_SPACE[data], offsets)
 
 
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct byte strings among the spans, and for each span its number among them. Spans are told apart by
+    64-bit hashes and length; a slice holds far too few for two to meet by chance."""
+    hashes = Hashes(data).spans(starts, ends)
+    _, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+    whole = data.tobytes()
+    return [whole[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist())], inverse
+
+
+class Pieces:
+    """Arrays laid end to end, to be put together again in any order."""
+
+    def __init__(self, values: np.ndarray, counts: np.ndarray):
+        self.values, self.counts = values, np.asarray(counts, np.int64)
+        self.starts = np.cumsum(self.counts) - self.counts
+
+    def gather(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces ``which`` one after another, and the length of each."""
+        counts = self.counts[which]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.repeat(self.starts[which] - (ends - counts), counts)
+        at += np.arange(total)
+        return self.values[at], counts
+
+
+def per_group(counts: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
+    """Sums of whole numbers by group."""
+    return np.bincount(group, counts, groups).astype(np.int64)
+
+
 def binary_column(pieces: list[bytes]) -> pa.Array:
     return pa.array(pieces, pa.binary())
 

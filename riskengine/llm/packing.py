@@ -146,12 +146,13 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, size: int, with_ids: b
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             for first, _, data, offsets in slices(batch.column(1)):
-                texts = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
+                ids, counts = own.encode(data, offsets, end_id)
+                ends = np.cumsum(counts)
                 rows = []
-                for doc_id, ids in zip(doc_ids[first:], own.encode(texts, end_id)):
-                    for piece, at in enumerate(range(0, len(ids), 4 * size)):
-                        part = ids[at : at + 4 * size]
-                        rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), part)[: len(schema)])
+                for doc_id, a, b in zip(doc_ids[first:], (ends - counts).tolist(), ends.tolist()):
+                    for piece, at in enumerate(range(a, b, size)):
+                        part = ids[at : min(at + size, b)].tobytes()
+                        rows.append((doc_id, piece, at - a, len(part) // 4, zlib.crc32(part), part)[: len(schema)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()])],
                     names=schema.names,

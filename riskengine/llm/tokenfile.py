@@ -33,6 +33,8 @@ BLOCK_IDS = 1 << 14
 IDS_PER_FILE = 1 << 21
 DOCS_PER_PART = 8_000
 MOST_PARTS = 100_000
+#: Up to so many files, their starts are sent to every task; beyond that, the files are joined with them.
+BROADCAST_FILES = 100_000
 
 
 def bits_for(vocabulary_size: int) -> int:
@@ -122,15 +124,15 @@ def write_tokens(
             doc_ids = batch.column(0).to_pylist()
             parts = [0 if d is None else 1 + int(np.searchsorted(cuts, d, "left")) for d in doc_ids]
             for first, end, data, offsets in slices(batch.column(1)):
-                texts = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
-                ids = own.encode(texts, end_id)
+                flat, counts = own.encode(data, offsets, end_id)
+                ids = np.split(flat, np.cumsum(counts)[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(parts[first:end], pa.int32()),
                         pa.array(doc_ids[first:end], pa.int64()),
                         pa.array([zlib.crc32(i) for i in ids], pa.int64()),
-                        pa.array([len(i) // 4 for i in ids], pa.int32()),
-                        pa.array([pack_bits(np.frombuffer(i, "<u4"), bits) for i in ids], pa.binary()),
+                        pa.array(counts, pa.int32()),
+                        pa.array([pack_bits(i, bits) for i in ids], pa.binary()),
                     ],
                     names=sent.names,
                 )
@@ -177,6 +179,8 @@ def read_tokens(spark, out: str, with_ids: bool = True) -> DataFrame:
     by_part = sizes.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_part_start"))
     within = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     starts = table.select("part", "number", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("_start")).join(by_part, "part")
+    if starts.count() <= BROADCAST_FILES:
+        starts = F.broadcast(starts)
     placed = table.join(starts, ["part", "number"]).select((F.col("_start") + F.col("_part_start")).alias("start"), "file")
     fields = [T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())]
     schema = T.StructType(fields + [T.StructField("ids", T.BinaryType())] * with_ids)
