@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from riskengine.llm.common import Pieces, clashing, distinct_spans, list_column, per_group, slices
 
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 
 
 class RankQueue:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riskengine.session import shared_dir
 
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
 #: Random values of bytes and the base of the rolling hash; any odd base will do.
 _VALUES = np.random.default_rng(20240101).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -91,7 +91,7 @@ class Hashes:
     """64-bit hashes of any spans of ``data`` that depend on the span's bytes alone."""
 
     def __init__(self, data: np.ndarray):
-        power, self._inverse = _powers(len(data) + 1)
+        power, self._inverse = _powers(len(data) + 1)  # shared, so not to be written to
         self._sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_VALUES[data] * power[: len(data)], out=self._sums[1:])
 

@@ -19,7 +19,7 @@ import numpy as np
 
 from riskengine.llm.common import Pieces, distinct_spans, lower, per_group, words_of
 
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 _CLOSING = b".,;:!?%&*#$"
 #: Marks that join with an ASCII letter are written with these bytes first.
 _MARKS = (0xCC, 0xCD)
