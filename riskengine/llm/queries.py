@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskengine.llm import bpe, packing, tokenfile, vptree
+from riskengine.llm import bpe, minhash, packing, tokenfile, vptree
 from riskengine.session import shared_dir
 
 REGISTRY: dict = {}
@@ -58,3 +58,8 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
+
+
+@query
+def op1_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
