@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskengine.llm import bpe, minhash, packing, tokenfile, vptree
+from riskengine.llm import bpe, langid, lbl, minhash, packing, tokenfile, vptree
 from riskengine.session import shared_dir
 
 REGISTRY: dict = {}
@@ -63,3 +63,13 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 @query
 def op1_minhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query
+def op2_langid(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op10_lbl(spark, sf_dir):
+    return lbl.score_documents(table(spark, sf_dir, "documents"))
