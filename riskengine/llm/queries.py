@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskengine.llm import bpe, langid, lbl, minhash, packing, tokenfile, vptree
+from riskengine.llm import bpe, langid, lbl, minhash, packing, suffix, tokenfile, vptree
 from riskengine.session import shared_dir
 
 REGISTRY: dict = {}
@@ -73,3 +73,9 @@ def op2_langid(spark, sf_dir):
 @query
 def op10_lbl(spark, sf_dir):
     return lbl.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_suffix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.digests(suffix.remove_repeats(docs, length=200))
