@@ -4,17 +4,48 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskengine.llm import packing
+from riskengine.llm import langid, minhash, packing, suffix
 from riskengine.session import shared_dir
 
+#: A text whose best language scores less on the mean over its words is rejected; so is one without a letter.
+LEAST_SCORE = 0.4
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the model knows."""
+    found = langid.identify(docs)
+    good = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    return found.filter(good).select(*docs.columns)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares at least four fifths of its five-word shingles."""
+    dropped = minhash.near_duplicates(docs.select("doc_id", "text"), words=5, percent=80).filter("NOT kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages of 200 bytes that stand elsewhere too. What a cut leaves of a character goes."""
+    text = F.when(F.size("removed") > 0, F.try_validate_utf8(F.col("kept_bytes").cast("string"))).otherwise(F.col("_whole"))
+    cut = suffix.remove_repeats(docs.withColumn("_whole", F.col("text")))
+    mended = F.coalesce(text, F.replace(F.make_valid_utf8(F.col("kept_bytes").cast("string")), F.lit("�"), F.lit("")))
+    out = cut.withColumn("text", F.when(F.col("_whole").isNotNull(), mended))
+    return out.withColumn("n_chars", F.when(F.col("_whole").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document that is left, in sequences of at most 2048 tokens."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=0, size=2048, with_ids=False)
 
 
-STAGES = [("best_fit_packing", packed)]
+STAGES = [
+    ("language_id", identified),
+    ("minhash_near_dedup", deduplicated),
+    ("suffix_array_dedup", without_repeats),
+    ("best_fit_packing", packed),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

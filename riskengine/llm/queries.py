@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskengine.llm import bpe, langid, lbl, minhash, packing, suffix, tokenfile, vptree
+from riskengine.llm import bpe, langid, lbl, minhash, packing, simhash, suffix, tokenfile, vptree, warc
 from riskengine.session import shared_dir
 
 REGISTRY: dict = {}
@@ -79,3 +79,49 @@ def op10_lbl(spark, sf_dir):
 def op3_suffix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix.digests(suffix.remove_repeats(docs, length=200))
+
+
+@query
+def op6_simhash(spark, sf_dir):
+    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_revisits(spark, sf_dir):
+    found = warc.resolve(warc.captures(table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", warc.header_text(F.col("headers")))
+
+
+ORACLES["op7_revisits"] = r"""
+WITH p AS (SELECT page_id, url, sha1(coalesce(html, '')) AS digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS size FROM pages),
+r AS (SELECT page_id, url, digest, size, page_id * 60 AS t, 'W/"' || substr(digest, 1, 16) || '"' AS weak, 'day ' || page_id % 28 AS modified FROM p),
+bare AS (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b FROM r),
+parts AS (SELECT *,
+    regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(b, '^([^/?]*)', 1)), '^.*@', ''), ':(80|443)$', ''), '^(www[0-9]*|m)\.', '') AS host1,
+    regexp_replace(regexp_extract(b, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(b, '\?(.*)$', 1), '&'),
+        lambda q: q <> '' AND NOT regexp_matches(q, '^(?i:utm_[a-z]+|ref|sessionid|sid|phpsessid|jsessionid)(=|$)'))) AS q FROM bare),
+k AS (SELECT *, path || CASE WHEN len(q) > 0 THEN '?' || list_aggregate(q, 'string_agg', '&') ELSE '' END AS tail,
+    regexp_replace(lower(regexp_extract(b, '^([^/?]*)', 1)), ':(80|443)$', '') AS host2 FROM parts),
+responses AS (SELECT page_id, host1 || tail AS url_key, t, digest, size, modified, substr(weak, 3) AS tag FROM k),
+revisits AS (SELECT page_id, host2 || tail AS url_key, t + page_id % 97 * 3600 + 30 AS t,
+    CASE WHEN page_id % 5 <> 0 THEN CASE WHEN page_id % 13 = 0 THEN '"other"' ELSE weak END END AS tag,
+    CASE WHEN page_id % 11 <> 0 THEN modified END AS modified FROM k),
+ranked AS (SELECT v.page_id, v.url_key, v.tag, v.modified, s.page_id AS found, s.digest, s.size, s.tag AS stag, s.modified AS smod,
+    row_number() OVER (PARTITION BY v.page_id ORDER BY s.t DESC, s.page_id DESC) AS n
+  FROM revisits v LEFT JOIN responses s ON s.url_key = v.url_key AND (s.t < v.t OR (s.t = v.t AND s.page_id * 2 < v.page_id * 2 + 1))),
+judged AS (SELECT *, CASE WHEN found IS NULL THEN 'no_response'
+    WHEN tag IS NOT NULL THEN CASE WHEN replace(tag, 'W/', '') = stag THEN 'resolved' ELSE 'mismatch' END
+    WHEN modified IS NOT NULL THEN CASE WHEN modified = smod THEN 'resolved' ELSE 'mismatch' END
+    ELSE 'unvalidated' END AS outcome FROM ranked WHERE n = 1)
+SELECT page_id * 2 + 1 AS record_id, url_key, outcome,
+    CASE WHEN outcome = 'resolved' THEN found * 2 END AS response_id,
+    CASE WHEN outcome = 'resolved' THEN digest END AS payload_digest,
+    CASE WHEN outcome = 'resolved' THEN size END AS payload_length,
+    CASE WHEN outcome = 'resolved'
+      THEN 'cache-control: max-age=' || page_id % 100 || chr(10) || 'content-type: text/html' || chr(10) || 'date: minute ' || page_id || chr(10) ||
+           'etag: ' || coalesce(tag, stag) || chr(10) || 'last-modified: ' || smod || chr(10) || 'server: origin'
+      ELSE 'cache-control: max-age=' || page_id % 100 || chr(10) || 'date: minute ' || page_id || coalesce(chr(10) || 'etag: ' || tag, '') ||
+           coalesce(chr(10) || 'last-modified: ' || modified, '') || chr(10) || 'server: cache' END AS headers
+FROM judged
+"""
