@@ -7,7 +7,8 @@ long, so 64 sums hold 128 counters. A document's words never cross the network:
 document is.
 
 Rules for odd input: a null text is empty; a text without words has the fingerprint of zeros; rows equal in id and text
-are one document when the next one is looked for, and each gets the same result; a null id comes first in the order, and
+are one document when the next one is looked for, and each gets the same result; a null id (or -2**63, which stands for it)
+comes first in the order, and
 equal ids go by a hash of the text; a single document is its own next.
 """
 
@@ -122,7 +123,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     (sha256), both fingerprints, and how like they are to each other and to the next document's."""
     text = F.coalesce("text", F.lit(""))
     key = ["_k1", "_k2"]
-    texts = docs.select(*row_key(F.col("doc_id"), F.col("text")), F.col("doc_id"), text.alias("_text"))
+    # Both joins read this very table, so Spark shuffles the texts once and uses them twice.
+    texts = docs.select(*row_key(F.col("doc_id"), F.col("text")), text.alias("_text"))
     following = written(with_next(texts.select(*key, F.length("_text").alias("_n")).distinct()), "following")
 
     asked = following.select(F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), "n1", "n2", F.floor(F.col("_n") / 4).cast("int").alias("_take"))
@@ -130,12 +132,12 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     borrowed = other.join(asked, ["n1", "n2"]).select(F.col("q1").alias("_k1"), F.col("q2").alias("_k2"), F.expr("substring(_text, 1, _take)").alias("_borrowed"))
     n = F.length("_text")
     both = texts.join(borrowed.dropDuplicates(key), key).select(
-        *key, "doc_id", n.cast("long").alias("n_chars"), "_text",
+        *key, n.cast("long").alias("n_chars"), "_text",
         F.concat(F.substring("_text", F.lit(1), n - F.floor(n / 4).cast("int")), F.col("_borrowed")).alias("_edited"),
     )
     both = both.withColumn("edited_sha256", F.sha2(F.col("_edited").cast("binary"), 256))
-    sides = both.select(*key, "doc_id", "n_chars", "edited_sha256", F.posexplode(F.array("_text", "_edited")).alias("_side", "_text"))
-    keys = [*key, "doc_id", "n_chars", "edited_sha256"]
+    sides = both.select(*key, "n_chars", "edited_sha256", F.posexplode(F.array("_text", "_edited")).alias("_side", "_text"))
+    keys = [*key, "n_chars", "edited_sha256"]
     prints = fingerprints(sides, [*keys, "_side"], "_text")
     pick = lambda side, c: F.max(F.when(F.col("_side") == side, F.col(c)))
     found = prints.groupBy(*keys).agg(
@@ -150,7 +152,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     whole = found.join(following.drop("_n"), key).join(nexts, ["n1", "n2"]).join(degrees, ["f0", "f1"], "left")
     own, edited, after = ((F.col(f"{c}0"), F.col(f"{c}1")) for c in "fex")
     return whole.select(
-        "doc_id", "n_chars", "edited_sha256",
+        F.nullif("_k1", F.lit(-(2**63))).alias("doc_id"), "n_chars", "edited_sha256",
         as_text(*own).alias("fingerprint"), as_text(*edited).alias("edited_fingerprint"),
         likeness(own, edited).alias("near_edited"), likeness(own, after).alias("near_next"),
         F.coalesce("n_near", F.lit(0)).alias("n_near"), "copies",
