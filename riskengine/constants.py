@@ -15,13 +15,10 @@ RULE_ACTIONS = ("BLOCK", "ALERT")
 
 # Decisions, in ascending severity.
 APPROVED, ALERT, BLOCK = "APPROVED", "ALERT", "BLOCK"
-DECISION_RANK = {APPROVED: 1, ALERT: 2, BLOCK: 3}
 
 # Topics.
 TRANSACTIONS_TOPIC = "transactions"
 RULES_TOPIC = "rules-updates"
-TRANSACTIONS_DLQ_TOPIC = "transactions-dlq"
-RULES_DLQ_TOPIC = "rules-updates-dlq"
 
 # Pattern defaults.
 LOCATION_JUMP_WINDOW_S = 3600

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from riskengine import constants as C
 from riskengine.functions.time import epoch
-from riskengine.operators.slicing import OWN, SLICE, WIDTH, halo_slices, with_widths
+from riskengine.operators.slicing import OWN, ROWS_PER_SLICE, SLICE, WIDTH, halo_slices, with_widths
 
 _KEYS = f"account_id, {SLICE}"
 _ORDER = "_ms, transaction_id"
@@ -97,15 +97,15 @@ RAPID_MICROPAYMENTS = CountPattern("RAPID_MICROPAYMENTS", C.ALERT, _micropayment
 class CepConfig:
     """Patterns in the order they are tried, and the slices the history is cut into.
 
-    With ``rows_per_slice`` accounts whose slices hold more rows than that are cut finer, at the cost of one pass that
-    counts them.
+    Accounts whose slices hold more rows than ``rows_per_slice`` are cut finer, at the cost of one pass that counts them;
+    ``None`` leaves it out.
     """
 
     patterns: Sequence[Pattern] = field(
         default=(LOCATION_JUMP, HIGH_FREQUENCY, DECLINED_BURST, RAPID_MICROPAYMENTS)
     )
     slice_s: int = 86_400
-    rows_per_slice: int | None = None
+    rows_per_slice: int | None = ROWS_PER_SLICE
 
     @property
     def lookback_s(self) -> int:
@@ -190,9 +190,11 @@ def cep_decide(
     return cascade(sliced(df, config), config, "_reaches", settled).filter(OWN).drop("_reaches", "_ms", SLICE, OWN)
 
 
-def pattern_alone(df: DataFrame, pattern: Pattern, slice_s: int = 86_400, fired: str = "fired") -> DataFrame:
+def pattern_alone(
+    df: DataFrame, pattern: Pattern, slice_s: int = 86_400, fired: str = "fired", rows_per_slice: int | None = ROWS_PER_SLICE
+) -> DataFrame:
     """One pattern by itself, as a boolean column."""
-    config = CepConfig((pattern,), slice_s)
+    config = CepConfig((pattern,), slice_s, rows_per_slice)
     cut = pattern.mark(sliced(df, config), F.lit(True), "_fired")
     return cut.filter(OWN).select(*df.columns, F.col("_fired").alias(fired))
 

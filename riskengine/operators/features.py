@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from riskengine.constants import FEATURES
 from riskengine.functions.predicates import is_domestic, is_home, log_amount_ratio
 from riskengine.functions.time import MS, PER_SECOND, US, bucket, epoch
-from riskengine.operators.slicing import OWN, SLICE, WIDTH, halo_slices, with_widths
+from riskengine.operators.slicing import OWN, ROWS_PER_SLICE, SLICE, WIDTH, halo_slices, with_widths
 
 HOUR_S = 3600
 DAY_S = 24 * HOUR_S
@@ -72,7 +72,7 @@ def rolling(
     mode: Rolling,
     include: Column | None = None,
     slice_s: int = SLICE_S,
-    rows_per_slice: int | None = None,
+    rows_per_slice: int | None = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Adds ``_n1``, ``_n3`` (rows in 1 h and 3 h), ``_n24``, ``_sum24`` (included rows in 24 h and their amount),
     ``_gap`` (time since the previous row, null if none), ``_home`` and ``_first`` (no earlier row at all)."""
@@ -169,7 +169,7 @@ def _columns(mode: Rolling, home: Column, domestic: Column) -> dict[str, Column]
 
 
 def training_features(
-    df: DataFrame, slice_s: int = SLICE_S, float32: bool = False, rows_per_slice: int | None = None
+    df: DataFrame, slice_s: int = SLICE_S, float32: bool = False, rows_per_slice: int | None = ROWS_PER_SLICE
 ) -> DataFrame:
     """From a labelled set with its own is_home and is_domestic: windows [t - w, t), all history averaged."""
     columns = _columns(TRAINING, F.col("is_home"), F.col("is_domestic"))
@@ -181,7 +181,7 @@ def serving_features(
     include: Column | None = None,
     slice_s: int = SLICE_S,
     float32: bool = False,
-    rows_per_slice: int | None = None,
+    rows_per_slice: int | None = ROWS_PER_SLICE,
 ) -> DataFrame:
     """As the decision path sees them: windows [t - w, t], only rows with ``include`` averaged.
 
@@ -194,7 +194,7 @@ def serving_features(
     return _finish(rolling(df, SERVING, include, slice_s, rows_per_slice), df.columns, columns, float32)
 
 
-def replay_features(df: DataFrame, slice_s: int = SLICE_S, rows_per_slice: int | None = None) -> DataFrame:
+def replay_features(df: DataFrame, slice_s: int = SLICE_S, rows_per_slice: int | None = ROWS_PER_SLICE) -> DataFrame:
     """As the model validation replays them: all history averaged, figures rounded."""
     location = F.col("location_name")
     columns = _columns(REPLAY, F.coalesce(F.col("_home") == location, F.lit(False)), is_domestic(location))

@@ -8,6 +8,8 @@ same in every branch and every retry of the plan, so they are computed once and
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -37,9 +39,17 @@ def _with_buckets(df: DataFrame, value: str, cuts: list[float]) -> DataFrame:
     """Adds ``_bucket``, which grows with ``value`` and is equal for equal values."""
     splits = [float("-inf"), *cuts, float("inf")]
     numbered = df.withColumn("_double", F.col(value).cast("double"))
-    # NaN sorts last in Spark and goes to a bucket after all others.
+    # NaN sorts last in Spark and goes to a bucket after all others. So does null, which sorts first: it gets -1.
     bucketizer = Bucketizer(splits=splits, inputCol="_double", outputCol="_bucket", handleInvalid="keep")
-    return bucketizer.transform(numbered).drop("_double")
+    bucket = F.when(F.col(value).isNull(), F.lit(-1.0)).otherwise(F.col("_bucket"))
+    return bucketizer.transform(numbered).withColumn("_bucket", bucket).drop("_double")
+
+
+def _join_null_safe(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """An inner join by ``keys`` in which null meets null."""
+    other = other.withColumnsRenamed({k: f"_o_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys])
+    return df.join(other, same).drop(*[f"_o_{k}" for k in keys])
 
 
 def prefix_sums(
@@ -65,7 +75,7 @@ def prefix_sums(
         before = [running(ordered, m).alias(f"{m}_before") for m in measures]
         return df.select("*", *before, *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures])
 
-    keys = [*groups, "_bucket"]
+    keys, columns = [*groups, "_bucket"], df.columns
     df = _with_buckets(df, value, cuts)
     # One row per bucket here: at most MAX_BUCKETS per group.
     earlier = whole.orderBy(F.col("_bucket").desc() if descending else F.col("_bucket").asc())
@@ -75,10 +85,9 @@ def prefix_sums(
         *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures],
     )
     local = Window.partitionBy(*keys).orderBy(order)
-    out = df.join(offsets, keys).withColumns(
-        {f"{m}_before": running(local, m) + F.col(f"_{m}_offset") for m in measures}
-    )
-    return out.drop("_bucket", *[f"_{m}_offset" for m in measures])
+    met = _join_null_safe(df, offsets, keys)
+    before = [(running(local, m) + F.col(f"_{m}_offset")).alias(f"{m}_before") for m in measures]
+    return met.select(*columns, *before, *[f"{m}_total" for m in measures])
 
 
 def exact_quantiles(
@@ -123,7 +132,7 @@ def hashed_rank(df: DataFrame, groups: Sequence[str], key: str, seed: str = "",
     The order looks random and is the same on every run. A group is worked on in 4096 parts by leading hex digits,
     so a group that is most of the table is still spread out.
     """
-    df = df.withColumn("_hash", F.md5(F.concat(F.lit(seed), F.col(key)))).withColumn(
+    df = df.withColumn("_hash", F.md5(F.concat(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))))).withColumn(
         "_part", F.substring("_hash", 1, MD5_DIGITS)
     )
     df = df.withColumn("_one", F.lit(1).cast("long"))
@@ -135,7 +144,7 @@ def hashed_rank(df: DataFrame, groups: Sequence[str], key: str, seed: str = "",
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_off_{m}") for m in sums],
         F.sum("_one").over(Window.partitionBy(*groups)).alias("group_size"),
     )
-    out = df.join(offsets, keys)
+    out = _join_null_safe(df, offsets, keys)
     out = out.withColumn("rank", F.sum("_one").over(local) + F.col("_off__one"))
     for m in measures:
         out = out.withColumn(f"{m}_upto", F.sum(m).over(local) + F.col(f"_off_{m}"))

@@ -16,13 +16,15 @@ from riskengine.operators.joins import lookup_join
 from riskengine.session import shared_dir
 
 SLICE, OWN, WIDTH = "_slice", "_own", "_width"
+#: Unless told otherwise, accounts whose slices hold more rows than this are cut finer.
+ROWS_PER_SLICE = 1_000_000
 
 
 def with_widths(df: DataFrame, time: str, width: int, least: int, rows_per_slice: int | None) -> DataFrame:
     """Adds ``_width``, the slice width of the row's account.
 
-    With ``rows_per_slice``, one pass counts rows per account and slice, and accounts with fuller slices are cut finer,
-    down to ``least``. There are no more such accounts than the table holds multiples of that number.
+    One pass counts rows per account and slice, and accounts with more than ``rows_per_slice`` in one are cut finer, down
+    to ``least``; ``None`` leaves the pass out. There are no more such accounts than the table holds multiples of that number.
     """
     if rows_per_slice is None:
         return df.withColumn(WIDTH, F.lit(width).cast("long"))
@@ -30,7 +32,10 @@ def with_widths(df: DataFrame, time: str, width: int, least: int, rows_per_slice
     counts = df.groupBy("account_id", bucket(time, width).alias(SLICE)).agg(F.count(F.lit(1)).alias("n"))
     fit = F.greatest(F.lit(least), F.floor(F.lit(float(width) * rows_per_slice) / F.max("n"))).cast("long")
     counts.filter(F.col("n") > rows_per_slice).groupBy("account_id").agg(fit.alias("_finer")).write.parquet(path)
-    joined = lookup_join(df, df.sparkSession.read.parquet(path), "account_id", "left", "transaction_id")
+    finer = df.sparkSession.read.parquet(path)
+    if not finer.limit(1).count():
+        return df.withColumn(WIDTH, F.lit(width).cast("long"))
+    joined = lookup_join(df, finer, "account_id", "left", "transaction_id")
     return joined.select(*df.columns, F.coalesce("_finer", F.lit(width)).cast("long").alias(WIDTH))
 
 

@@ -54,6 +54,8 @@ LOG = f"""log AS (
   SELECT * FROM dec WHERE account_id NOT LIKE '{RULE_TEST_ACCOUNTS_LIKE}' AND account_id <> 'ACC_00001'
 )"""
 
+WINDOW = f"""account_id NOT LIKE '{RULE_TEST_ACCOUNTS_LIKE}' AND us >= {BASE_US} + 6 * 3600000000 AND us < {BASE_US} + 20 * 3600000000"""
+
 UPDATES = f"""upd0 AS (SELECT *, (s_suppkey * 7919 + 41) % 100003 AS pos FROM supplier), upd AS (
   SELECT concat('RULE_', lpad(CAST(s_nationkey AS VARCHAR), 2, '0')) AS rule_id,
     CASE WHEN s_nationkey % 5 < 3 THEN 'account_id' ELSE 'amount' END AS field,
@@ -367,6 +369,13 @@ FROM tx""",
     "home_location": f"""WITH {TX} SELECT account_id, arg_min(location_name, (us, transaction_id)) AS first_location_name
 FROM tx GROUP BY account_id""",
     "total_transactions": f"WITH {TX}, {DEC}, {LOG} SELECT count(*) AS total FROM log",
+    "total_transactions_window": f"WITH {TX}, {DEC} SELECT count(*) AS total FROM dec WHERE {WINDOW}",
+    "latency_percentiles_window": f"""WITH {TX}, {DEC} SELECT {", ".join(
+        f"round(quantile_cont(CAST(latency_ms AS DOUBLE), {p}), 4) AS {name}"
+        for name, p in (("p50_ms", 0.5), ("p90_ms", 0.9), ("p95_ms", 0.95), ("p99_ms", 0.99), ("max_ms", 1))
+    )} FROM dec WHERE {WINDOW}""",
+    "written_decisions": f"""WITH {TX}, {DEC} SELECT CASE WHEN us % 3 = 2 THEN 0 ELSE 1 END AS batch_id, decision, count(*) AS n,
+  CAST(sum(amount) AS DOUBLE) AS amount FROM dec GROUP BY 1, 2""",
     "latency_avg": f"WITH {TX}, {DEC}, {LOG} SELECT round(avg(latency_ms), 0) AS avg_latency_ms FROM log",
     "latency_percentiles": f"""WITH {TX}, {DEC}, {LOG} SELECT {", ".join(
         f"round(quantile_cont(CAST(latency_ms AS DOUBLE), {p}), 4) AS {name}"
@@ -431,7 +440,7 @@ FROM log WHERE is_fraud <> ({_CAUGHT})""",
     "missed_by_pattern": f"""WITH {TX}, {DEC}, {LOG} SELECT fraud_pattern, count(*) AS n FROM log
 WHERE is_fraud AND decision = 'APPROVED' GROUP BY 1""",
     "missed_account_history": f"""WITH {TX}, {DEC}, {LOG} SELECT account_id, transaction_id, amount, decision, is_fraud, fraud_pattern
-FROM log WHERE account_id IN (SELECT account_id FROM log WHERE is_fraud AND decision = 'APPROVED' AND amount > 9000)""",
+FROM log WHERE account_id IN (SELECT account_id FROM log WHERE is_fraud AND decision = 'APPROVED')""",
     "dataset_profile": f"""WITH {TX}, {LABELLED} SELECT count(*) AS total_rows, count(*) FILTER (WHERE is_fraud) AS fraud_rows,
   round(count(*) FILTER (WHERE is_fraud) * 100.0e0 / count(*), 4) AS fraud_percent, count(DISTINCT account_id) AS accounts,
   min(us) AS first_event_us, max(us) AS last_event_us, count(amount) AS amount_count, round(avg(amount), 4) AS amount_mean,

@@ -18,7 +18,6 @@ from riskengine import constants as C
 _UUID = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 _DATE_TIME = "^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})$"
 _NUMBER = "decimal(38,9)"
-_LONG_MAX = float(2**63 - 1)
 
 
 @dataclass(frozen=True)
@@ -53,6 +52,17 @@ class Field:
     def text(self) -> Column:
         return F.col(f"_text.{self.name}")
 
+    @property
+    def number(self) -> Column:
+        """The exact number, null if it is too large for any amount."""
+        return self.text.try_cast(_NUMBER)
+
+    @property
+    def whole(self) -> Column:
+        """The number without its fraction, null if that is no 64-bit integer."""
+        cut = F.when(self.number < 0, F.ceil(self.number)).otherwise(F.floor(self.number))
+        return cut.try_cast("long")
+
     def error(self) -> Column:
         """What is wrong with the property, or null."""
         text, wrong_type = self.text, f"{self.name}: must be of type {self.json_type}"
@@ -64,10 +74,9 @@ class Field:
             json_type = {"string": "^STRING$", "boolean": "^BOOLEAN$"}.get(self.kind, "^(BIGINT|DECIMAL|DOUBLE)")
             found = found.when(~F.col(f"_text.{self.name}_type").rlike(json_type), wrong_type)
         if self.kind == "integer":
-            number = text.cast(_NUMBER)
-            found = found.when(number != F.floor(number), wrong_type)
+            found = found.when(self.number != F.floor(self.number), wrong_type)
         if self.kind in ("number", "integer"):
-            found = found.when(F.abs(text.cast("double")) > _LONG_MAX, f"{self.name}: out of range")
+            found = found.when(self.whole.isNull(), f"{self.name}: out of range")
         if self.pattern:
             found = found.when(~text.rlike(self.pattern), f"{self.name}: must match {self.pattern}")
         if self.values:
@@ -82,8 +91,7 @@ class Field:
     def value(self) -> Column:
         if self.kind in ("number", "integer"):
             # Fractions are cut off, toward zero; a missing number is 0.
-            cut = self.text.cast(_NUMBER).cast("long")
-            return cut if self.required else F.coalesce(cut, F.lit(0))
+            return self.whole if self.required else F.coalesce(self.whole, F.lit(0))
         if self.kind == "boolean":
             return self.text.cast("boolean")
         if self.kind == "date-time":

@@ -1,4 +1,5 @@
-"""Writes. Each is safe to repeat: a retried batch replaces what its first try left."""
+"""Writes. Each is safe to repeat: a batch that is run again under its number replaces what its first try left, and no
+other. The caller gives the number, so two runs never share one by default."""
 
 from __future__ import annotations
 
@@ -24,13 +25,13 @@ def write_parts(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def write_decisions(decisions: DataFrame, path: str, batch_id: int = 0) -> None:
+def write_decisions(decisions: DataFrame, path: str, batch_id: int) -> None:
     """The decision table, by day decided."""
     rows = decisions.select(*schemas.DECISION.fieldNames(), F.to_date("decided_at").alias("decided_date"))
     write_batch(rows, path, batch_id, "decided_date")
 
 
-def write_alerts(decisions: DataFrame, path: str, batch_id: int = 0) -> None:
+def write_alerts(decisions: DataFrame, path: str, batch_id: int) -> None:
     """The decisions that are not APPROVED, in a table of their own."""
     write_decisions(decisions.filter(F.col("decision") != APPROVED), path, batch_id)
 
@@ -40,8 +41,9 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
     return latest_by_key(spark.read.parquet(path), ["transaction_id"], ["decided_at", "batch_id"])
 
 
-def write_dlq(records: DataFrame, path: str, batch_id: int = 0) -> None:
-    as_messages(records).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+def write_dlq(records: DataFrame, path: str, source: str, batch_id: int) -> None:
+    """Dead letters of one batch of one source; sources may share a path."""
+    as_messages(records).write.mode("overwrite").text(f"{path}/source={source}/batch_id={batch_id}")
 
 
 def write_dlq_stream(records: DataFrame, fmt: str, checkpoint: str, **options: str):

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from riskengine import schemas
-from riskengine.constants import PRIORITY_ACCOUNTS, SCORE_THRESHOLD, TRANSACTIONS_TOPIC
+from riskengine.constants import PRIORITY_ACCOUNTS, RULES_TOPIC, SCORE_THRESHOLD, TRANSACTIONS_TOPIC
 from riskengine.operators.cep import CepConfig, cep_decide
 from riskengine.operators.features import DAY_S, serving_features
 from riskengine.operators.joins import members, salted_join
@@ -27,7 +26,6 @@ from riskengine.sources.parsing import dlq_records, parse_rules, parse_transacti
 from riskengine.sources.sinks import write_batch, write_dlq, write_parts
 
 LOG_COLUMNS = [c for c in schemas.DECIDED_LOG.fieldNames() if c not in ("event_date", "batch_id")]
-MOST_DAYS = 62
 
 
 def _stored(spark: SparkSession, path: str, schema: StructType, base: str | None = None) -> DataFrame:
@@ -49,24 +47,19 @@ class DecisionLog:
 
     path: str
 
-    def _days(self, first: date, last: date) -> str:
-        """The folders of these days, so that no other is even listed."""
-        n = (last - first).days + 1
-        if n > MOST_DAYS:
-            return f"{self.path}/log"
-        days = ",".join(str(first + timedelta(days=i)) for i in range(n))
-        return f"{self.path}/log/event_date={{{days}}}"
-
     def history(self, batch: DataFrame, batch_id: int, lookback_s: int) -> DataFrame:
         """Rows of earlier batches that the batch can look back at: its accounts, from its first row's window on."""
         spark = batch.sparkSession
         since = F.min("event_time") - F.expr(f"INTERVAL {lookback_s} SECONDS")
-        span = batch.agg(
-            F.unix_micros(since).alias("since"), F.to_date(since).alias("first"), F.to_date(F.max("event_time")).alias("last")
-        ).first()
+        span = batch.agg(F.unix_micros(since).alias("since")).first()
+        # The days that some row looks back over, so that no other folder is even listed. One old row adds its own days
+        # alone.
+        back = F.sequence(F.to_date(F.col("event_time") - F.expr(f"INTERVAL {lookback_s} SECONDS")), F.to_date("event_time"))
+        days = batch.select(F.explode(back).alias("day")).distinct().collect()
         if span.since is None:
             return spark.createDataFrame([], schemas.DECIDED_LOG).select(*LOG_COLUMNS)
-        log = _stored(spark, self._days(span.first, span.last), schemas.DECIDED_LOG, f"{self.path}/log")
+        folders = f"{self.path}/log/event_date={{{','.join(sorted(str(r.day) for r in days))}}}"
+        log = _stored(spark, folders, schemas.DECIDED_LOG, f"{self.path}/log")
         recent = log.filter((F.col("batch_id") < batch_id) & (F.col("event_time") >= F.timestamp_micros(F.lit(span.since))))
         return members(recent.select(*LOG_COLUMNS), batch, "account_id", "transaction_id")
 
@@ -156,7 +149,7 @@ def decide_stream(transactions: DataFrame, decider: Decider, checkpoint: str, **
 
 
 def decide_messages(
-    raw: DataFrame, decider: Decider, dlq_path: str, checkpoint: str, topic: str = TRANSACTIONS_TOPIC, **trigger
+    raw: DataFrame, decider: Decider, dlq_path: str, checkpoint: str, source: str = TRANSACTIONS_TOPIC, **trigger
 ) -> StreamingQuery:
     """The same from raw messages: bad ones go to the dead-letter table of the batch, the rest are decided."""
 
@@ -165,7 +158,7 @@ def decide_messages(
         parsed.persist()
         try:
             good, bad = split_dlq(parsed)
-            write_dlq(dlq_records(bad), dlq_path, batch_id)
+            write_dlq(dlq_records(bad), dlq_path, source, batch_id)
             decider(good.select(*schemas.TRANSACTION.fieldNames()), batch_id)
         finally:
             parsed.unpersist()
@@ -176,7 +169,7 @@ def decide_messages(
     )
 
 
-def rule_stream(raw: DataFrame, path: str, dlq_path: str, checkpoint: str, **trigger) -> StreamingQuery:
+def rule_stream(raw: DataFrame, path: str, dlq_path: str, checkpoint: str, source: str = RULES_TOPIC, **trigger) -> StreamingQuery:
     """Appends valid rule updates to the table that deciders read."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -184,7 +177,7 @@ def rule_stream(raw: DataFrame, path: str, dlq_path: str, checkpoint: str, **tri
         parsed.persist()
         try:
             good, bad = split_dlq(parsed)
-            write_dlq(dlq_records(bad), dlq_path, batch_id)
+            write_dlq(dlq_records(bad), dlq_path, source, batch_id)
             rules = good.withColumn("updated_at", F.current_timestamp()).withColumn("seq", F.col("offset"))
             write_batch(rules.select(*schemas.RULE_UPDATE.fieldNames()), path, batch_id)
         finally:

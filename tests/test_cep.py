@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -114,3 +115,18 @@ def test_only_busy_accounts_are_cut_finer(spark):
     widths = with_widths(df, "_ms", 86_400_000, 600_000, 100).select("account_id", "_width").distinct().collect()
     finer = {r.account_id for r in widths if r._width < 86_400_000}
     assert finer == {"ACC_4"} and min(r._width for r in widths) >= 600_000
+
+
+def test_a_busy_account_is_cut_finer_unless_turned_off(spark):
+    """One account with a third of the rows, all within one day: its largest group stays near the given number."""
+    rows = [("busy" if i % 3 == 0 else f"a{i % 50}", i * 10) for i in range(6000)]
+    df = spark.createDataFrame(rows, "account_id string, s long").select(
+        F.monotonically_increasing_id().cast("string").alias("transaction_id"), "account_id", F.timestamp_seconds(F.col("s")).alias("event_time"),
+        F.lit(5000).cast("long").alias("amount"), F.lit("Approved").alias("status"), F.lit("Hanoi").alias("location_name"),
+    )
+    config = cep.CepConfig(rows_per_slice=300).with_windows(LOCATION_JUMP=300, HIGH_FREQUENCY=300, DECLINED_BURST=120, RAPID_MICROPAYMENTS=120)
+    most = lambda c: cep.sliced(df, c).groupBy("account_id", cep.SLICE).count().agg(F.max("count")).first()[0]
+    assert most(config) < 700 < 1900 < most(replace(config, rows_per_slice=None))
+    assert cep.CepConfig().rows_per_slice is not None
+    fired = [sorted(r.transaction_id for r in cep.cep_decide(df, c).filter("cep_pattern IS NOT NULL").collect()) for c in (config, replace(config, rows_per_slice=None))]
+    assert fired[0] == fired[1] and fired[0]

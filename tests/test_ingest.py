@@ -80,11 +80,38 @@ def test_rules(spark, change, expected):
         assert r.threshold == int(change.get("threshold", 0)) and r.value == change.get("value") and r.enabled
 
 
+HUGE = ["9223372036854775808", "-9223372036854775809", "1e40", "-1e40", "1e400", "9" * 36, "1" + "0" * 37]
+
+
+@pytest.mark.parametrize("number", HUGE)
+def test_numbers_out_of_range_are_dead_letters(spark, number):
+    tx = json.dumps(GOOD).replace(f'"amount": {json.dumps(GOOD["amount"])}', f'"amount": {number}')
+    rule = json.dumps({**RULE, "threshold": 1}).replace('"threshold": 1', f'"threshold": {number}')
+    for parsed, field in ((parsing.parse_transactions(raw(spark, tx)), "amount"), (parsing.parse_rules(raw(spark, rule)), "threshold")):
+        r = parsed.first()
+        assert [e.split(":")[0] for e in r.errors] == [field] and r[field] is None
+
+
+@pytest.mark.parametrize("number,value", [("9223372036854775807", 2**63 - 1), ("-9223372036854775808", -(2**63)), ("1.9", 1), ("-1.9", -1), ("1e-20", 0)])
+def test_numbers_in_range(spark, number, value):
+    tx = json.dumps(GOOD).replace(f'"amount": {json.dumps(GOOD["amount"])}', f'"amount": {number}')
+    r = parsing.parse_transactions(raw(spark, tx)).first()
+    assert r.errors == [] and r.amount == value
+
+
+def test_sources_share_a_dead_letter_path(spark, tmp_path):
+    _, bad = parsing.split_dlq(parsing.parse_transactions(raw(spark, "nope")))
+    for source in ("transactions", "rules-updates"):
+        for batch in (0, 1):
+            sinks.write_dlq(parsing.dlq_records(bad), str(tmp_path), source, batch)
+    assert spark.read.text(str(tmp_path)).count() == 4
+
+
 def test_split_and_dlq_round_trip(spark, tmp_path):
     good, bad = parsing.split_dlq(parsing.parse_transactions(raw(spark, GOOD, "nope", {**GOOD, "x": 1})))
     assert good.count() == 1
-    sinks.write_dlq(parsing.dlq_records(bad), str(tmp_path / "dlq"))
-    sinks.write_dlq(parsing.dlq_records(bad), str(tmp_path / "dlq"))  # a retry
+    sinks.write_dlq(parsing.dlq_records(bad), str(tmp_path / "dlq"), "transactions", 7)
+    sinks.write_dlq(parsing.dlq_records(bad), str(tmp_path / "dlq"), "transactions", 7)  # a retry
     out = sorted((json.loads(r.value) for r in spark.read.text(str(tmp_path / "dlq")).collect()), key=lambda d: d["offset"])
     assert [list(d) for d in out] == [["sourceTopic", "partition", "offset", "rawPayload", "errorMessage", "failedAt"]] * 2
     assert (out[0]["rawPayload"], out[0]["partition"], out[0]["offset"]) == ("nope", 3, 1)

@@ -26,10 +26,12 @@ def test_time_range_and_columns_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "d")
     df = frame(spark, same(5, "Approved", [0, 1, 2])).withColumn("produced_at", F.col("event_time")).withColumn("decided_at", F.col("event_time"))
     df = df.withColumns({"rule_hit": F.lit("R"), "cep_pattern": F.lit(None).cast("string"), "ml_score": F.lit(0.5), "decision": F.lit("ALERT")})
-    sinks.write_decisions(df, path)
-    sinks.write_decisions(df, path)
-    sinks.write_alerts(df, str(tmp_path / "a"))
+    sinks.write_decisions(df, path, 1)
+    sinks.write_decisions(df, path, 1)
+    sinks.write_alerts(df, str(tmp_path / "a"), 1)
     assert spark.read.parquet(path).count() == 3 and spark.read.parquet(str(tmp_path / "a")).count() == 3
+    sinks.write_decisions(df.withColumn("transaction_id", F.concat(F.lit("n"), "transaction_id")), path, 2)
+    assert sinks.read_decisions(spark, path).count() == 6
     assert sinks.read_decisions(spark, path).columns[:3] == ["transaction_id", "account_id", "amount"]
     stored = spark.read.parquet(path)
     text = plan(reports.avg_latency(reports.report_rows(stored, start=datetime(2026, 1, 1, tzinfo=timezone.utc))))

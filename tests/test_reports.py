@@ -176,3 +176,17 @@ def test_lookups_by_broadcast_and_by_salt(spark, limit):
     want = df.join(spans, (F.col("produced_at") >= F.col("a")) & (F.col("produced_at") < F.col("b")))
     key = lambda d: sorted((r.transaction_id, r.i) for r in d.collect())
     assert key(met) == key(want) and met.columns == want.columns
+
+
+@pytest.mark.parametrize("many", [1_000_000, 3])
+def test_null_groups_and_values_stay(spark, many):
+    rows = [(g, v) for g in ("a", None) for v in range(10)] + [("a", None), (None, None)]
+    df = spark.createDataFrame(rows, "g string, v long").withColumn("n", F.lit(1).cast("long"))
+    sums = prefix.prefix_sums(df, "v", ["n"], ["g"], rows_per_bucket=many)
+    assert sums.columns == ["g", "v", "n", "n_before", "n_total"]
+    got = {(r.g, r.v): (r.n_before, r.n_total) for r in sums.collect()}
+    assert got == {(g, v): (0 if v is None else v + 1, 11) for g, v in rows}
+    q = {r.g: r.p50 for r in prefix.exact_quantiles(df, "v", {"p50": 0.5}, ["g"], rows_per_bucket=many).collect()}
+    assert q == {"a": 4.5, None: 4.5}
+    ranked = prefix.hashed_rank(df.withColumn("k", F.col("v").cast("string")), ["g"], "k").collect()
+    assert len(ranked) == len(rows) and {r.group_size for r in ranked} == {11}
