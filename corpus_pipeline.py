@@ -10,7 +10,7 @@ from riskengine.llm import langid, minhash, packing, suffix
 from riskengine.session import shared_dir
 
 #: A text whose best language scores less on the mean over its words is rejected; so is one without a letter.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
