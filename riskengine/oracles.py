@@ -485,20 +485,25 @@ ORACLES["metrics_stream"] = f"""WITH {TX} SELECT decided_us - decided_us % 10000
 # The feedback between averages and decisions, one row of each account at a time.
 _RECENT = "list_filter(f.hist, lambda h: h.ms >= s.ms - 86400000)"
 _INCLUDED = "list_filter(f.hist, lambda h: h.ms >= s.ms - 86400000 AND h.ok)"
-ORACLES["sequential_serving_fold"] = f"""WITH RECURSIVE {TX}, seq AS (
-  SELECT transaction_id, account_id, amount, ms, event_time, location_name, amount > 1000000000 AS ruled,
-    {_DOMESTIC} AS domestic, row_number() OVER w AS k, lag(ms) OVER w AS prev, first(location_name) OVER w AS home_name FROM tx
+_OK = "CASE stage WHEN 'ML' THEN score < 0.6e0 ELSE stage = 'PRIORITY' END"
+
+
+def _fold(source: str, stage: str) -> str:
+    """CTEs ``seq``, ``fold`` and ``feat``; ``stage`` says which stage decides a row of ``source``."""
+    return f"""seq AS (
+  SELECT transaction_id, account_id, amount, ms, event_time, location_name, {stage} AS stage,
+    {_DOMESTIC} AS domestic, row_number() OVER w AS k, lag(ms) OVER w AS prev, first(location_name) OVER w AS home_name FROM {source}
   WINDOW w AS (PARTITION BY account_id ORDER BY ms, transaction_id)
 ), fold AS (
   SELECT DISTINCT account_id, CAST(0 AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS transaction_id, CAST(NULL AS DOUBLE) AS avg24,
     CAST(0 AS BIGINT) AS n1, CAST(0 AS BIGINT) AS n3, CAST(NULL AS DOUBLE) AS score, true AS approved,
     CAST([] AS STRUCT(ms BIGINT, amount BIGINT, ok BOOLEAN)[]) AS hist FROM seq
   UNION ALL
-  SELECT account_id, k, transaction_id, avg24, n1, n3, CASE WHEN NOT ruled THEN score END,
-    NOT ruled AND score < 0.6e0, list_append(hist, {{'ms': ms, 'amount': amount, 'ok': NOT ruled AND score < 0.6e0}})
+  SELECT account_id, k, transaction_id, avg24, n1, n3, CASE WHEN stage = 'ML' THEN score END,
+    {_OK}, list_append(hist, {{'ms': ms, 'amount': amount, 'ok': {_OK}}})
   FROM (
     SELECT *, round(ln(1 + amount / avg24) / (1 + ln(1 + amount / avg24)) + least(n1, 9) / 100.0e0, 6) AS score FROM (
-      SELECT s.account_id, s.k, s.transaction_id, s.ms, s.amount, s.ruled, f.hist, len({_RECENT}) AS n24,
+      SELECT s.account_id, s.k, s.transaction_id, s.ms, s.amount, s.stage, f.hist, len({_RECENT}) AS n24,
         len(list_filter(f.hist, lambda h: h.ms >= s.ms - 3600000)) AS n1, len(list_filter(f.hist, lambda h: h.ms >= s.ms - 10800000)) AS n3,
         CASE WHEN len({_INCLUDED}) > 0 THEN CAST(list_sum(list_transform({_INCLUDED}, lambda h: h.amount)) AS DOUBLE) / len({_INCLUDED})
           ELSE CAST(s.amount AS DOUBLE) END AS avg24
@@ -509,7 +514,16 @@ ORACLES["sequential_serving_fold"] = f"""WITH RECURSIVE {TX}, seq AS (
   SELECT seq.*, avg24, n1, n3, fold.score, fold.approved, CASE WHEN seq.k = 1 THEN domestic ELSE location_name = home_name END AS home,
     CASE WHEN seq.ms - prev <= 86400000 THEN (seq.ms - prev) / 1000.0e0 ELSE 0 END AS gap
   FROM fold JOIN seq USING (transaction_id)
-) {_feature_select("feat").replace("SELECT transaction_id", "SELECT score AS ml_score, approved, transaction_id", 1)}"""
+)"""
+
+
+_FOLDED = _feature_select("feat").replace("SELECT transaction_id", "SELECT score AS ml_score, approved, transaction_id", 1)
+ORACLES["sequential_serving_fold"] = f"""WITH RECURSIVE {TX}, {_fold("tx", "CASE WHEN amount > 1000000000 THEN 'RULE' ELSE 'ML' END")}
+{_FOLDED}"""
+ORACLES["decide_full"] = f"""WITH RECURSIVE {DECIDED}, {_fold("staged", "stage")}, folded AS ({_FOLDED})
+SELECT f.* EXCLUDE (approved), rule_hit, cep_pattern, s.stage, CASE s.stage WHEN 'RULE' THEN rule_status WHEN 'PRIORITY' THEN 'APPROVED'
+  WHEN 'CEP' THEN cep_status ELSE CASE WHEN f.ml_score >= 0.6e0 THEN 'ALERT' ELSE 'APPROVED' END END AS decision
+FROM folded f JOIN staged s USING (transaction_id)"""
 
 ORACLES["dataset_union"] = f"""WITH {TX} SELECT transaction_id, account_id, amount, us AS event_time_us,
   CASE WHEN is_fraud THEN 'Fraud' ELSE 'Normal' END AS label FROM tx"""

@@ -497,6 +497,15 @@ def sequential_serving_fold(spark, sf_dir):
     return _features(serve_until_stable(staged, _risk, 0.6), "ml_score", "approved")
 
 
+@query
+def decide_full(spark, sf_dir):
+    """From rows to decisions by way of all stages: rules, allow-list, patterns, features over all rows, the model."""
+    active = rules.active_rules(V.rule_updates(spark, sf_dir))
+    decided = D.decide(V.transactions(spark, sf_dir).drop("ml_score"), active, CONFIG, PRIORITY, 0.6, _risk)
+    decided = decided.withColumn("amount", F.col("amount").cast("double"))
+    return _features(decided, "rule_hit", "cep_pattern", "stage", "ml_score", "decision")
+
+
 @query
 def model_scores(spark, sf_dir):
     """Scores of the test accounts by a model fitted on the training accounts."""
