@@ -479,7 +479,9 @@ FROM lab JOIN parts USING (account_id) GROUP BY 1""",
 # Streams end with what the batch gives.
 ORACLES["decide_stream"] = ORACLES["decide"]
 ORACLES["cep_stream"] = ORACLES["cep_cascade"]
-ORACLES["metrics_stream"] = f"""WITH {TX} SELECT decided_us - decided_us % 1000000 AS second_us, count(*) AS n,
+ORACLES["metrics_stream"] = f"""WITH {TX} SELECT decided_us - decided_us % 1000000 AS second_us, count(*) AS n, {", ".join(
+    f"quantile_disc(decided_us // 1000 - us // 1000, 0.{p}) AS p{p}" for p in (50, 90, 99)
+  )},
   max(decided_us // 1000 - us // 1000) AS max_ms FROM tx GROUP BY 1"""
 
 # The feedback between averages and decisions, one row of each account at a time.

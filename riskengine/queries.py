@@ -577,7 +577,7 @@ def metrics_stream(spark, sf_dir):
         ).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
 
     folder = _by_time(spark, sf_dir, run)
-    return spark.read.parquet(f"{folder}/out").select(_us("second"), "n", "max_ms")
+    return spark.read.parquet(f"{folder}/out").select(_us("second"), "n", "p50", "p90", "p99", "max_ms")
 
 
 @query
