@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from riskengine.constants import FEATURES, MODEL_TARGETS
 from riskengine.plans import reports
 from riskengine.plans.profile import class_weight
+from riskengine.session import shared_dir
 
 
 @dataclass(frozen=True)
@@ -86,21 +87,32 @@ def score(model: PipelineModel, rows: DataFrame, name: str = "ml_score") -> Data
 
 
 def tune(
-    rows: DataFrame, validation: DataFrame, trials: Sequence[Params], seed: int = 42
+    rows: DataFrame, validation: DataFrame, trials: Sequence[Params], seed: int = 42, final_rounds: int | None = None
 ) -> tuple[PipelineModel, list[dict]]:
-    """Fits every trial and keeps the one with the best average precision on the validation set."""
+    """Fits every trial and keeps the one with the best average precision on the validation set.
+
+    With ``final_rounds``, the best settings are fitted again with up to so many rounds.
+    """
     best, log = None, []
     for params in trials:
         model = train(rows, params, validation, seed)
         value = reports.auc_pr(score(model, validation)).first().auc_pr or 0.0
         log.append({**asdict(params), "auc_pr": value})
         if best is None or value > best[0]:
-            best = (value, model)
+            best = (value, model, params)
+    if final_rounds is not None:
+        return train(rows, replace(best[2], rounds=final_rounds), validation, seed), log
     return best[1], log
 
 
 def evaluate(scored: DataFrame) -> DataFrame:
-    """Best threshold, the figures there, both areas, and whether each beats its target."""
+    """Best threshold, the figures there, both areas, and whether each beats its target.
+
+    Scores and labels are written once, so the model is applied once for all figures.
+    """
+    path = shared_dir(scored.sparkSession, "evaluated")
+    scored.select("is_fraud", "ml_score").write.parquet(path)
+    scored = scored.sparkSession.read.parquet(path)
     best = reports.best_threshold(scored).first()
     at = reports.classification_report(scored, best.threshold, MODEL_TARGETS)
     out = at.select(

@@ -51,6 +51,28 @@ def test_tuning_keeps_the_best(spark):
     assert reports.auc_pr(ml.score(model, sample(spark, 100, 2))).first()[0] == pytest.approx(best)
 
 
+def test_the_best_trial_is_fitted_again(spark):
+    trials = [ml.Params(depth=d, rounds=1) for d in (1, 3)]
+    train, held = sample(spark), sample(spark, 100, 2)
+    model, log = ml.tune(train, held, trials, final_rounds=6)
+    trees = model.stages[-1]
+    assert trees.getMaxDepth() == max(log, key=lambda t: t["auc_pr"])["depth"]
+    assert trees.getMaxIter() == 6 and 1 <= trees.getNumTrees <= 6
+
+
+def test_evaluation_applies_the_model_once(spark):
+    applied = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def stamp(x):
+        applied.add(1)
+        return x / 4
+
+    scored = sample(spark, 50).withColumn("ml_score", stamp("log_amount_ratio_24h"))
+    assert ml.evaluate(scored).first().auc_roc > 0.9
+    assert applied.value == 50
+
+
 def test_feedback_equals_fold(spark):
     data = rows(11, 200, 3)
     staged = frame(spark, data).withColumn("stage", F.when(F.col("ok"), "ML").when(F.col("is_home"), "RULE").otherwise("PRIORITY"))
