@@ -38,6 +38,17 @@ def _stored(spark: SparkSession, path: str, schema: StructType, base: str | None
         return spark.createDataFrame([], schema)
 
 
+def _first_seen(batch: DataFrame, history: DataFrame) -> DataFrame:
+    """The batch without what is replayed: one row per transaction, and none that an earlier batch has decided.
+
+    A replayed row has the account and time it had before, so it is part of the history that its batch reads. Rows
+    without an id all stay.
+    """
+    known = batch.filter(F.col("transaction_id").isNotNull()).dropDuplicates(["transaction_id"])
+    known = known.join(history.select("transaction_id"), "transaction_id", "left_anti").select(*batch.columns)
+    return known.unionByName(batch.filter(F.col("transaction_id").isNull()))
+
+
 @dataclass
 class DecisionLog:
     """The decided rows, by batch and day, and each account's first location.
@@ -114,10 +125,11 @@ class Decider:
             batch = batch.withColumn("ml_score", F.lit(None).cast("double"))
         if "decided_at" not in batch.columns:
             batch = batch.withColumn("decided_at", F.current_timestamp())
-        new = apply_rules(batch, active_rules(self.updates())).withColumn("_settled", F.lit(False))
         # Settled rows keep their pattern, so looking back over the longest window is enough.
         lookback = max(p.window_s for p in self.config.patterns)
         history = self.log.history(batch, batch_id, DAY_S if self.score else lookback)
+        batch = _first_seen(batch, history)
+        new = apply_rules(batch, active_rules(self.updates())).withColumn("_settled", F.lit(False))
         rows = new.withColumns({c: F.lit(None).cast("string") for c in ("cep_pattern", "stage", "decision")})
         rows = rows.select(*LOG_COLUMNS, "_settled").unionByName(history.withColumn("_settled", F.lit(True)))
         rows = cep_decide(rows, self.config, reaches_patterns(self.priority_accounts), "_settled")

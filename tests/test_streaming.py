@@ -58,6 +58,19 @@ def test_decide_stream_equals_batch(spark, tmp_path):
     assert decider.log.read(spark).count() == 300 and key(decider.log.read(spark)) == key(want)
 
 
+def test_replayed_rows_are_decided_once(spark, tmp_path):
+    df = rows_for(spark, 8, 200)
+    part = F.ntile(2).over(Window.orderBy("event_time", "transaction_id"))
+    first, second = (df.withColumn("part", part).filter(F.col("part") == i).drop("part") for i in (1, 2))
+    decider = jobs.Decider(jobs.DecisionLog(str(tmp_path / "out")), lambda: updates(spark), CONFIG, ("ACC_1",))
+    decider(first.union(first), 0)
+    decider(second.union(first).union(second), 1)
+    want = decide(df, active_rules(updates(spark)), CONFIG, ("ACC_1",))
+    got = decider.log.read(spark)
+    key = lambda d: sorted((r.transaction_id, r.rule_hit or "", r.cep_pattern or "", r.decision) for r in d.collect())
+    assert got.count() == 200 and key(got) == key(want)
+
+
 def test_rules_take_effect_with_the_next_batch(spark, tmp_path):
     rules_raw = raw(spark, RULE | {"threshold": 1_000})
     rules_raw.write.parquet(str(tmp_path / "rules-in"))
