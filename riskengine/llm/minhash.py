@@ -130,6 +130,21 @@ def _blocks(lists: DataFrame) -> DataFrame:
     return cut.drop("_n", "_blocks", "_own", "_other")
 
 
+def _beside(size: np.ndarray, comp: np.ndarray, who: np.ndarray, others: np.ndarray, similarity: float) -> np.ndarray:
+    """For each of the members ``who``, whether one of ``others`` is of another component and near enough in size."""
+    if not len(others):
+        return np.zeros(len(who), bool)
+    others = others[np.argsort(size[others], kind="stable")]
+    sizes, named = size[others], comp[others]
+    first = np.searchsorted(sizes, similarity * size[who] - 1e-9, "left")
+    end = np.searchsorted(sizes, size[who] / similarity + 1e-9, "right")
+    # Where the run of one component ends that a place lies in.
+    edge = np.flatnonzero(named[1:] != named[:-1]) + 1
+    stop = np.append(edge, len(named))[np.searchsorted(edge, np.arange(len(named)), "right")]
+    at = np.minimum(first, len(named) - 1)
+    return (first < end) & ((named[at] != comp[who]) | (stop[at] < end))
+
+
 def _open_members(similarity: float):
     def run(table: pa.Table) -> pa.Table:
         rep, comp = table.column("rep").to_numpy(), table.column("component").to_numpy()
@@ -139,16 +154,30 @@ def _open_members(similarity: float):
         if len(np.unique(comp)) > 1:
             # A possible partner shares retained values: members are met by value, not each with each.
             flat = sketch.ravel()
-            order = np.argsort(flat, kind="stable")
-            cut = np.flatnonzero(np.diff(flat[order])) + 1
+            order = np.flatnonzero(flat != np.iinfo(np.uint64).max)
+            order = order[np.argsort(flat[order], kind="stable")]
+            holders = np.split(order // sketch.shape[1], np.flatnonzero(np.diff(flat[order])) + 1)
+            values = np.unique(flat[order])
+            need = np.maximum(1, np.ceil((similarity - MARGIN) * np.minimum(SKETCH, size) - 1e-9)).astype(np.int64)
+            # What all members hold is not met but counted. Two that share nothing else are as near as asked for only
+            # if the value that makes up the count is among the least of their union: its place there is the sum of
+            # its places in both, less what is counted twice.
+            common = values[[len(own) == len(rep) for own in holders]]
+            for m in np.unique(need[need <= len(common)]):
+                place = (sketch <= common[m - 1]).sum(1)
+                for p in np.unique(place[need == m]):
+                    who, others = np.flatnonzero((need == m) & (place == p)), np.flatnonzero(place <= SKETCH + m - p)
+                    keep[who] |= _beside(size, comp, who, others, similarity)
             met: dict[int, list[np.ndarray]] = {}
-            for own in np.split(order // sketch.shape[1], cut):
+            for own in holders:
                 if 1 < len(own) < len(rep) and len(np.unique(comp[own])) > 1:
                     for i in own:
                         met.setdefault(int(i), []).append(own)
             for i, owns in met.items():
+                if keep[i]:
+                    continue
                 others, shared = np.unique(np.concatenate(owns), return_counts=True)
-                others = others[(comp[others] != comp[i]) & (shared + 1 >= max(1, (similarity - MARGIN) * min(SKETCH, size[i])))]
+                others = others[(comp[others] != comp[i]) & (shared + len(common) >= need[i])]
                 if len(others):
                     found = _possible(sketch, size, i, others, similarity)
                     if len(found):

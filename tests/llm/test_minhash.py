@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskengine.llm import minhash
@@ -65,6 +66,48 @@ def test_groups_that_no_single_member_links(spark, monkeypatch, block):
     assert got == brute(rows, 3, 85)
 
 
+@pytest.mark.parametrize("words, percent", [(3, 85), (5, 80)])
+def test_families_whose_least_member_is_just_below_the_threshold(spark, words, percent):
+    """Near copies of each other that miss the first member: most retained values are common to the whole family."""
+    rnd, rows = random.Random(11), []
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    for family in range(160):
+        base = [word() for _ in range(rnd.randint(100, 300))]
+        n = len(base) - words + 1
+        # A run of new words costs the run and words - 1 shingles; the first member lies 1 to 3 % below the threshold.
+        gone = round(n * (1 - (percent - rnd.uniform(1, 3)) / 100) / (1 + (percent - 2) / 100)) - words + 1
+        at = rnd.randrange(words, len(base) - gone - words)
+        texts = [base[:at] + [word() for _ in range(gone)] + base[at + gone :]]
+        for _ in range(rnd.randint(2, 9)):
+            where = rnd.randrange(len(base))
+            texts.append(base[:where] + [word()] + base[where + 1 :])
+        rows += [(100 * family + k, " ".join(t)) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in minhash.near_duplicates(df, words, percent).collect())
+    assert got == brute(rows, words, percent)
+
+
+def test_open_members_are_all_that_have_a_possible_partner():
+    rng = np.random.default_rng(3)
+    for round in range(120):
+        n, held = int(rng.integers(2, 9)), int(rng.integers(1, 14))
+        common = rng.choice(2**62, held, replace=False)
+        pool = rng.choice(2**62, 30, replace=False)
+        sets = [np.unique(np.concatenate([common, rng.choice(pool, int(rng.integers(0, 16)), replace=False)])).astype(np.uint64) for _ in range(n)]
+        comp = rng.integers(0, 3, n)
+        table = pa.table({
+            "key": [1] * n, "i": [0] * n, "j": [0] * n, "rep": list(range(n)), "component": comp,
+            "n_shingles": [len(s) for s in sets], "values": pa.array([s[:16].tobytes() for s in sets], pa.binary()),
+        })
+        for similarity in (0.85, 0.8):
+            sketch, size = minhash._rows(table.column("values").to_pylist()), np.array([len(s) for s in sets])
+            want = {i for i in range(n) if len(minhash._possible(sketch, size, i, np.flatnonzero(comp != comp[i]), similarity))}
+            got = set(minhash._open_members(similarity)(table).column("rep").to_pylist())
+            assert want <= got
+            if min(size) >= 16:
+                assert want == got
+
+
 def test_odd_rows(spark):
     got = sorted(minhash.near_duplicates(util.odd(spark), 5, 80).collect(), key=str)
     by = {}
