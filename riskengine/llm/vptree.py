@@ -10,7 +10,7 @@ Vectors are dealt to shards of bounded size by a hash, so no vector, label or co
 into blocks as well, and a task holds one shard and one block.
 
 Rules for odd input: vectors that are null, empty, zero or hold a null or non-finite component take no part, nor do
-vectors whose length differs from the query's; equal scores go by the smaller id; repeated ids count as separate
+vectors whose length differs from the query's; equal scores go by the smaller id, however many they are; repeated ids count as separate
 candidates, but never a query's own id; a null id takes no part.
 """
 
@@ -27,17 +27,21 @@ from riskengine.llm.common import parts_for
 LEAF = 128
 ROWS_PER_SHARD = 8_192
 QUERIES_PER_BLOCK = 1_024
-#: Rounding of distances never hides a tie.
-SLACK = 1e-9
+#: Rounding never hides a tie: squared distances come from matrix products and are off by some 1e-15, so distances near
+#: zero are off by the root of that. What lies within the slack of the k-th is settled by the exact score.
+SLACK = 1e-6
+#: Pairs of vectors that are scored exactly at once.
+PAIRS = 8_192
 
 
 class Tree:
-    """A vantage-point tree over the rows of ``unit``."""
+    """A vantage-point tree over the rows of ``unit``. Exact scores are those of ``vectors``, of any length."""
 
-    def __init__(self, unit: np.ndarray, ids: np.ndarray, leaf: int = LEAF):
+    def __init__(self, unit: np.ndarray, ids: np.ndarray, leaf: int = LEAF, vectors: np.ndarray | None = None):
         self.order = np.arange(len(unit))
         self.nodes: list[tuple] = []  # (vantage row, radius, inner node, outer node) or (first, end)
         self.unit, self.ids, self.leaf = unit, ids, leaf
+        self.vectors = unit if vectors is None else vectors
         self.root = self._build(0, len(unit))
         self.sorted = self.unit[self.order]
 
@@ -60,23 +64,27 @@ class Tree:
         self.nodes[me] = (int(vantage), bounds, *children)
         return me
 
-    def search(self, queries: np.ndarray, own: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and distances of the ``k`` nearest of each query (unit vectors); rows are -1 where there are fewer.
-        ``own`` holds the ids that each query leaves out."""
+    def search(
+        self, queries: np.ndarray, own: np.ndarray, k: int, factor: float = 1.0, asked: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and exact cosines of the ``k`` nearest of each query (unit vectors), equal ones by the smaller id; rows
+        are -1 where there are fewer. ``own`` holds the ids that each query leaves out, ``asked`` the queries as scored."""
         n = len(queries)
-        best = np.full((n, k), np.inf)
+        scores = np.full((n, k), -np.inf)
         found = np.full((n, k), -1, np.int64)
+        farthest = np.full(n, np.inf)  # distance of the k-th
+        asked = queries if asked is None else asked
         stack = [(self.root, np.arange(n), np.zeros(n))]
         while stack:
             node, who, bound = stack.pop()
             # What lies at least ``bound`` away helps only those whose k-th is farther.
-            need = bound * factor <= best[who, -1] + SLACK
+            need = bound * factor <= farthest[who] + SLACK
             who = who[need]
             if not len(who):
                 continue
             if len(self.nodes[node]) == 2:
                 first, end = self.nodes[node]
-                self._leaf(first, end, queries, own, who, best, found, k)
+                self._leaf(first, end, queries, own, asked, who, scores, found, farthest, k)
                 continue
             vantage, (in_min, in_max, out_min, out_max), inner, outer = self.nodes[node]
             bound = bound[need]
@@ -87,19 +95,32 @@ class Tree:
             # The nearer side of each query is searched first, so the last pushed.
             stack += [(outer, who[near], to_outer[near]), (inner, who[~near], to_inner[~near])]
             stack += [(outer, who[~near], to_outer[~near]), (inner, who[near], to_inner[near])]
-        return found, best
+        return found, scores
 
-    def _leaf(self, first, end, queries, own, who, best, found, k) -> None:
+    def _leaf(self, first, end, queries, own, asked, who, scores, found, farthest, k) -> None:
         rows = self.order[first:end]
-        away = np.sqrt(np.maximum(0, 2 - 2 * queries[who] @ self.sorted[first:end].T))
+        away = 2 - 2 * queries[who] @ self.sorted[first:end].T
         away[own[who][:, None] == self.ids[rows][None, :]] = np.inf
-        every = np.concatenate([best[who], away], 1)
-        names = np.concatenate([found[who], np.broadcast_to(rows, away.shape)], 1)
-        ids = np.where(names < 0, np.iinfo(np.int64).max, self.ids[names])
-        # Distances equal but for rounding are ties; the caller settles them on exact scores, so keep the least ids.
-        pick = np.lexsort((ids, np.round(every, 12)), axis=1)[:, :k]
-        best[who] = np.take_along_axis(every, pick, 1)
-        found[who] = np.where(np.isinf(best[who]), -1, np.take_along_axis(names, pick, 1))
+        limit = farthest[who] ** 2
+        if len(rows) >= k:
+            limit = np.minimum(limit, np.partition(away, k - 1, axis=1)[:, k - 1])
+        # All that may be among the k nearest, ties and all, are ordered by exact score and id.
+        at, col = np.nonzero((away <= limit[:, None] + SLACK**2) & (away < np.inf))
+        if not len(at):
+            return
+        row = rows[col]
+        score = [cosine(asked[who[at[i : i + PAIRS]]], self.vectors[row[i : i + PAIRS]]) for i in range(0, len(at), PAIRS)]
+        hit, at = np.unique(at, return_inverse=True)
+        hit = who[hit]
+        old, place = np.nonzero(found[hit] >= 0)
+        at, row = np.concatenate([at, old]), np.concatenate([row, found[hit[old], place]])
+        score = np.concatenate([*score, scores[hit[old], place]])
+        order = np.lexsort((self.ids[row], -score, at))
+        at, row, score = at[order], row[order], score[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at, "left")
+        top = place < k
+        scores[hit[at[top]], place[top]], found[hit[at[top]], place[top]] = score[top], row[top]
+        farthest[hit] = np.sqrt(np.maximum(0, 2 - 2 * scores[hit, -1]))
 
 
 def usable(vector: Column) -> Column:
@@ -151,7 +172,6 @@ def nearest(
     )
     spark = vectors.sparkSession
     out = spark.createDataFrame([], schema)
-    more = k + 8  # beyond k: rounding may order near ties otherwise than the exact score does
 
     def run(key, left, right):
         if not left.num_rows or not right.num_rows:
@@ -160,14 +180,9 @@ def nearest(
         sort = np.argsort(ids, kind="stable")
         ids, v = ids[sort], v[sort]
         own, q = right.column("id").to_numpy(), _matrix(right.column("v"))
-        rows, _ = Tree(_unit(v), ids).search(_unit(q), own, more, factor)
+        rows, scores = Tree(_unit(v), ids, vectors=v).search(_unit(q), own, k, factor, q)
         who, at = np.nonzero(rows >= 0)
-        rows = rows[who, at]
-        score = cosine(q[who], v[rows])
-        order = np.lexsort((ids[rows], -score, who))
-        place = np.arange(len(who)) - np.searchsorted(who[order], who[order], "left")
-        order = order[place < k]
-        return pa.Table.from_arrays([pa.array(own[who[order]]), pa.array(ids[rows[order]]), pa.array(score[order])], names=schema.names)
+        return pa.Table.from_arrays([pa.array(own[who]), pa.array(ids[rows[who, at]]), pa.array(scores[who, at])], names=schema.names)
 
     for d, n in sorted(asks.items()):
         if d not in sizes:

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from riskengine.llm import vptree
 from riskengine.llm.queries import ORACLES, REGISTRY
@@ -27,6 +28,40 @@ def test_tree_is_exact_at_factor_one():
         assert got.tolist() == np.lexsort((ids, d))[:7].tolist()
 
 
+@pytest.mark.parametrize("leaf", [16, 128])
+def test_copies_of_a_query_go_by_the_smaller_id(leaf):
+    """Far more copies than are asked for, over many leaves, for queries in blocks of many shapes."""
+    rng = np.random.default_rng(8)
+    for d in (3, 64):
+        v = rng.normal(size=(1500, d)) * rng.uniform(0.1, 9, (1500, 1))
+        copies = rng.permutation(1500)[:900]
+        v[copies] = v[copies[np.arange(900) % 3]]
+        ids = rng.permutation(5000)[:1500]
+        order = np.argsort(ids)
+        v, ids = v[order], ids[order]
+        asked = rng.permutation(1500)[:211]
+        tree = vptree.Tree(vptree._unit(v), ids, leaf, vectors=v)
+        rows, scores = tree.search(vptree._unit(v[asked]), ids[asked], 5, asked=v[asked])
+        for q, got, exact in zip(asked, rows, scores):
+            score = vptree.cosine(np.broadcast_to(v[q], v.shape), v)
+            score[q] = -np.inf
+            want = np.lexsort((ids, -score))[:5]
+            assert got.tolist() == want.tolist()
+            assert exact.tolist() == score[want].tolist()
+
+
+def test_many_copies_in_one_shard(spark):
+    rng = np.random.default_rng(9)
+    few = rng.normal(size=(4, 48)).tolist()
+    rows = [(i, few[i % 4]) for i in rng.permutation(4000).tolist()]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vptree.nearest(df, df.filter("vec_id % 37 = 0"), 5).collect()
+    by = {}
+    for r in sorted(got):
+        by.setdefault(r.query_id, []).append(r.vec_id)
+    assert by == {q: [i for i in range(q % 4, 40, 4) if i != q][:5] for q in range(0, 4000, 37)}
+
+
 def test_a_factor_skips_more_but_finds_most():
     rng = np.random.default_rng(5)
     unit = vptree._unit(rng.normal(size=(20_000, 4)))
