@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskengine.llm import langid, minhash, packing, suffix
+from riskengine.llm.common import written
 from riskengine.session import shared_dir
 
 #: A text whose best language scores less on the mean over its words is rejected; so is one without a letter.
 LEAST_SCORE = 0.3
+#: Ids that are made from texts begin here.
+_BY_TEXT = 1 << 62
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +24,27 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares at least four fifths of its five-word shingles."""
-    dropped = minhash.near_duplicates(docs.select("doc_id", "text"), words=5, percent=80).filter("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each group that shares at least four fifths of its five-word shingles.
+
+    The next stage takes what stands twice out of both copies, so none may be left here: rows without a doc_id, and
+    further texts under one doc_id, take part as documents of their own, and of rows equal in id and text the least
+    stays. Their ids are hashes of the text above all others, so a row with an id of its own is kept before them.
+    """
+    digest = F.struct(F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), F.col("text")).alias("t2"))
+    # Only rows that share their id with others need more than it.
+    again = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"), F.min(digest).alias("_first"))
+    again = written(again.filter("_n > 1").drop("_n"), "repeated-ids")
+    named = docs.join(again, "doc_id", "left")
+    own = F.col("doc_id").isNotNull() & (F.col("_first").isNull() | (F.col("_first") == digest))
+    by_text = F.lit(_BY_TEXT) + digest["t1"].bitwiseAND(F.lit(_BY_TEXT - 1))
+    named = named.withColumn("_id", F.when(own, F.col("doc_id").cast("long")).otherwise(by_text))
+    dropped = minhash.near_duplicates(named.select(F.col("_id").alias("doc_id"), "text"), words=5, percent=80)
+    dropped = written(dropped.filter("NOT kept").select(F.col("doc_id").alias("_id")).distinct(), "dropped")
+    left = named.join(dropped, "_id", "left_anti")
+    alone = F.col("doc_id").isNotNull() & F.col("_first").isNull()
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("_unnamed"), F.struct(*docs.columns).alias("row"))).alias("_least")
+    repeated = left.filter(~alone).groupBy("_id").agg(least).select("_least.row.*")
+    return left.filter(alone).select(*docs.columns).unionByName(repeated)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

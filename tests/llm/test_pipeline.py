@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 import public_tokenizers as P
 from tokenizers import Tokenizer
@@ -49,3 +51,29 @@ def test_stages_on_odd_rows(spark):
     assert {r.doc_id: r.text for r in whole}[1000] is None
     assert {r.doc_id: r.text for r in whole}[1003] == ""
     assert corpus_pipeline.packed(spark, docs, "").count() >= len(util.ODD)
+
+
+def test_one_of_each_repeated_row_survives(spark):
+    rnd = random.Random(5)
+    text = lambda n=80: " ".join("".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    twice, unnamed, both, first, second, other, plain = (text() for _ in range(7))
+    near = first.rsplit(" ", 1)[0] + " changed"
+    rows = [(20, twice, "en", "b", 1), (20, twice, "en", "a", 1), (20, twice, "en", "a", 1)]
+    rows += [(None, unnamed, "en", "s", 1)] * 3 + [(None, unnamed, None, None, None)]
+    rows += [(30, both, "en", "s", 1), (None, both, "en", "s", 1)]
+    # One id with three texts: two near copies of each other, and one that stands under a smaller id too.
+    rows += [(40, first, "en", "s", 1), (40, near, "en", "s", 1), (40, second, "en", "s", 1), (10, second, "en", "s", 1)]
+    rows += [(None, other, "en", "s", 1), (None, other.rsplit(" ", 1)[0] + " changed", "en", "s", 1)]
+    rows += [(50, plain, "en", "s", 1), (60, None, "en", "s", 1), (None, None, "en", "s", 1), (70, "", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, util.SCHEMA).repartition(5)
+    out = corpus_pipeline.deduplicated(spark, docs, "")
+    assert out.columns == docs.columns
+    out = out.collect()
+    texts = [r.text for r in out]
+    for one in (twice, unnamed, both, second, plain, "", first[:400], other[:400]):
+        assert len([t for t in texts if t is not None and (t.startswith(one) if one else t == "")]) == 1
+    assert len(out) == 10
+    assert [tuple(r) for r in out if r.text == twice] == [(20, twice, "en", "a", 1)]
+    assert [r.doc_id for r in out if r.text == both] == [30]
+    left = corpus_pipeline.without_repeats(spark, spark.createDataFrame(out, util.SCHEMA), "").collect()
+    assert sorted(str(r.text) for r in left) == sorted(str(t) for t in texts)
