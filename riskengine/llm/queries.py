@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskengine.llm import bpe, langid, lbl, minhash, packing, simhash, suffix, tokenfile, vptree, warc
+from riskengine.llm import bpe, langid, lbl, minhash, packing, simhash, suffix, tokenfile, trie, vptree, warc
 from riskengine.session import shared_dir
 
 REGISTRY: dict = {}
@@ -92,6 +92,13 @@ def op7_revisits(spark, sf_dir):
     return found.withColumn("headers", warc.header_text(F.col("headers")))
 
 
+@query
+def op11_trie(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return trie.digests(trie.encode(docs, path), path)
+
+
 ORACLES["op7_revisits"] = r"""
 WITH p AS (SELECT page_id, url, sha1(coalesce(html, '')) AS digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS size FROM pages),
 r AS (SELECT page_id, url, digest, size, page_id * 60 AS t, 'W/"' || substr(digest, 1, 16) || '"' AS weak, 'day ' || page_id % 28 AS modified FROM p),
