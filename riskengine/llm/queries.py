@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskengine.llm import bpe, langid, lbl, minhash, packing, simhash, suffix, tokenfile, trie, vptree, warc
+from riskengine.llm import bpe, langid, lbl, minhash, packing, ranked, simhash, suffix, tokenfile, trie, vptree, warc
 from riskengine.session import shared_dir
 
 REGISTRY: dict = {}
@@ -99,6 +99,28 @@ def op11_trie(spark, sf_dir):
     return trie.digests(trie.encode(docs, path), path)
 
 
+@query
+def op13_ranked(spark, sf_dir):
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+ORACLES["op13_ranked"] = r"""
+WITH found AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+') AS terms FROM documents),
+d AS (SELECT r, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM found WHERE len(terms) > 0),
+whole AS (SELECT count(*) AS N, CAST(sum(n) AS BIGINT) AS L FROM d),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark),
+t AS (SELECT r, unnest(terms) AS term FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM i) GROUP BY r, term),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * max(N) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, whole GROUP BY term),
+s AS (SELECT i.item_id, d.r, d.doc_id, CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * (50 + (50 * d.n * whole.N) // whole.L)))) AS BIGINT) AS score
+      FROM i JOIN tf USING (term) JOIN w USING (term) JOIN d USING (r), whole GROUP BY i.item_id, d.r, d.doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
 ORACLES["op7_revisits"] = r"""
 WITH p AS (SELECT page_id, url, sha1(coalesce(html, '')) AS digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS size FROM pages),
 r AS (SELECT page_id, url, digest, size, page_id * 60 AS t, 'W/"' || substr(digest, 1, 16) || '"' AS weak, 'day ' || page_id % 28 AS modified FROM p),
