@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskengine.llm import bpe, langid, lbl, minhash, packing, ranked, simhash, suffix, tokenfile, trie, vptree, warc
+from riskengine.llm import bpe, langid, lbl, minhash, packing, ranked, simhash, suffix, tokenfile, trie, vptree, warc, whiten
 from riskengine.session import shared_dir
 
 REGISTRY: dict = {}
@@ -99,6 +99,11 @@ def op11_trie(spark, sf_dir):
     return trie.digests(trie.encode(docs, path), path)
 
 
+@query
+def op12_whiten(spark, sf_dir):
+    return whiten.whiten(table(spark, sf_dir, "embeddings"), k=16)
+
+
 @query
 def op13_ranked(spark, sf_dir):
     return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
