@@ -527,6 +527,8 @@ SELECT f.* EXCLUDE (approved), rule_hit, cep_pattern, s.stage, CASE s.stage WHEN
   WHEN 'CEP' THEN cep_status ELSE CASE WHEN f.ml_score >= 0.6e0 THEN 'ALERT' ELSE 'APPROVED' END END AS decision
 FROM folded f JOIN staged s USING (transaction_id)"""
 
+ORACLES["decide_stream_scored"] = f"""WITH full_batch AS ({ORACLES["decide_full"]}) SELECT transaction_id, account_id, rule_hit, cep_pattern,
+  round(CAST(CAST(CASE WHEN stage = 'ML' THEN ml_score END AS FLOAT) AS DOUBLE), 4) AS ml_score, decision FROM full_batch"""
 ORACLES["dataset_union"] = f"""WITH {TX} SELECT transaction_id, account_id, amount, us AS event_time_us,
   CASE WHEN is_fraud THEN 'Fraud' ELSE 'Normal' END AS label FROM tx"""
 ORACLES["dlq_stream"] = f"""{PARSED} SELECT error_message AS "errorMessage", count(*) AS n,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskengine.constants import APPROVED, PRIORITY_ACCOUNTS, SCORE_THRESHOLD
 from riskengine.functions.predicates import score_decision
 from riskengine.operators.cep import CepConfig, cep_decide, pattern_status
-from riskengine.operators.feedback import serve_until_stable
+from riskengine.operators.feedback import Scorer, serve_in_order
 from riskengine.operators.rules import apply_rules
 
 RULE, PRIORITY, CEP, ML = "RULE", "PRIORITY", "CEP", "ML"
@@ -59,18 +59,18 @@ def decide(
     config: CepConfig = CepConfig(),
     priority_accounts: Sequence[str] = PRIORITY_ACCOUNTS,
     threshold: float = SCORE_THRESHOLD,
-    score: Callable[[DataFrame], DataFrame] | None = None,
+    score: Scorer | None = None,
 ) -> DataFrame:
     """Adds ``rule_hit``, ``cep_pattern``, ``stage``, ``ml_score`` and ``decision``.
 
-    The rule lookup and the conclusion are narrow; the patterns need the one exchange. ``score`` adds ``ml_score`` from
-    the nine features, which look back over all rows, whatever stage decided them, and average the approved ones; the
-    result then carries the features too. Without it the rows bring their ``ml_score``.
+    The rule lookup and the conclusion are narrow; the patterns need the one exchange. ``score`` gives a score from the
+    nine features, which look back over all rows, whatever stage decided them, and average the approved ones; the result
+    then carries the features too. Without it the rows bring their ``ml_score``.
     """
     staged = stages(apply_rules(tx, rules), config, priority_accounts)
     if score is not None:
         # The feature is a double of the same name; a decision has the whole amount.
-        served = serve_until_stable(staged.withColumn("_tx_amount", F.col("amount")), score, threshold)
+        served = serve_in_order(staged.withColumn("_tx_amount", F.col("amount")), score, threshold)
         staged = served.withColumn("amount", F.col("_tx_amount")).drop("_tx_amount")
     return conclude(staged, config, threshold)
 

@@ -18,7 +18,8 @@ from pyspark.sql.types import StructType
 from riskengine import schemas
 from riskengine.constants import PRIORITY_ACCOUNTS, RULES_TOPIC, SCORE_THRESHOLD, TRANSACTIONS_TOPIC
 from riskengine.operators.cep import CepConfig, cep_decide
-from riskengine.operators.features import DAY_S, serving_features
+from riskengine.operators.feedback import Scorer, serve_in_order
+from riskengine.operators.features import DAY_S
 from riskengine.operators.joins import members, salted_join
 from riskengine.operators.rules import active_rules, apply_rules
 from riskengine.plans.decide import conclude, reaches_patterns, stage_of
@@ -103,15 +104,15 @@ class DecisionLog:
 @dataclass
 class Decider:
     """What it takes to decide a batch. ``updates`` is called at the start of every batch, so a rule update is in
-    force from the next one on. ``score`` adds ``ml_score`` to rows with the nine features; without it the rows bring
-    their score."""
+    force from the next one on. ``score`` gives scores from the nine features; what a batch's own decisions do to its
+    later averages is worked out in order of time, so where a batch ends changes no answer. Without it the rows bring their score."""
 
     log: DecisionLog
     updates: Callable[[], DataFrame]
     config: CepConfig = CepConfig()
     priority_accounts: Sequence[str] = PRIORITY_ACCOUNTS
     threshold: float = SCORE_THRESHOLD
-    score: Callable[[DataFrame], DataFrame] | None = None
+    score: Scorer | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -135,16 +136,16 @@ class Decider:
         rows = cep_decide(rows, self.config, reaches_patterns(self.priority_accounts), "_settled")
         rows = rows.withColumn("stage", stage_of(self.priority_accounts))
         if self.score is not None:
-            # Rows of this batch that reach the model count as approved until it has answered.
-            include = F.when(F.col("_settled"), F.col("decision") == "APPROVED").otherwise(
-                F.col("stage").isin("ML", "PRIORITY")
-            )
-            featured = serving_features(rows.withColumn("_whole", F.col("amount")), include).filter(~F.col("_settled"))
-            featured = self.log.with_homes(featured, batch_id)
-            known = (F.col("_stored_home") == F.col("location_name")).cast("double")
-            featured = featured.withColumn("is_home", F.coalesce(known, F.col("is_home")))
+            def at_home(featured: DataFrame) -> DataFrame:
+                featured = self.log.with_homes(featured, batch_id)
+                known = (F.col("_stored_home") == F.col("location_name")).cast("double")
+                return featured.withColumn("is_home", F.coalesce(known, F.col("is_home")))
+
+            settled = F.when(F.col("_settled"), F.col("decision") == "APPROVED")
             # The feature is a double of the same name; the log keeps the whole amount.
-            scored = self.score(featured.drop("ml_score")).withColumn("amount", F.col("_whole"))
+            rows = rows.withColumn("_whole", F.col("amount"))
+            served = serve_in_order(rows, self.score, self.threshold, known=settled, amend=at_home)
+            scored = served.withColumn("amount", F.col("_whole")).filter(~F.col("_settled"))
         else:
             scored = self.log.with_homes(rows.filter(~F.col("_settled")), batch_id)
         return conclude(scored, self.config, self.threshold)

@@ -1,12 +1,14 @@
 import math
 import random
+from collections import deque
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 from test_features import frame, rows
 
 from riskengine.constants import FEATURES
-from riskengine.operators.feedback import serve_until_stable
+from riskengine.operators.feedback import serve_in_order
 from riskengine.plans import ml, reports
 
 
@@ -73,14 +75,15 @@ def test_evaluation_applies_the_model_once(spark):
     assert applied.value == 50
 
 
-def test_feedback_equals_fold(spark):
+@pytest.mark.parametrize("slice_s", [86_400 * 7, 86_400, 7_200])
+def test_feedback_equals_fold(spark, slice_s):
     data = rows(11, 200, 3)
     staged = frame(spark, data).withColumn("stage", F.when(F.col("ok"), "ML").when(F.col("is_home"), "RULE").otherwise("PRIORITY"))
 
-    def score(df):
-        return df.withColumn("ml_score", F.col("log_amount_ratio_24h") / 2)
+    def score(rows):
+        return rows[:, FEATURES.index("log_amount_ratio_24h")] / 2
 
-    got = {r.transaction_id: r for r in serve_until_stable(staged, score, 0.36, 86_400).collect()}
+    got = {r.transaction_id: r for r in serve_in_order(staged, score, 0.36, slice_s).collect()}
     flips = 0
     for account in {r[1] for r in data}:
         history = []
@@ -98,3 +101,36 @@ def test_feedback_equals_fold(spark):
             assert got[r[0]].ml_score == (pytest.approx(value) if stage == "ML" else None)
             history.append((r[2], r[3], approved))
     assert len(got) == len(data) and flips > 10
+
+
+def test_an_account_that_alternates_needs_few_rounds(spark):
+    """10,000 rows of one account, each approved row making the next one stand out, over five slices; and a second
+    account beside it that is settled at once."""
+    n, step_s = 10_000, 30
+    slice_s = n * step_s // 5
+    base = datetime(2026, 1, 1, tzinfo=timezone.utc)
+    data = [(f"t{i:05d}", "A", 1000 + (i * 7919) % 501, base + timedelta(seconds=i * step_s)) for i in range(n)]
+    data += [(f"u{i:05d}", "B", 1000, base + timedelta(seconds=i * step_s)) for i in range(0, n, 10)]
+    staged = spark.createDataFrame(data, "transaction_id string, account_id string, amount long, event_time timestamp").withColumns(
+        {"location_name": F.lit("Hanoi"), "stage": F.lit("ML")}
+    )
+    limit, log = 0.7, []
+    got = {r.transaction_id: r for r in serve_in_order(
+        staged, lambda rows: rows[:, FEATURES.index("log_amount_ratio_24h")], limit, slice_s, rows_per_slice=None, log=log
+    ).collect()}
+    kept, total, flips, last = deque(), 0, 0, None
+    for i in range(n):
+        amount, now = data[i][2], i * step_s
+        while kept and now - kept[0][1] > 86_400:
+            total -= kept.popleft()[0]
+        average = total / len(kept) if kept else float(amount)
+        approved = math.log1p(amount / average) < limit
+        assert got[data[i][0]].approved == approved and got[data[i][0]].avg_amount_24h == average
+        flips += approved != last
+        last = approved
+        if approved:
+            kept.append((amount, now))
+            total += amount
+    assert flips > 1000
+    assert len(log) <= 6 + 1 and all(a >= b for a, b in zip(log, log[1:]))
+    assert all(got[f"u{i:05d}"].approved for i in range(0, n, 10))

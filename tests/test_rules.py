@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from riskengine import schemas
@@ -127,6 +128,6 @@ def test_decide_priority_order(spark):
     black = spark.createDataFrame([("B", "account_id", "EQ", None, "FRD_RULE_UPDATE_SC6", "BLOCK", True)], schemas.RULE)
     late = {r.transaction_id: r.decision for r in D.decide(tx.filter("s >= 10"), black).collect()}
     assert late == {"b": "BLOCK"}
-    out = D.to_decision(D.decide(tx, table, score=lambda df: df.withColumn("ml_score", F.lit(0.99))))
+    out = D.to_decision(D.decide(tx, table, score=lambda rows: np.full(len(rows), 0.99)))
     assert out.columns == schemas.DECISION.fieldNames()
     assert sorted((r.transaction_id, r.decision) for r in D.alerts(out).collect()) == [("c", "BLOCK"), ("d", "ALERT"), ("e", "ALERT")]
