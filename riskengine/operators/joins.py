@@ -8,8 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 32
-# Lookup rows are a few dozen bytes to a few hundred, so this many are some tens of megabytes at most.
-BROADCAST_ROWS = 200_000
+#: What may be broadcast: so many rows, and so many bytes of their values written out.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
+
+
+def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows are few and small enough; no more of them are looked at than would be."""
+    written = F.octet_length(F.to_json(F.struct(*df.columns)))
+    seen = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(written), F.lit(0)).alias("bytes")).first()
+    return seen.n <= rows and seen.bytes <= size
 
 
 def salted_join(big: DataFrame, keyed: DataFrame, on: str, how: str, spread_by: str, salts: int = SALTS) -> DataFrame:
@@ -25,8 +32,8 @@ def salted_join(big: DataFrame, keyed: DataFrame, on: str, how: str, spread_by:
 def lookup_join(
     big: DataFrame, keyed: DataFrame, on: str, how: str, spread_by: str, limit: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Join with a cheap lookup table, one row per key: broadcast if a count shows that it is small, salted if not."""
-    if keyed.limit(limit + 1).count() <= limit:
+    """Join with a cheap lookup table, one row per key: broadcast if it is seen to be small, salted if not."""
+    if fits_broadcast(keyed, limit):
         return big.join(F.broadcast(keyed), on, how)
     return salted_join(big, keyed, on, how, spread_by)
 

@@ -35,7 +35,7 @@ def _cuts(df: DataFrame, value: str, rows_per_bucket: int) -> list[float]:
     return sorted(set(df.agg(F.percentile_approx(number, steps, 10 * buckets).alias("cuts")).first().cuts))
 
 
-def _with_buckets(df: DataFrame, value: str, cuts: list[float]) -> DataFrame:
+def with_buckets(df: DataFrame, value: str, cuts: list[float]) -> DataFrame:
     """Adds ``_bucket``, which grows with ``value`` and is equal for equal values."""
     splits = [float("-inf"), *cuts, float("inf")]
     numbered = df.withColumn("_double", F.col(value).cast("double"))
@@ -76,7 +76,7 @@ def prefix_sums(
         return df.select("*", *before, *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures])
 
     keys, columns = [*groups, "_bucket"], df.columns
-    df = _with_buckets(df, value, cuts)
+    df = with_buckets(df, value, cuts)
     # One row per bucket here: at most MAX_BUCKETS per group.
     earlier = whole.orderBy(F.col("_bucket").desc() if descending else F.col("_bucket").asc())
     offsets = df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures]).select(

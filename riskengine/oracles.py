@@ -56,6 +56,22 @@ LOG = f"""log AS (
 
 WINDOW = f"""account_id NOT LIKE '{RULE_TEST_ACCOUNTS_LIKE}' AND us >= {BASE_US} + 6 * 3600000000 AND us < {BASE_US} + 20 * 3600000000"""
 
+MANY_UPDATES = f"""named AS (
+  SELECT concat('C', lpad(CAST(c_custkey AS VARCHAR), 9, '0')) AS rule_id, 'account_id' AS field,
+    CASE WHEN c_custkey % 97 = 0 THEN 'NEQ' ELSE 'EQ' END AS operator, CAST(NULL AS BIGINT) AS threshold,
+    concat('ACC_', lpad(CAST(c_custkey * 31 % 150 AS VARCHAR), 5, '0')) AS value, c_custkey AS k FROM customer
+  UNION ALL
+  SELECT concat('B', lpad(CAST(s_suppkey * 7919 % 100003 AS VARCHAR), 9, '0')), 'amount',
+    (['GT', 'GTE', 'LT', 'LTE', 'EQ', 'NEQ'])[CAST(CASE WHEN s_suppkey % 41 = 0 THEN 5 ELSE s_suppkey % 5 END AS INTEGER) + 1],
+    CASE WHEN s_suppkey % 5 < 2 THEN 1000000000 - s_suppkey * 9000 WHEN s_suppkey % 5 < 4 THEN 2000 + s_suppkey % 300
+      ELSE 2000 + s_suppkey * 13 % 8001 END, NULL, s_suppkey + 500 FROM supplier
+), timed AS (SELECT *, k * 7919 % 86400 * {SPAN_US // 86_400} AS at_us FROM named), upd AS (
+  SELECT rule_id, field, operator, threshold, value, CASE WHEN k % 4 = 0 THEN 'ALERT' ELSE 'BLOCK' END AS action, true AS enabled,
+    k * 2 AS seq, {BASE_US} + at_us AS updated_us FROM timed
+  UNION ALL
+  SELECT rule_id, field, operator, threshold, value, CASE WHEN k % 4 = 0 THEN 'ALERT' ELSE 'BLOCK' END, false,
+    k * 2 + 1, {BASE_US} + at_us + (k % 50 + 1) * 60000000 FROM timed WHERE k % 3 <> 0 OR operator = 'NEQ'
+)"""
 UPDATES = f"""upd0 AS (SELECT *, (s_suppkey * 7919 + 41) % 100003 AS pos FROM supplier), upd AS (
   SELECT concat('RULE_', lpad(CAST(s_nationkey AS VARCHAR), 2, '0')) AS rule_id,
     CASE WHEN s_nationkey % 5 < 3 THEN 'account_id' ELSE 'amount' END AS field,
@@ -326,6 +342,10 @@ SELECT transaction_id, rule_hit, rule_status FROM ruled""",
     "rules_asof": f"""WITH {TX}, {UPDATES}, versions AS (
   SELECT *, lead(updated_us) OVER (PARTITION BY rule_id ORDER BY seq) AS until_us FROM upd
 ), {_first_match("r.rule_id", "r.enabled AND r.updated_us <= tx.us AND (r.until_us IS NULL OR tx.us < r.until_us)", "versions")}
+SELECT transaction_id, rule_hit, rule_status FROM ruled""",
+    "rules_asof_many": f"""WITH {TX}, {MANY_UPDATES}, versions AS (
+  SELECT *, lead(updated_us) OVER (PARTITION BY rule_id ORDER BY seq) AS until_us FROM upd
+), {_first_match("r.rule_id", "r.enabled AND r.updated_us <= tx.us AND (r.until_us IS NULL OR tx.us < r.until_us)", "versions")}
 SELECT transaction_id, rule_hit, rule_status FROM ruled""",
     "rule_numeric_ops": f"""WITH {TX} SELECT channel, count(*) FILTER (WHERE amount > 5000000) AS gt,
   count(*) FILTER (WHERE amount >= 5000000) AS gte, count(*) FILTER (WHERE amount < 5000000) AS lt,

@@ -75,6 +75,13 @@ def rules_asof(spark, sf_dir):
     return hit.select("transaction_id", "rule_hit", "rule_status")
 
 
+@query
+def rules_asof_many(spark, sf_dir):
+    """One rule per customer against an account and one per supplier against an amount, each for a while."""
+    hit = rules.apply_rules_asof(V.transactions(spark, sf_dir), V.many_rule_updates(spark, sf_dir), "produced_at", few=0)
+    return hit.select("transaction_id", "rule_hit", "rule_status")
+
+
 OPERATORS = ("GT", "GTE", "LT", "LTE", "EQ", "NEQ", "IN")
 
 

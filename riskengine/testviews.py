@@ -115,6 +115,34 @@ def rule_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def many_rule_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule per customer that names an account and a rule per supplier that bounds the amount; each comes and, two out of
+    three times, goes again, given by its key."""
+    c = table(spark, sf_dir, "customer").select(
+        F.expr("concat('C', lpad(CAST(c_custkey AS STRING), 9, '0'))").alias("rule_id"), F.lit("account_id").alias("field"),
+        F.expr("CASE WHEN c_custkey % 97 = 0 THEN 'NEQ' ELSE 'EQ' END").alias("operator"), F.lit(None).cast("long").alias("threshold"),
+        F.expr("concat('ACC_', lpad(CAST(c_custkey * 31 % 150 AS STRING), 5, '0'))").alias("value"), F.col("c_custkey").alias("k"),
+    )
+    s = table(spark, sf_dir, "supplier").select(
+        F.expr("concat('B', lpad(CAST(s_suppkey * 7919 % 100003 AS STRING), 9, '0'))").alias("rule_id"), F.lit("amount").alias("field"),
+        F.expr("element_at(array('GT', 'GTE', 'LT', 'LTE', 'EQ', 'NEQ'), CAST(CASE WHEN s_suppkey % 41 = 0 THEN 5 ELSE s_suppkey % 5 END AS INT) + 1)").alias("operator"),
+        F.expr(
+            "CASE WHEN s_suppkey % 5 < 2 THEN 1000000000 - s_suppkey * 9000 WHEN s_suppkey % 5 < 4 THEN 2000 + s_suppkey % 300 "
+            "ELSE 2000 + s_suppkey * 13 % 8001 END"
+        ).alias("threshold"),
+        F.lit(None).cast("string").alias("value"), (F.col("s_suppkey") + 500).alias("k"),
+    )
+    both = c.unionByName(s).withColumn("at", F.expr(f"k * 7919 % 86400 * {SPAN_US // 86_400}"))
+    on = both.withColumns({"enabled": F.lit(True), "seq": F.col("k") * 2})
+    off = both.filter("k % 3 <> 0 OR operator = 'NEQ'").withColumns(
+        {"enabled": F.lit(False), "seq": F.col("k") * 2 + 1, "at": F.expr("at + (k % 50 + 1) * 60000000")}
+    )
+    return on.unionByName(off).select(
+        "rule_id", "field", "operator", "threshold", "value", F.expr("CASE WHEN k % 4 = 0 THEN 'ALERT' ELSE 'BLOCK' END").alias("action"),
+        "enabled", "seq", F.expr(f"timestamp_micros({BASE_US} + at)").alias("updated_at"),
+    )
+
+
 def load_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One load level per hour of traffic, named by its mean rate, and the empty hour after it all."""
     hour = F.date_trunc("hour", "produced_at")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskengine import schemas
 from riskengine.functions import predicates as P
-from riskengine.operators import rules
+from riskengine.operators import rules, steps
 from riskengine.plans import decide as D
 
 T0 = datetime(2026, 1, 1, tzinfo=timezone.utc)
@@ -55,27 +55,30 @@ def random_rules(seed, n, with_neq):
 
 @pytest.mark.parametrize("seed,with_neq", [(1, False), (2, True), (3, False)])
 @pytest.mark.parametrize("prefer_block", [False, True])
-def test_both_paths_equal_brute_force(spark, seed, with_neq, prefer_block):
+def test_all_paths_equal_brute_force(spark, monkeypatch, seed, with_neq, prefer_block):
     some = random_rules(seed, 25, with_neq)
     if with_neq:
         some += [{**some[0], "rule_id": f"Z{i}", "field": "amount", "operator": "NEQ", "threshold": i // 2} for i in range(6)]
     rows, tx = transactions(spark, seed=seed)
     table = spark.createDataFrame([tuple(r.values()) for r in some], schemas.RULE)
     want = {t[0]: first(some, t, prefer_block) for t in rows}
-    for limit in (64, 0):
+    for limit, inline in ((64, 64), (0, 64), (0, 0)):
+        monkeypatch.setattr(rules, "INLINE_RULES", inline)
         got = rules.apply_rules(tx, table, prefer_block, limit).collect()
         assert {r.transaction_id: r.rule_hit for r in got} == want
         status = {r["rule_id"]: "BLOCK" if r["action"] == "BLOCK" else "ALERT" for r in some}
         assert all(r.rule_status == status.get(r.rule_hit) for r in got)
 
 
-def test_asof_equals_brute_force(spark):
-    rng = random.Random(4)
+@pytest.mark.parametrize("seed,with_neq,few_steps", [(4, False, 64), (5, True, 0)])
+def test_asof_equals_brute_force(spark, monkeypatch, seed, with_neq, few_steps):
+    rng = random.Random(seed)
+    monkeypatch.setattr(steps, "FEW_STEPS", few_steps)
     updates = []
-    for i, r in enumerate(random_rules(4, 40, False)):
+    for i, r in enumerate(random_rules(seed, 40, with_neq)):
         at = T0 + timedelta(seconds=100 * i + rng.randrange(50))
         updates.append({**r, "rule_id": f"R{i % 7}", "enabled": rng.random() < 0.8, "seq": i, "updated_at": at})
-    rows, tx = transactions(spark, seed=4)
+    rows, tx = transactions(spark, seed=seed)
     table = spark.createDataFrame([tuple(u.values()) for u in updates], schemas.RULE_UPDATE)
 
     def state(t):
@@ -86,8 +89,8 @@ def test_asof_equals_brute_force(spark):
         return [u for u in newest.values() if u["enabled"]]
 
     want = {t[0]: first(state(t[3]), t) for t in rows}
-    for bucket_s in (3600, 60):
-        got = rules.apply_rules_asof(tx, table, "produced_at", bucket_s).collect()
+    for few in (rules.FEW_VERSIONS, 0):
+        got = rules.apply_rules_asof(tx, table, "produced_at", few=few).collect()
         assert {r.transaction_id: r.rule_hit for r in got} == want
     assert len(set(want.values())) > 3
     assert rules.apply_rules_asof(tx, table.limit(0)).filter("rule_hit IS NOT NULL").isEmpty()
@@ -131,3 +134,32 @@ def test_decide_priority_order(spark):
     out = D.to_decision(D.decide(tx, table, score=lambda rows: np.full(len(rows), 0.99)))
     assert out.columns == schemas.DECISION.fieldNames()
     assert sorted((r.transaction_id, r.decision) for r in D.alerts(out).collect()) == [("c", "BLOCK"), ("d", "ALERT"), ("e", "ALERT")]
+
+
+def test_a_hundred_thousand_range_rules(spark):
+    """All useful: the lower the threshold of a rule, the later it comes. None goes through the driver or one array."""
+    n = 100_000
+    table = spark.range(n).selectExpr(
+        "concat('R', lpad(id, 6, '0')) AS rule_id", "'amount' AS field", "CASE WHEN id % 2 = 0 THEN 'GT' ELSE 'GTE' END AS operator",
+        f"10 * ({n} - id) AS threshold", "CAST(NULL AS STRING) AS value", "'BLOCK' AS action", "true AS enabled",
+    )
+    amounts = [0, 10, 11, 19, 20, 21, 25, 10 * n - 1, 10 * n, 10 * n + 1, 2**62, None] + [random.Random(1).randrange(10 * n) for _ in range(200)]
+    tx = spark.createDataFrame([(f"t{i}", "A", a) for i, a in enumerate(amounts)], "transaction_id string, account_id string, amount long")
+    got = {r.amount: r.rule_hit for r in rules.apply_rules(tx, table).collect()}
+    for a in amounts:
+        # The first rule whose threshold the amount passes: t = 10 * (n - i), strictly for even i.
+        want = None
+        if a is not None and a >= 10:
+            i = max(0, n - a // 10)
+            want = i if a > 10 * (n - i) or i % 2 else i + 1
+            want = want if want < n else None
+        assert got[a] == (None if want is None else f"R{want:06d}"), a
+
+
+def test_tree_nodes_make_up_the_leaves(spark):
+    rng = random.Random(2)
+    spans = [(0, 0), (0, 1), (0, 4096), (15, 17), (1, 4095), (16, 32), (255, 257)] + [tuple(sorted(rng.choices(range(4000), k=2))) for _ in range(200)]
+    df = spark.createDataFrame(spans, "i long, j long").withColumn("n", steps.tree_nodes("i", "j", 3))
+    for r in df.collect():
+        leaves = [leaf for x in r.n for leaf in range(x.node * 16**x.level, (x.node + 1) * 16**x.level)]
+        assert sorted(leaves) == list(range(r.i, r.j)) and len(r.n) <= 90
