@@ -50,20 +50,23 @@ def interval_join(
 ) -> DataFrame:
     """Rows of ``points`` with each interval that holds them, ``start <= at < end``; all are timestamps.
 
-    Intervals are repeated in the time buckets they touch and gathered per bucket, so this is a lookup by bucket with
-    the exact bounds tested on the few intervals met there.
+    Intervals are repeated in the time buckets they touch, so this is an equi-join by bucket with the exact bounds tested;
+    the intervals are broadcast if they are small in rows and bytes, else points and intervals are spread.
     """
-    met = F.sequence(F.floor(F.unix_micros(start) / bucket_us), F.floor((F.unix_micros(end) - 1) / bucket_us))
-    lookup = (
-        intervals.filter(F.col(start) < F.col(end))
-        .select(F.struct(*intervals.columns).alias("_interval"), F.explode(met).alias("_bucket"))
-        .groupBy("_bucket")
-        .agg(F.collect_list("_interval").alias("_intervals"))
-    )
-    left = points.withColumn("_bucket", F.floor(F.unix_micros(at) / bucket_us))
-    inside = F.filter("_intervals", lambda i: (F.col(at) >= i[start]) & (F.col(at) < i[end]))
-    joined = lookup_join(left, lookup, "_bucket", "inner", spread_by, limit)
-    return joined.select(*points.columns, F.inline(inside))
+    touched = F.sequence(F.floor(F.unix_micros(start) / bucket_us), F.floor((F.unix_micros(end) - 1) / bucket_us))
+    right = intervals.filter(F.col(start) < F.col(end)).select("*", F.explode(touched).alias("_bucket"))
+    left, keys = points.withColumn("_bucket", F.floor(F.unix_micros(at) / bucket_us)), ["_bucket"]
+    if fits_broadcast(right, limit):
+        right = F.broadcast(right)
+    else:
+        left = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
+        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        keys.append("_salt")
+    left, right = left.alias("p"), right.alias("i")
+    inside = (F.col(f"p.{at}") >= F.col(f"i.{start}")) & (F.col(f"p.{at}") < F.col(f"i.{end}"))
+    for k in keys:
+        inside = inside & (F.col(f"p.{k}") == F.col(f"i.{k}"))
+    return left.join(right, inside).select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"i.{c}") for c in intervals.columns])
 
 
 def members(df: DataFrame, keys: DataFrame, on: str, spread_by: str) -> DataFrame:

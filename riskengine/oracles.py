@@ -547,6 +547,16 @@ SELECT f.* EXCLUDE (approved), rule_hit, cep_pattern, s.stage, CASE s.stage WHEN
   WHEN 'CEP' THEN cep_status ELSE CASE WHEN f.ml_score >= 0.6e0 THEN 'ALERT' ELSE 'APPROVED' END END AS decision
 FROM folded f JOIN staged s USING (transaction_id)"""
 
+ORACLES["account_mismatch"] = f"""WITH {TX}, acc AS (
+  SELECT concat('ACC_', lpad(CAST(c_custkey AS VARCHAR), 5, '0')) AS account_id,
+    concat('CARD_', lpad(CAST(c_custkey + CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS VARCHAR), 5, '0')) AS card_id,
+    CASE WHEN c_custkey % 9 <> 0 THEN ({_names(DOMESTIC_LOCATIONS)})[CAST(c_nationkey % 5 AS INTEGER) + 1] END AS home_location,
+    CAST(abs(round(c_acctbal)) AS BIGINT) * 1000 AS avg_amount FROM customer WHERE c_custkey % 10 <> 0
+), t AS (SELECT * EXCLUDE (account_id), concat('CARD_', lpad(CAST(user_id AS VARCHAR), 5, '0')) AS own_card,
+  CASE WHEN id % 50 <> 7 THEN account_id END AS account_id FROM tx)
+SELECT t.account_id, bool_or(a.account_id IS NOT NULL) AS known, count(*) AS n, count(*) FILTER (WHERE t.own_card <> a.card_id) AS other_card,
+  count(*) FILTER (WHERE t.location_name <> a.home_location) AS away, count(*) FILTER (WHERE t.amount > a.avg_amount) AS above_usual
+FROM t LEFT JOIN acc a ON a.account_id = t.account_id GROUP BY t.account_id"""
 ORACLES["decide_stream_scored"] = f"""WITH full_batch AS ({ORACLES["decide_full"]}) SELECT transaction_id, account_id, rule_hit, cep_pattern,
   round(CAST(CAST(CASE WHEN stage = 'ML' THEN ml_score END AS FLOAT) AS DOUBLE), 4) AS ml_score, decision FROM full_batch"""
 ORACLES["dataset_union"] = f"""WITH {TX} SELECT transaction_id, account_id, amount, us AS event_time_us,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskengine.functions.predicates import label_name, with_location_type
-from riskengine.operators.joins import salted_join
+from riskengine.operators.joins import lookup_join, salted_join
 from riskengine.operators.prefix import exact_quantiles, hashed_rank
 
 QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
@@ -76,6 +76,22 @@ def class_weight(df: DataFrame) -> DataFrame:
     return df.agg(ratio.cast("long").alias("class_weight"))
 
 
+def account_mismatch(tx: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Per account of the transactions: whether the accounts table knows it, and how many of its rows are by another card,
+    away from its home or above its usual amount. Accounts that are not in the table, rows without one and unknown
+    cards or homes count as no mismatch. The table may name an account twice; its least row counts."""
+    facts = F.min(F.struct("card_id", "home_location", "avg_amount")).alias("_facts")
+    known = accounts.filter("account_id IS NOT NULL").groupBy("account_id").agg(facts)
+    met = lookup_join(tx.select("account_id", "transaction_id", "card_id", "location_name", "amount"), known, "account_id", "left", "transaction_id")
+    return met.groupBy("account_id").agg(
+        F.max(F.col("_facts").isNotNull()).alias("known"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("card_id") != F.col("_facts.card_id")).alias("other_card"),
+        F.count_if(F.col("location_name") != F.col("_facts.home_location")).alias("away"),
+        F.count_if(F.col("amount") > F.col("_facts.avg_amount")).alias("above_usual"),
+    )
+
+
 def account_split(df: DataFrame, train_share: float = 0.8, seed: int = 42) -> DataFrame:
     """``train`` or ``test`` for each account, the share taken within accounts with and without fraud.
 

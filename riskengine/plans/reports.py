@@ -11,6 +11,7 @@ from riskengine.constants import APPROVED, RULE_TEST_ACCOUNTS_LIKE
 from riskengine.functions.predicates import exclude_accounts, with_trigger
 from riskengine.functions.time import time_range, with_latency
 from riskengine.operators.joins import interval_join, salted_join
+from riskengine.operators.steps import find_step, stored
 from riskengine.operators.prefix import exact_quantiles, hashed_rank, prefix_sums
 
 PERCENTILES = {"p50_ms": 0.50, "p90_ms": 0.90, "p95_ms": 0.95, "p99_ms": 0.99}
@@ -109,11 +110,11 @@ def rule_propagation_latency(rules: DataFrame, decisions: DataFrame) -> DataFram
     the latest sending before it; the least over the later sendings is then taken among the rules alone.
     """
     blocks = decisions.filter("decision = 'BLOCK'").select("transaction_id", "account_id", "produced_at", "decided_at")
-    sendings = rules.groupBy("account_id").agg(F.collect_set("sent_at").alias("_sent"))
-    latest = F.array_max(F.filter("_sent", lambda s: s <= F.col("produced_at")))
+    sent = rules.select("account_id", "sent_at", F.unix_micros("sent_at").alias("lo")).distinct()
+    following = F.lead("lo").over(Window.partitionBy("account_id").orderBy("lo"))
+    sendings = stored(sent.withColumn("hi", following), "sendings")
     firsts = (
-        salted_join(blocks, sendings, "account_id", "inner", "transaction_id")
-        .select("account_id", latest.alias("sent_at"), "decided_at")
+        find_step(blocks.withColumn("_at", F.unix_micros("produced_at")), sendings, "_at", ["sent_at"], "transaction_id", ["account_id"])
         .filter(F.col("sent_at").isNotNull())
         .groupBy("account_id", "sent_at")
         .agg(F.min("decided_at").alias("_first"))

@@ -21,7 +21,7 @@ from riskengine.operators.feedback import serve_in_order
 from riskengine.plans import decide as D
 from riskengine.plans import ml, profile, reports
 from riskengine.session import shared_dir
-from riskengine.sources import parsing
+from riskengine.sources import parsing, readers
 from riskengine.sources.sinks import overwrite_table, read_decisions, write_batch, write_decisions
 from riskengine.streaming import jobs, stateful
 
@@ -449,6 +449,16 @@ def class_weight(spark, sf_dir):
     return profile.class_weight(V.labelled(spark, sf_dir))
 
 
+@query
+def account_mismatch(spark, sf_dir):
+    """Transactions against the accounts table, which is written and read; one in 50 comes without an account."""
+    path = shared_dir(spark, "accounts")
+    overwrite_table(V.accounts(spark, sf_dir), path)
+    tx = V.transactions(spark, sf_dir)
+    tx = tx.withColumn("account_id", F.when(F.col("transaction_id").cast("long") % 50 != 7, F.col("account_id")))
+    return profile.account_mismatch(tx, readers.read_accounts(spark, path))
+
+
 @query
 def account_split(spark, sf_dir):
     return profile.account_split(V.labelled(spark, sf_dir))

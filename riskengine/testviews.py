@@ -143,6 +143,16 @@ def many_rule_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine of ten customers as accounts; some have another card or no home."""
+    return table(spark, sf_dir, "customer").filter("c_custkey % 10 <> 0").select(
+        F.expr("concat('ACC_', lpad(CAST(c_custkey AS STRING), 5, '0'))").alias("account_id"),
+        F.expr("concat('CARD_', lpad(CAST(c_custkey + CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS STRING), 5, '0'))").alias("card_id"),
+        F.expr(f"CASE WHEN c_custkey % 9 <> 0 THEN element_at({_names(DOMESTIC_LOCATIONS)}, CAST(c_nationkey % 5 AS INT) + 1) END").alias("home_location"),
+        F.expr("CAST(abs(round(c_acctbal)) AS BIGINT) * 1000").alias("avg_amount"),
+    )
+
+
 def load_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One load level per hour of traffic, named by its mean rate, and the empty hour after it all."""
     hour = F.date_trunc("hour", "produced_at")
