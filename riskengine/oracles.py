@@ -547,6 +547,12 @@ SELECT f.* EXCLUDE (approved), rule_hit, cep_pattern, s.stage, CASE s.stage WHEN
   WHEN 'CEP' THEN cep_status ELSE CASE WHEN f.ml_score >= 0.6e0 THEN 'ALERT' ELSE 'APPROVED' END END AS decision
 FROM folded f JOIN staged s USING (transaction_id)"""
 
+ORACLES["metrics_by_hour"] = f"""WITH {TX} SELECT decided_us - decided_us % 3600000000 AS hour_us, count(*) AS n, {", ".join(
+    f"CASE WHEN count(*) <= 1024 THEN quantile_disc(decided_us // 1000 - us // 1000, 0.{p}) END AS p{p}" for p in (50, 90, 99)
+  )}, max(decided_us // 1000 - us // 1000) AS max_ms FROM tx GROUP BY 1"""
+ORACLES["cep_state_left"] = f"""WITH cascade AS ({ORACLES["cep_cascade"]}), {TX}
+SELECT account_id, count(*) AS n, count(cep_pattern) AS patterns,
+  max(ms) + 3600000 > (SELECT max(ms) - 600000 FROM tx) AS "left" FROM tx JOIN cascade USING (transaction_id) GROUP BY account_id"""
 ORACLES["account_mismatch"] = f"""WITH {TX}, acc AS (
   SELECT concat('ACC_', lpad(CAST(c_custkey AS VARCHAR), 5, '0')) AS account_id,
     concat('CARD_', lpad(CAST(c_custkey + CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS VARCHAR), 5, '0')) AS card_id,

@@ -602,15 +602,54 @@ def cep_stream(spark, sf_dir):
     return spark.read.schema(stateful.OUTPUT).parquet(f"{folder}/out").select("transaction_id", "cep_pattern")
 
 
+def _metrics(spark, sf_dir) -> DataFrame:
+    """Finished seconds of the transactions' stream. A heartbeat a minute after all rows lets the last seconds finish."""
+    rows = V.transactions(spark, sf_dir).select("decided_at", "produced_at", "event_time")
+    beat = rows.agg(F.max("decided_at").alias("t")).select(F.timestamp_add("MINUTE", F.lit(1), "t").alias("decided_at"))
+    beat = beat.select("decided_at", F.col("decided_at").alias("produced_at"), F.lit(None).cast("timestamp").alias("event_time"))
+    span = F.floor((F.unix_micros("event_time") - V.BASE_US) / (V.SPAN_US // 4))
+    part = F.coalesce(F.greatest(F.lit(0), F.least(F.lit(3), span)), F.lit(4))
+
+    def run(stream, folder):
+        return jobs.write_metrics(jobs.metrics_stream(stream), f"{folder}/out", f"{folder}/checkpoint", availableNow=True)
+
+    folder = _in_batches(spark, rows.unionByName(beat), part, run, 5)
+    return spark.read.parquet(f"{folder}/out")
+
+
 @query
-def metrics_stream(spark, sf_dir):
+def cep_state_left(spark, sf_dir):
+    """Accounts that the pattern stream still has state for once all rows have come: those whose newest row some later row
+    could look back at. Idle ones have lost theirs; what came out is the same as without an end of state."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+
     def run(stream, folder):
-        return jobs.metrics_stream(stream).writeStream.outputMode("complete").foreachBatch(
-            lambda batch, batch_id: overwrite_table(batch, f"{folder}/out")
+        return stateful.cep_stream(stream, CONFIG, late="10 minutes").writeStream.foreachBatch(
+            lambda batch, batch_id: write_batch(batch, f"{folder}/out", batch_id)
         ).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
 
     folder = _by_time(spark, sf_dir, run)
-    return spark.read.parquet(f"{folder}/out").select(_us("second"), "n", "p50", "p90", "p99", "max_ms")
+    left = stateful.stored_accounts(spark, f"{folder}/checkpoint").withColumn("left", F.lit(True))
+    found = spark.read.schema(stateful.OUTPUT).parquet(f"{folder}/out").groupBy("account_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("cep_pattern").alias("patterns")
+    )
+    return found.join(left, "account_id", "left").select("account_id", "n", "patterns", F.coalesce("left", F.lit(False)).alias("left"))
+
+
+@query
+def metrics_stream(spark, sf_dir):
+    return jobs.with_quantiles(_metrics(spark, sf_dir)).select(_us("second"), "n", "p50", "p90", "p99", "max_ms")
+
+
+@query
+def metrics_by_hour(spark, sf_dir):
+    """Hours added up from the seconds of the stream; percentiles are checked for the hours that their sketch holds whole."""
+    hours = jobs.with_quantiles(jobs.metric_spans(_metrics(spark, sf_dir), "hour"))
+    exact = [F.when(F.col("n") <= jobs.SKETCH_K // 2, F.col(p)).alias(p) for p in jobs.METRIC_QUANTILES]
+    return hours.select(_us("hour"), "n", *exact, "max_ms")
 
 
 @query

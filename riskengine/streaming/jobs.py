@@ -22,6 +22,7 @@ from riskengine.operators.feedback import Scorer, serve_in_order
 from riskengine.operators.features import DAY_S
 from riskengine.operators.joins import members, salted_join
 from riskengine.operators.rules import active_rules, apply_rules
+from riskengine.operators.slicing import ROWS_PER_SLICE
 from riskengine.plans.decide import conclude, reaches_patterns, stage_of
 from riskengine.sources.parsing import dlq_records, parse_rules, parse_transactions, split_dlq
 from riskengine.sources.sinks import write_batch, write_dlq, write_parts
@@ -113,6 +114,7 @@ class Decider:
     priority_accounts: Sequence[str] = PRIORITY_ACCOUNTS
     threshold: float = SCORE_THRESHOLD
     score: Scorer | None = None
+    rows_per_slice: int | None = ROWS_PER_SLICE
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -144,7 +146,9 @@ class Decider:
             settled = F.when(F.col("_settled"), F.col("decision") == "APPROVED")
             # The feature is a double of the same name; the log keeps the whole amount.
             rows = rows.withColumn("_whole", F.col("amount"))
-            served = serve_in_order(rows, self.score, self.threshold, known=settled, amend=at_home)
+            served = serve_in_order(
+                rows, self.score, self.threshold, rows_per_slice=self.rows_per_slice, known=settled, amend=at_home
+            )
             scored = served.withColumn("amount", F.col("_whole")).filter(~F.col("_settled"))
         else:
             scored = self.log.with_homes(rows.filter(~F.col("_settled")), batch_id)
@@ -207,21 +211,41 @@ def read_rule_table(spark: SparkSession, path: str) -> DataFrame:
     return _stored(spark, path, schemas.RULE_UPDATE)
 
 
+#: Size of the latency sketches: ranks are exact up to about so many rows, and beyond within 0.2 % of the rows.
+SKETCH_K = 2048
+METRIC_QUANTILES = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+
+
 def metrics_stream(decisions: DataFrame, late: str = "5 seconds") -> DataFrame:
-    """Per-second throughput and latency of a decision stream, final once ``late`` has passed."""
+    """Per-second throughput and latency of a decision stream, for append mode: a second comes out once, when ``late`` has
+    passed, and is forgotten. Latencies are kept as a sketch, so seconds add up to longer spans (:func:`metric_spans`)."""
     latency = F.unix_millis("decided_at") - F.unix_millis("produced_at")
     return (
         decisions.withWatermark("decided_at", late)
         .groupBy(F.window("decided_at", "1 second"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(latency, [0.5, 0.9, 0.99], 1000).alias("p"),
-            F.max(latency).alias("max_ms"),
-        )
-        .select(
-            F.col("window.start").alias("second"), "n", F.col("p")[0].alias("p50"), F.col("p")[1].alias("p90"),
-            F.col("p")[2].alias("p99"), "max_ms",
-        )
+        .agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_bigint(latency, SKETCH_K).alias("sketch"), F.max(latency).alias("max_ms"))
+        .select(F.col("window.start").alias("second"), "n", "sketch", "max_ms")
+    )
+
+
+def with_quantiles(metrics: DataFrame) -> DataFrame:
+    """The sketch as percentiles."""
+    found = [F.kll_sketch_get_quantile_bigint("sketch", F.lit(p)).alias(name) for name, p in METRIC_QUANTILES.items()]
+    return metrics.select(*[c for c in metrics.columns if c != "sketch"], *found)
+
+
+def metric_spans(metrics: DataFrame, unit: str) -> DataFrame:
+    """Seconds added up to spans of a ``unit`` as in ``date_trunc``; sketches are merged, latencies not read again."""
+    return metrics.groupBy(F.date_trunc(unit, "second").alias(unit)).agg(
+        F.sum("n").alias("n"), F.kll_merge_agg_bigint("sketch", SKETCH_K).alias("sketch"), F.max("max_ms").alias("max_ms")
+    )
+
+
+def write_metrics(metrics: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Appends finished seconds; a batch that is run again replaces its own."""
+    return (
+        metrics.writeStream.outputMode("append").foreachBatch(lambda batch, batch_id: write_batch(batch, path, batch_id))
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
     )
 
 

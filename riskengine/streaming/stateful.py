@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -19,6 +19,7 @@ from riskengine.operators.cep import CepConfig, ChangePattern
 OUTPUT = "transaction_id string, account_id string, cep_pattern string"
 # Latest times per pattern: up to n - 1 of them, or, for a change pattern, its last value's and another value's.
 STATE = "times array<array<bigint>>, last_values array<string>"
+EXPIRY = "at bigint"
 
 
 def _steps(config: CepConfig) -> list[tuple]:
@@ -57,11 +58,32 @@ def advance(steps: list[tuple], times: list, values: list, ms: int, tests: list)
 
 
 class PatternProcessor(StatefulProcessor):
-    def __init__(self, steps: list[tuple]):
-        self.steps = steps
+    """``keep_ms``: how long after an account's newest row its state is of use to any later row, by event time; once the
+    watermark has passed that, a timer clears it. ``ttl_ms``: the same by the clock, kept by the state store."""
+
+    def __init__(self, steps: list[tuple], keep_ms: int | None = None, ttl_ms: int | None = None):
+        self.steps, self.keep_ms, self.ttl_ms = steps, keep_ms, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("patterns", STATE)
+        self.handle = handle
+        self.state = handle.getValueState("patterns", STATE, self.ttl_ms)
+        if self.keep_ms is not None:
+            self.expiry = handle.getValueState("expiry", EXPIRY)
+
+    def _keep_until(self, at: int) -> None:
+        """One timer per account, moved on as newer rows come; a late row moves nothing."""
+        if self.expiry.exists():
+            before = self.expiry.get()[0]
+            if before >= at:
+                return
+            self.handle.deleteTimer(before)
+        self.handle.registerTimer(at)
+        self.expiry.update((at,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        self.expiry.clear()
+        yield pd.DataFrame({"transaction_id": [], "account_id": [], "cep_pattern": []}, dtype=object)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         n = len(self.steps)
@@ -76,6 +98,8 @@ class PatternProcessor(StatefulProcessor):
             advance(self.steps, times, values, ms, row) for ms, row in zip(batch["ms"].tolist(), zip(*tests))
         ]
         self.state.update((times, values))
+        if self.keep_ms is not None:
+            self._keep_until(int(batch["ms"].max()) + self.keep_ms)
         yield pd.DataFrame({
             "transaction_id": batch["transaction_id"].to_numpy(), "account_id": key[0],
             "cep_pattern": pd.Series(hits, dtype=object).to_numpy(),
@@ -85,13 +109,29 @@ class PatternProcessor(StatefulProcessor):
         pass
 
 
-def cep_stream(transactions: DataFrame, config: CepConfig = CepConfig()) -> DataFrame:
-    """Streaming twin of ``cep_decide``. Needs the RocksDB state store; rows are never dropped as late."""
+def cep_stream(
+    transactions: DataFrame, config: CepConfig = CepConfig(), late: str | None = None, ttl_s: int | None = None
+) -> DataFrame:
+    """Streaming twin of ``cep_decide``. Needs the RocksDB state store.
+
+    Without more, state is kept for ever and no row is late. With ``late``, an account's state ends when the watermark,
+    ``late`` behind the newest row, has left its longest window; rows later than that are dropped by the engine. With
+    ``ttl_s``, state ends so many seconds after its last change by the clock.
+    """
     tests = [
         (F.col(p.column) if isinstance(p, ChangePattern) else F.coalesce(p.qualifies(), F.lit(False))).alias(f"t{i}")
         for i, p in enumerate(config.patterns)
     ]
-    rows = transactions.select("account_id", "transaction_id", epoch("event_time").alias("ms"), *tests)
-    return rows.groupBy("account_id").transformWithStateInPandas(
-        PatternProcessor(_steps(config)), OUTPUT, outputMode="Append", timeMode="None"
-    )
+    if late is not None:
+        transactions = transactions.withWatermark("event_time", late)
+    rows = transactions.select("account_id", "transaction_id", "event_time", epoch("event_time").alias("ms"), *tests)
+    keep_ms = None if late is None else max(p.window_s for p in config.patterns) * 1000
+    mode = "EventTime" if late is not None else "ProcessingTime" if ttl_s is not None else "None"
+    processor = PatternProcessor(_steps(config), keep_ms, None if ttl_s is None else ttl_s * 1000)
+    return rows.groupBy("account_id").transformWithStateInPandas(processor, OUTPUT, outputMode="Append", timeMode=mode)
+
+
+def stored_accounts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The accounts that a stopped stream has state for."""
+    state = spark.read.format("statestore").option("stateVarName", "patterns").load(checkpoint)
+    return state.select(F.col("key.account_id").alias("account_id"))

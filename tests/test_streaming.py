@@ -151,10 +151,30 @@ def test_metrics_stream_and_replays(spark, tmp_path):
     q = unique.writeStream.format("memory").queryName("unique_rows").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("unique_rows").count() == 50
-    q = jobs.metrics_stream(stream(spark, str(tmp_path / "in"), df.schema)).writeStream.outputMode("complete").format(
-        "memory").queryName("per_second").trigger(availableNow=True).start()
-    q.awaitTermination(120)
-    assert spark.table("per_second").agg(F.sum("n")).first()[0] == 100
+
+
+def test_metrics_come_once_and_add_up(spark, tmp_path):
+    """Seconds are appended once; sketches merged to hours are within the error bound of the exact percentiles."""
+    df = spark.range(20_000).selectExpr(
+        "timestamp_micros(1767225600000000 + id * 700000) AS produced_at",
+        "timestamp_micros(1767225600000000 + id * 700000 + (id * 7919 % 5003) * 1000) AS decided_at",
+    )
+    closing = df.selectExpr("max(decided_at) + INTERVAL 1 MINUTE AS t").selectExpr("t AS produced_at", "t AS decided_at")
+    for part in (df, closing):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q = jobs.write_metrics(
+            jobs.metrics_stream(stream(spark, str(tmp_path / "in"), df.schema)), str(tmp_path / "out"), str(tmp_path / "cp"), availableNow=True
+        )
+        q.awaitTermination(120)
+        assert q.exception() is None
+    seconds = spark.read.parquet(str(tmp_path / "out"))
+    assert seconds.count() == seconds.select("second").distinct().count() and seconds.agg(F.sum("n")).first()[0] == 20_000
+    for r in jobs.with_quantiles(jobs.metric_spans(seconds, "hour")).collect():
+        own = sorted(i * 7919 % 5003 for i in range(20_000) if (i * 700 + i * 7919 % 5003) // 3_600_000 == (r.hour.timestamp() - 1767225600) // 3600)
+        assert len(own) == r.n and max(own) == r.max_ms
+        for name, p in jobs.METRIC_QUANTILES.items():
+            rank = sum(v <= r[name] for v in own) / len(own)
+            assert abs(rank - p) < 0.005
 
 
 @pytest.mark.parametrize("batches", [1, 4, 16])
@@ -166,7 +186,7 @@ def test_scored_stream_does_not_depend_on_batches(spark, tmp_path, batches):
         ratio = rows[:, FEATURES.index("log_amount_ratio_24h")]
         return ratio / (1 + ratio) + rows[:, FEATURES.index("is_home")] / 10
 
-    decider = jobs.Decider(jobs.DecisionLog(str(tmp_path / "out")), lambda: updates(spark), CONFIG, ("ACC_1",), 0.45, score)
+    decider = jobs.Decider(jobs.DecisionLog(str(tmp_path / "out")), lambda: updates(spark), CONFIG, ("ACC_1",), 0.45, score, rows_per_slice=None)
     part = F.ntile(batches).over(Window.orderBy("event_time", "transaction_id"))
     rows = df.withColumn("part", part)
     for i in range(1, batches + 1):
