@@ -547,6 +547,12 @@ SELECT f.* EXCLUDE (approved), rule_hit, cep_pattern, s.stage, CASE s.stage WHEN
   WHEN 'CEP' THEN cep_status ELSE CASE WHEN f.ml_score >= 0.6e0 THEN 'ALERT' ELSE 'APPROVED' END END AS decision
 FROM folded f JOIN staged s USING (transaction_id)"""
 
+# A fitted model is only checked for what does not depend on how it is fitted.
+ORACLES["model_checked"] = f"""WITH feat_rows AS ({ORACLES["training_features"]}), {TX}, {LABELLED}, {_SPLIT}
+SELECT f.*, lab.is_fraud, (SELECT count(*) FILTER (WHERE NOT l.is_fraud) // count(*) FILTER (WHERE l.is_fraud) FROM lab l JOIN parts p USING (account_id)
+  WHERE p.part = 'train') AS class_weight, true AS same_again, true AS same_by_trees, true AS ranks
+FROM feat_rows f JOIN lab USING (transaction_id) JOIN parts ON parts.account_id = lab.account_id WHERE parts.part = 'test'"""
+ORACLES["early_stopping"] = "SELECT 12 AS rounds, true AS best_in_reach, true AS same_precision"
 ORACLES["metrics_by_hour"] = f"""WITH {TX} SELECT decided_us - decided_us % 3600000000 AS hour_us, count(*) AS n, {", ".join(
     f"CASE WHEN count(*) <= 1024 THEN quantile_disc(decided_us // 1000 - us // 1000, 0.{p}) END AS p{p}" for p in (50, 90, 99)
   )}, max(decided_us // 1000 - us // 1000) AS max_ms FROM tx GROUP BY 1"""

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -533,6 +534,49 @@ def model_scores(spark, sf_dir):
     return ml.score(model, rows.filter("part = 'test'")).select("transaction_id", "is_fraud", F.round("ml_score", 6).alias("ml_score"))
 
 
+@query
+def model_checked(spark, sf_dir):
+    """What is determined of a fitted model: the test rows with their assembled features and the class weight, that a saved
+    model gives the same scores when read again, that its trees as arrays do too, and that it ranks better than chance."""
+    path = shared_dir(spark, "model")
+    rows = features.training_features(V.labelled(spark, sf_dir))
+    rows = profile.with_part(rows, profile.account_split(rows))
+    fitted, held = rows.filter("part = 'train'"), rows.filter("part = 'test'")
+    model = ml.train(fitted, ml.Params(depth=3, rounds=8))
+    ml.save_model(model, f"{path}/model")
+    trees = ml.trees_of(model)
+    by_trees = F.pandas_udf(lambda *c: pd.Series(trees.scores(np.column_stack(c))), "double")
+    both = ml.score(ml.load_model(f"{path}/model"), ml.score(model, held), "again").withColumn("by_trees", by_trees(*FEATURES))
+    overwrite_table(both, f"{path}/scores")
+    both = spark.read.parquet(f"{path}/scores")
+    area = reports.auc_roc(both).first().auc_roc
+    weight = profile.class_weight(fitted).first().class_weight
+    return _features(
+        both, "is_fraud", F.lit(weight).alias("class_weight"), (F.col("ml_score") == F.col("again")).alias("same_again"),
+        (F.abs(F.col("ml_score") - F.col("by_trees")) < 1e-12).alias("same_by_trees"), F.lit(area > 0.5).alias("ranks"),
+    )
+
+
+@query
+def early_stopping(spark, sf_dir):
+    """The round kept after boosting with patience, held against its rule: its precision is the best up to ``patience``
+    rounds further on, and the model fitted up to there has it."""
+    rows = features.training_features(V.labelled(spark, sf_dir))
+    rows = profile.with_part(rows, profile.account_split(rows))
+    path = shared_dir(spark, "parts")
+    overwrite_table(rows, path)
+    rows = spark.read.parquet(path)
+    held = rows.filter("part = 'test'")
+    model, precision = ml.train_patiently(rows.filter("part = 'train'"), held, ml.Params(depth=3, rounds=12), patience=4)
+    kept = model.stages[-1].getNumTrees
+    again = reports.auc_pr(ml.score(model, held)).first().auc_pr
+    first_best = precision[kept - 1] == max(precision[: kept + 4]) and precision[kept - 1] > max([0.0, *precision[: kept - 1]])
+    return spark.range(1).select(
+        F.lit(len(precision)).alias("rounds"), F.lit(first_best).alias("best_in_reach"),
+        F.lit(bool(abs(again - precision[kept - 1]) < 1e-9)).alias("same_precision"),
+    )
+
+
 # Streams
 
 def _in_batches(spark, rows, part, run, parts: int = 4) -> str:

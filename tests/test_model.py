@@ -3,6 +3,7 @@ import random
 from collections import deque
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_features import frame, rows
@@ -134,3 +135,23 @@ def test_an_account_that_alternates_needs_few_rounds(spark):
     assert flips > 1000
     assert len(log) <= 6 + 1 and all(a >= b for a, b in zip(log, log[1:]))
     assert all(got[f"u{i:05d}"].approved for i in range(0, n, 10))
+
+
+def test_patience():
+    assert ml.best_round([0.1, 0.3, 0.2, 0.2, 0.2, 0.9], patience=3) == 2
+    assert ml.best_round([0.1, 0.3, 0.2, 0.2, 0.9], patience=3) == 5
+    assert ml.best_round([0.3, 0.3, 0.3]) == 1 and ml.best_round([None, None]) == 1
+
+
+def test_the_best_prefix_is_kept(spark):
+    """Staged figures are those of models fitted with so few rounds, and the trees as arrays score like the model."""
+    fitted, held = sample(spark), sample(spark, 150, 2)
+    model, precision = ml.train_patiently(fitted, held, ml.Params(depth=3, rounds=6), patience=2)
+    kept = model.stages[-1].getNumTrees
+    assert kept == ml.best_round(precision, 2) and len(precision) == 6
+    assert reports.auc_pr(ml.score(model, held)).first()[0] == pytest.approx(precision[kept - 1], abs=1e-9)
+    short = ml.train(fitted, ml.Params(depth=3, rounds=2))
+    assert reports.auc_pr(ml.score(short, held)).first()[0] == pytest.approx(precision[1], abs=1e-9)
+    rows = [[float(r[f]) for f in FEATURES] for r in held.collect()]
+    want = [r.ml_score for r in ml.score(model, held).collect()]
+    assert ml.trees_of(model).scores(np.array(rows)) == pytest.approx(want, abs=1e-12)
