@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskengine.llm.common import clashing, parts_for, slices, written
-from riskengine.llm.tokens import word_ids
+from riskengine.llm.tokens import release, word_ids
 
 ROWS_PER_BLOCK = 50_000
 #: Steps of the least-squares solver, and rounds of solving and rounding.
@@ -142,6 +142,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, size: int, with_ids: b
     schema = T.StructType([T.StructField(*f) for f in fields] + [T.StructField("ids", T.BinaryType())] * with_ids)
 
     def run(batches):
+        release()
         own = word_ids(path)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskengine.llm.common import parts_for, slices, written
-from riskengine.llm.tokens import vocabulary, word_ids
+from riskengine.llm.tokens import release, vocabulary, word_ids
 
 MAGIC, VERSION = b"TOKBITS\0", 1
 HEADER = struct.Struct("<8sIIQQQQ")
@@ -119,6 +119,7 @@ def write_tokens(
     )
 
     def tokenize(batches):
+        release()
         own = word_ids(path)
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()

@@ -1,12 +1,15 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from riskengine.llm import packing, tokenfile
+from riskengine.llm import packing, tokenfile, tokens
+from riskengine.llm.common import slices
 from riskengine.llm.queries import REGISTRY
 
 from . import util
@@ -16,9 +19,7 @@ PATH = P.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def check(rows, want, size):
@@ -134,3 +135,16 @@ def test_token_files_odd(spark, tmp_path, tokenizer):
         assert ids == tokenizer.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [1]
     tokenfile.write_tokens(util.empty(spark), out, PATH, 1)
     assert tokenfile.read_tokens(spark, out).count() == 0
+
+
+@pytest.mark.parametrize("remembered", [50, 400_000])
+def test_word_ids_equal_the_library_with_special_strings(remembered):
+    rnd = random.Random(remembered)
+    parts = ["a", "The", "é", " ", "  ", "\n", "'s", "1", "!", "ß", "日本", "́", "end.", "end,", "End!!", "x.y.", "<|endoftext|>", "<|startoftext|>", "<|endof"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(1500)]
+    library, own, got = Tokenizer.from_file(PATH), tokens.WordIds(PATH, remembered), []
+    for _, _, data, offsets in slices(pa.array(texts), 2_000):
+        ids, counts = own.encode(data, offsets, 7)
+        got += np.split(ids, np.cumsum(counts)[:-1])
+    assert [g.tolist() for g in got] == [[*e.ids, 7] for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert len(own.known.hashes) < 50 + 500 or remembered > 50

@@ -33,7 +33,6 @@ def test_run_equals_brute_force(spark, sf_dir):
     rows = [r for r in rows if r[0] in kept]
     rows = list(zip([d for d, _ in rows], without_repeats([t for _, t in rows])))
     tokenizer = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     want = wanted(rows, tokenizer, 0, 2048)
     used = check(corpus_pipeline.run(spark, sf_dir).collect(), want, 2048)
     assert used <= -(-sum(p[3] for p in want.elements()) // 2048) + 1
