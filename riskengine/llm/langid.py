@@ -5,13 +5,17 @@ its last one to four, all n-grams of two to four bytes, the whole word, and the
 lexicon holds the words of the training sample that are mostly of one language. Features are hashed into ``2**BITS``
 rows of weights, one column per language. Words form chains of ``CHAIN`` in the order of the text; learned transitions
 join neighbours. Forward-backward gives each word's probabilities, so parts in different languages get labels of their
-own; a text's score for a language is the mean over its words.
+own; a text's score for a language is the mean over its words. ``familiar`` is the share of its three-byte
+grams, word by word with a mark at both ends, that stand in at least two words of the sample, against that share over the
+sample itself, at most 1. Unlike the score, which is a probability among the learned languages, it is low for any other
+language and for junk. ``n_grams`` is how many grams were looked at.
 
 The model is fitted on at most ``SAMPLE`` labelled rows, the first by a hash of id and text. Prediction reads the text
 alone and reads all of it.
 
 Rules for odd input: a null text and a text without a letter are ``und`` with score 0; without any labelled training
-row every text is; a null id belongs to the training part; a null label never trains.
+row every text is; a null id belongs to the training part; a null label never trains. ``familiar`` is 0 for a text without
+words and 1 for any other where the sample has fewer than ``LEAST_GRAMS`` familiar grams.
 """
 
 from __future__ import annotations
@@ -23,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskengine.llm.common import Hashes, clashing, distinct_spans, lower, remainder, slices, spans_of
+from riskengine.llm.common import Hashes, clashing, distinct_spans, lower, per_group, remainder, slices, spans_of
 
 UNDETERMINED = "und"
 SAMPLE, BITS, CHAIN = 800, 16, 64
 STEPS, RATE = 25, 0.3
 LEXICON_COUNT, LEXICON_SHARE = 3, 0.9
+#: A gram is familiar if it stands in so many words; a sample with fewer such grams cannot tell what is foreign.
+GRAM_WORDS, LEAST_GRAMS = 2, 500
 _LETTER = regex.compile(r"\p{L}")
 _WORD = np.zeros(256, bool)
 _WORD[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -61,8 +67,17 @@ def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(who), (np.concatenate(what) & np.uint64((1 << BITS) - 1)).astype(np.int64), whole
 
 
+def marked_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all three-byte grams of `` word ``, one word after another, and each one's word."""
+    data = np.frombuffer(b"".join(b" %s " % w for w in words), np.uint8)
+    owner = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+    inside = np.flatnonzero(owner[:-2] == owner[2:])
+    return Hashes(data).grams(3)[inside], owner[inside]
+
+
 class Crf:
-    """Weights of features and transitions, and the lexicon as sorted word hashes with the language of each."""
+    """Weights of features and transitions, the lexicon as sorted word hashes with the language of each, and the hashes
+    of familiar grams, sorted."""
 
     def __init__(self, languages: list[str]):
         k = len(languages)
@@ -72,6 +87,7 @@ class Crf:
         self.moves = np.zeros((k, k))
         self.first = np.zeros(k)
         self.lexicon, self.lexicon_language = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.grams, self.usual = np.zeros(0, np.uint64), 0.0
 
     def in_lexicon(self, whole: np.ndarray) -> np.ndarray:
         """The language of the lexicon that holds each word, or -1."""
@@ -80,6 +96,13 @@ class Crf:
         at = np.minimum(np.searchsorted(self.lexicon, whole), len(self.lexicon) - 1)
         return np.where(self.lexicon[at] == whole, self.lexicon_language[at], -1)
 
+    def familiar(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """For each word, the number of its grams that are familiar, and of all."""
+        grams, owner = marked_grams(words)
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        good = self.grams[at] == grams if len(self.grams) else np.zeros(len(grams), bool)
+        return per_group(good, owner, len(words)), np.bincount(owner, minlength=len(words))
+
     def emissions(self, who: np.ndarray, what: np.ndarray, lexicon: np.ndarray, n: int) -> np.ndarray:
         out = np.stack([np.bincount(who, self.weights[what, k], n) for k in range(len(self.languages))], 1)
         out /= np.sqrt(np.maximum(1, np.bincount(who, minlength=n)))[:, None]
@@ -125,6 +148,13 @@ class Crf:
         order = np.argsort(whole[listed])
         self.lexicon, self.lexicon_language = whole[listed][order], counts[listed].argmax(1)[order]
         lexicon = self.in_lexicon(whole)
+        grams, owner = marked_grams(words)
+        pairs = np.unique(np.stack([grams, owner.astype(np.uint64)]), axis=1)[0]
+        self.grams, times = np.unique(pairs, return_counts=True)
+        self.grams = self.grams[times >= GRAM_WORDS]
+        seen, every = self.familiar(words)
+        if len(self.grams) >= LEAST_GRAMS:
+            self.usual = float((seen * total).sum() / max(1, (every * total).sum()))
         scale = 1 / np.sqrt(np.maximum(1, np.bincount(who, minlength=n)))
         moved = np.zeros((k, k))
         np.add.at(moved, (label, label), lengths - 1)
@@ -186,44 +216,52 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Crf | None:
     return model
 
 
-def label_words(model: Crf, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The probabilities of each language for every word of a slice, in order, and the document of each word."""
+def label_words(model: Crf, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every word of a slice, in order: the probabilities of each language, the numbers of its familiar and of all
+    its grams, and its document."""
     words, which, docs = words_in(data, offsets)
     if not len(which):
-        return np.zeros((0, len(model.languages))), docs
+        return np.zeros((0, len(model.languages))), which, which, docs
     who, what, whole = features(words)
     emissions = model.emissions(who, what, model.in_lexicon(whole), len(words))
     chains, lengths, _ = _chains(which, docs, len(offsets) - 1)
     p, _ = model.marginals(emissions, chains, lengths)
-    return p[chains >= 0], docs
+    seen, grams = model.familiar(words)
+    return p[chains >= 0], seen[which], grams[which], docs
 
 
 def predict(docs: DataFrame, model: Crf | None) -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` from the text alone."""
-    kept = clashing(docs, ["lang_pred", "score"])
-    schema = T.StructType([*kept.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    """Adds ``lang_pred``, ``score``, ``familiar`` and ``n_grams`` from the text alone."""
+    kept = clashing(docs, ["lang_pred", "score", "familiar", "n_grams"])
+    added = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("familiar", T.DoubleType()), ("n_grams", T.LongType())]
+    schema = T.StructType([*kept.schema, *[T.StructField(*a) for a in added]])
 
     def run(batches):
         for batch in batches:
             text = batch.column(batch.schema.get_field_index("text"))
             for first, end, data, offsets in slices(text):
                 n, out, score = end - first, [UNDETERMINED] * (end - first), np.zeros(end - first)
+                familiar, grams = np.zeros(n), np.zeros(n, np.int64)
                 if model is not None:
-                    p, docs_ = label_words(model, data, offsets)
+                    p, seen, all_, docs_ = label_words(model, data, offsets)
                     count = np.bincount(docs_, minlength=n)
+                    grams = per_group(all_, docs_, n)
+                    familiar = per_group(seen, docs_, n) / np.maximum(1, grams * model.usual) if model.usual else np.ones(n)
+                    familiar = np.where(grams > 0, np.minimum(1.0, familiar), 0.0)
                     means = np.stack([np.bincount(docs_, p[:, k], n) for k in range(len(model.languages))], 1) / np.maximum(1, count)[:, None]
                     ascii_letters = np.bincount(np.searchsorted(offsets, np.flatnonzero(_WORD[data] & (data < 128)), "right") - 1, minlength=n)
                     for d in np.flatnonzero(count):
                         if ascii_letters[d] or _LETTER.search(data[offsets[d] : offsets[d + 1]].tobytes().decode("utf-8", "replace")):
                             out[d], score[d] = model.languages[means[d].argmax()], min(1.0, means[d].max())
                 rest = [c.slice(first, n) for c in batch.columns]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(out, pa.string()), pa.array(score)], names=schema.names)
+                found = [pa.array(out, pa.string()), pa.array(score), pa.array(familiar), pa.array(grams)]
+                yield pa.RecordBatch.from_arrays([*rest, *found], names=schema.names)
 
     return kept.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, folds: int = 3, held: int = 1, sample: int = SAMPLE) -> DataFrame:
-    """Adds ``held_out`` (crc32 of the id modulo ``folds`` is ``held``), ``lang_pred`` and ``score``; learns from the
-    other rows."""
+    """Adds ``held_out`` (crc32 of the id modulo ``folds`` is ``held``), ``lang_pred``, ``score``, ``familiar`` and
+    ``n_grams``; learns from the other rows."""
     marked = clashing(docs, ["held_out"]).withColumn("held_out", F.coalesce(remainder(docs, "doc_id", folds) == held, F.lit(False)))
     return predict(marked, fit(marked.filter("NOT held_out"), sample))

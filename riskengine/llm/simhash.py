@@ -37,16 +37,16 @@ def with_terms(texts: DataFrame, text: str) -> DataFrame:
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``keys``, the number of ``copies`` (rows with the same keys) and the two longs of the fingerprint, ``f0`` and
-    ``f1``. Rows with the same keys have the same text."""
+    """``keys`` and the two longs of the fingerprint, ``f0`` and ``f1``. Each row has keys of its own: a text weighs less
+    than 2**31 in all, so the votes of one row, unlike those of many, fit their lanes."""
     weight = F.col("_term").bitwiseAND(F.lit(15))
     rows = with_terms(texts, text).select(
-        *keys, (F.col("_pos") == 0).cast("long").alias("_first"), weight.alias("_w"), *[F.xxhash64("_term", F.lit(k)).alias(f"_h{k}") for k in (0, 1)]
+        *keys, weight.alias("_w"), *[F.xxhash64("_term", F.lit(k)).alias(f"_h{k}") for k in (0, 1)]
     )
     votes = [
         F.sum(F.shiftright(f"_h{k}", j).bitwiseAND(F.lit(_LANES)) * F.col("_w")).alias(f"_v{k}_{j}") for k in (0, 1) for j in range(32)
     ]
-    sums = rows.groupBy(*keys).agg(F.sum("_first").alias("copies"), F.sum("_w").alias("_all"), *votes)
+    sums = rows.groupBy(*keys).agg(F.sum("_w").alias("_all"), *votes)
 
     def long(k: int) -> Column:
         bits = None
@@ -58,7 +58,7 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
                 bits = one if bits is None else bits.bitwiseOR(one)
         return bits
 
-    return sums.select(*keys, "copies", long(0).alias("f0"), long(1).alias("f1"))
+    return sums.select(*keys, long(0).alias("f0"), long(1).alias("f1"))
 
 
 def distance(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
@@ -104,7 +104,7 @@ def within(prints: DataFrame, radius: int = 3, blocks: int = 4) -> DataFrame:
 
 
 def with_next(keys: DataFrame) -> DataFrame:
-    """Adds to distinct keys (_k1, _k2) those of the next in order, n1 and n2; after the last comes the first."""
+    """Adds to rows with keys (_k1, _k2) of their own those of the next in order, n1 and n2; after the last comes the first."""
     parts = parts_for(keys.count(), KEYS_PER_PART)
     # Which part a key falls in is written down, so it is the same wherever it is used.
     cut = written(keys.repartitionByRange(parts, "_k1", "_k2").withColumn("_part", F.spark_partition_id()), "key-parts")
@@ -123,15 +123,18 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     (sha256), both fingerprints, and how like they are to each other and to the next document's."""
     text = F.coalesce("text", F.lit(""))
     key = ["_k1", "_k2"]
-    # Both joins read this very table, so Spark shuffles the texts once and uses them twice.
-    texts = docs.select(*row_key(F.col("doc_id"), F.col("text")), text.alias("_text"))
-    following = written(with_next(texts.select(*key, F.length("_text").alias("_n")).distinct()), "following")
+    rows = docs.select(*row_key(F.col("doc_id"), F.col("text")), text.alias("_text"))
+    counted = rows.select(*key, F.length("_text").alias("_n")).groupBy(*key, "_n").agg(F.count(F.lit(1)).alias("copies"))
+    following = written(with_next(counted), "following")
+    # Equal rows are one text from here on, dropped before the shuffle too. Both joins read this very table, so Spark
+    # shuffles the texts once and uses them twice.
+    texts = rows.dropDuplicates(key)
 
     asked = following.select(F.col("_k1").alias("q1"), F.col("_k2").alias("q2"), "n1", "n2", F.floor(F.col("_n") / 4).cast("int").alias("_take"))
     other = texts.select(F.col("_k1").alias("n1"), F.col("_k2").alias("n2"), "_text")
     borrowed = other.join(asked, ["n1", "n2"]).select(F.col("q1").alias("_k1"), F.col("q2").alias("_k2"), F.expr("substring(_text, 1, _take)").alias("_borrowed"))
     n = F.length("_text")
-    both = texts.join(borrowed.dropDuplicates(key), key).select(
+    both = texts.join(borrowed, key).select(
         *key, n.cast("long").alias("n_chars"), "_text",
         F.concat(F.substring("_text", F.lit(1), n - F.floor(n / 4).cast("int")), F.col("_borrowed")).alias("_edited"),
     )
@@ -141,7 +144,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     prints = fingerprints(sides, [*keys, "_side"], "_text")
     pick = lambda side, c: F.max(F.when(F.col("_side") == side, F.col(c)))
     found = prints.groupBy(*keys).agg(
-        F.max("copies").alias("copies"), *[pick(s, f"f{k}").alias(f"{name}{k}") for s, name in ((0, "f"), (1, "e")) for k in (0, 1)]
+        *[pick(s, f"f{k}").alias(f"{name}{k}") for s, name in ((0, "f"), (1, "e")) for k in (0, 1)]
     )
     found = written(found, "fingerprints")
     near = within(found, radius=3)

@@ -275,9 +275,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_id
     rows = written(rows.withColumns({c: F.col(c).cast("int") for c in ("at", "first", "last")}), "anchors")
     counts = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = written(rows.join(counts, "gram"), "shared-anchors")
-    by_doc = shared.groupBy(*ROW_KEYS).agg(F.collect_list(F.struct("gram", "at", "first", "last")).alias("found"))
-    # A key's anchors come from each of its equal rows; once per row is enough, as the join brings the rows back.
-    by_doc = by_doc.withColumn("found", F.array_distinct("found"))
+    # A key's anchors come from each of its equal rows; they are gathered once, as the join brings the rows back.
+    by_doc = shared.groupBy(*ROW_KEYS).agg(F.collect_set(F.struct("gram", "at", "first", "last")).alias("found"))
     pieces = written(
         texts.join(by_doc, ROW_KEYS).select(*ROW_KEYS, "found", "_text").mapInArrow(
             _around(length), "_k1 long, _k2 long, gram long, at int, first int, last int, bytes binary"

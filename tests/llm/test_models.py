@@ -56,7 +56,7 @@ def test_words_of_two_languages_get_their_own_labels(spark, sf_dir):
     texts = {r["lang"]: r["text"] for r in util.documents(sf_dir) if len(r["text"]) > 2000 and "%%" not in r["text"]}
     mixed = texts["en"][:1500] + " " + texts["de"][:1500]
     for _, _, data, offsets in slices(pa.array([mixed])):
-        p, _ = langid.label_words(model, data, offsets)
+        p, _, _, _ = langid.label_words(model, data, offsets)
     best = p.argmax(1)
     half = len(best) // 2
     en, de = model.languages.index("en"), model.languages.index("de")

@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline
 import public_tokenizers as P
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from . import util
@@ -38,6 +39,37 @@ def test_run_equals_brute_force(spark, sf_dir):
     assert used <= -(-sum(p[3] for p in want.elements()) // 2048) + 1
 
 
+FOREIGN = [
+    "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita. " * 2,
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki",
+    "<div class='nav'><ul><li><a href='x.html'>home</a></li></ul></div> <script>var a = function(){return b}</script>",
+    "xq zkv wpt jjx qqrz vbnm ktrw xxz plk mnbv ghjk zzq wrt",
+    "всеобщая декларация прав человека принята и провозглашена резолюцией ассамблеи",
+    "12 — 34",
+]
+
+
+def test_other_languages_and_junk_are_rejected_and_clean_texts_stay(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    more = spark.createDataFrame([(10**6 + i, t, None, "s", len(t)) for i, t in enumerate(FOREIGN)], util.SCHEMA)
+    out = corpus_pipeline.identified(spark, docs.unionByName(more), "")
+    assert sorted(r.doc_id for r in out.select("doc_id").collect()) == sorted(r["doc_id"] for r in util.documents(sf_dir))
+
+
+def test_columns_of_any_name_come_back_as_they_were(spark):
+    names = ["score", "lang_pred", "held_out", "kept_bytes", "removed", "familiar", "n_grams", "_id", "_n", "_first", "_whole", "_text", "_k1", "a.b", "Found"]
+    docs = util.odd(spark)
+    for i, n in enumerate(names):
+        docs = docs.withColumn(n, F.concat(F.lit(f"{i} "), F.coalesce(F.col("source"), F.lit("-"))))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert (out.columns, out.dtypes) == (docs.columns, docs.dtypes), name
+        for r in out.collect():
+            row = r.asDict()
+            assert [row[n] for n in names] == [f"{i} {r.source or '-'}" for i in range(len(names))], name
+    assert corpus_pipeline.packed(spark, docs, "").count() >= len(util.ODD)
+
+
 def test_stages_on_odd_rows(spark):
     docs = util.odd(spark)
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -1,6 +1,8 @@
 import hashlib
 import random
+import re
 
+import xxhash
 from pyspark.sql import functions as F
 
 from riskengine.llm import simhash
@@ -63,6 +65,46 @@ def test_a_single_term_votes_its_own_bits(spark):
     assert (r.f0, r.f1) == tuple(want)
 
 
+def plain(text):
+    """The fingerprint of a text in plain Python."""
+    words = re.split(r"[ \t\n\x0b\f\r]+", text.lower())
+    votes, every = [0] * 128, 0
+    for i, w in enumerate(words):
+        h = xxhash.xxh64_intdigest(w.encode(), 42)
+        if i + 1 < len(words):
+            h = xxhash.xxh64_intdigest(words[i + 1].encode(), h)
+        weight = min(len(w), 15)
+        term = (h & ~15 | weight).to_bytes(8, "little")
+        every += weight
+        for k in (0, 1):
+            bits_ = xxhash.xxh64_intdigest(k.to_bytes(4, "little"), xxhash.xxh64_intdigest(term, 42))
+            for j in range(64):
+                votes[64 * k + j] += weight * (bits_ >> j & 1)
+    value = [sum((2 * v > every) << j for j, v in enumerate(votes[64 * k : 64 * k + 64])) for k in (0, 1)]
+    return "%016x%016x" % tuple(value)
+
+
+def test_fingerprints_of_whole_texts_equal_plain_python(spark, sf_dir):
+    rows = sorted(util.documents(sf_dir), key=lambda r: len(r["text"]))
+    rows = rows[:20] + rows[len(rows) // 2 :][:20]
+    df = spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string")
+    got = {r.doc_id: r for r in simhash.edited_fingerprints(df).collect()}
+    by_id = sorted(rows, key=lambda r: r["doc_id"])
+    for r, after in zip(by_id, by_id[1:] + by_id[:1]):
+        t, k = r["text"], len(r["text"]) // 4
+        assert got[r["doc_id"]].fingerprint == plain(t)
+        assert got[r["doc_id"]].edited_fingerprint == plain(t[: len(t) - k] + after["text"][:k])
+
+
+def test_many_equal_rows_count_once(spark):
+    text = "votes of equal rows must not add up " * 300
+    one = spark.createDataFrame([(1, text), (2, "another text")], "doc_id long, text string")
+    many = one.filter("doc_id = 1").crossJoin(spark.range(3000).select()).unionByName(one.filter("doc_id = 2"))
+    want = {tuple(r) for r in simhash.edited_fingerprints(one).collect()}
+    got = simhash.edited_fingerprints(many.withColumn("fingerprint", F.lit("extra")).withColumn("copies", F.lit(0)))
+    assert got.count() == 3001 and {tuple(r) for r in got.distinct().collect()} == want
+
+
 def test_block_tables_find_all_pairs(spark):
     rnd = random.Random(3)
     prints = [rnd.getrandbits(128) for _ in range(150)]
