@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,19 +13,44 @@ from riskengine.llm import langid, minhash, packing, suffix
 from riskengine.llm.common import written
 from riskengine.session import shared_dir
 
-#: A text whose best language scores less on the mean over its words is rejected; so is one without a letter.
-LEAST_SCORE = 0.3
+#: A text is rejected if less than this share of its grams is familiar, by more than so many standard deviations of
+#: a share of so many grams. Short texts have wide deviations, so they are rejected only for want of any familiar gram.
+LEAST_FAMILIAR, DEVIATIONS = 0.8, 6
 #: Ids that are made from texts begin here.
 _BY_TEXT = 1 << 62
 
 
+#: The columns that stages read or set; all others are carried along.
+_USED = ("doc_id", "text", "lang", "n_chars")
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _carrying(stage: Stage) -> Stage:
+    """The stage with columns it doesn't know under names that no operator uses, and given back as they were."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = {c: c if c in _USED else f"_carried_{i}" for i, c in enumerate(docs.columns)}
+        # By place: a name may hold a dot or differ from another in case alone.
+        out = stage(spark, docs.toDF(*names.values()), sf_dir)
+        return out.select(*names.values()).toDF(*names)
+
+    return run
+
+
+@_carrying
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model knows."""
+    """Documents in a language that the model knows. A text goes if it is null, has no letter, or if far fewer of its grams
+    are familiar from the labelled texts than of these texts themselves: another language, markup, random letters. A
+    label is not looked at, nor is the number of languages. Rows that repeat are judged alike."""
     found = langid.identify(docs)
-    good = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    least = LEAST_FAMILIAR - DEVIATIONS * F.sqrt(LEAST_FAMILIAR * (1 - LEAST_FAMILIAR) / F.greatest(F.col("n_grams"), F.lit(1)))
+    good = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("familiar") >= least)
     return found.filter(good).select(*docs.columns)
 
 
+@_carrying
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares at least four fifths of its five-word shingles.
 
@@ -47,8 +75,10 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return left.filter(alone).select(*docs.columns).unionByName(repeated)
 
 
+@_carrying
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of 200 bytes that stand elsewhere too. What a cut leaves of a character goes."""
+    """Texts without passages of 200 bytes that stand elsewhere too. What a cut leaves of a character goes. No row goes: a
+    null text stays null, and a text that is all repeats becomes empty."""
     text = F.when(F.size("removed") > 0, F.try_validate_utf8(F.col("kept_bytes").cast("string"))).otherwise(F.col("_whole"))
     cut = suffix.remove_repeats(docs.withColumn("_whole", F.col("text")))
     mended = F.coalesce(text, F.replace(F.make_valid_utf8(F.col("kept_bytes").cast("string")), F.lit("�"), F.lit("")))
@@ -57,7 +87,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document that is left, in sequences of at most 2048 tokens."""
+    """Every document that is left, in sequences of at most 2048 tokens. A null or empty text is its end id alone; rows
+    that repeat an id are packed one by one."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=0, size=2048, with_ids=False)
 
 
