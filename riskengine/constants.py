@@ -1,8 +1,7 @@
 """These must equal the published system's for results to agree."""
 
-# Location names counted as domestic / foreign.
+# Location names counted as domestic; all others are foreign.
 DOMESTIC_LOCATIONS = ("Hanoi", "HCM City", "Da Nang", "Can Tho", "Hai Phong")
-FOREIGN_LOCATIONS = ("Phnom Penh", "Bangkok", "Singapore", "Tokyo", "London", "New York")
 
 # Wire formats.
 ACCOUNT_ID_PATTERN = "^(ACC_[0-9]{5}|FRD_[A-Z0-9_]+)$"

@@ -15,6 +15,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskengine.session import stored
+
 ROWS_PER_BUCKET = 1_000_000
 FEW_BUCKETS, MAX_BUCKETS = 128, 4096
 MD5_DIGITS = 3
@@ -97,10 +99,16 @@ def exact_quantiles(
     groups: Sequence[str] = (),
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Interpolated quantiles per group, one column per name. Equal values are counted before the shuffle."""
-    counts = (
-        df.filter(F.col(value).isNotNull()).groupBy(*groups, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Interpolated quantiles per group, one column per name. Equal values are counted before the shuffle, and the counts
+    written once, so that the input is read once however many cuts and offsets are taken."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*groups, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("n"))
+    return quantiles_of_counts(stored(counts, "value-counts"), probabilities, groups, rows_per_bucket)
+
+
+def quantiles_of_counts(
+    counts: DataFrame, probabilities: dict[str, float], groups: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """The same of values ``_v`` that are already counted (``n``)."""
     ranked = prefix_sums(counts, "_v", ["n"], groups, rows_per_bucket=rows_per_bucket)
     first, end = F.col("n_before"), F.col("n_before") + F.col("n")
 

@@ -17,7 +17,8 @@ from riskengine.functions.predicates import action_status, rule_matches
 from riskengine.functions.time import bucket
 from riskengine.operators.dedup import latest_by_key
 from riskengine.operators.joins import lookup_join
-from riskengine.operators.steps import FAN, find_step, least_over_time, levels_for, numbered, steps_of, stored, tree_nodes
+from riskengine.operators.steps import FAN, find_step, least_over_time, levels_for, numbered, steps_of, tree_nodes
+from riskengine.session import stored
 
 INLINE_RULES = 64
 #: Versions times hours that are gathered; an hour's array holds no more, and each takes about a hundred bytes.

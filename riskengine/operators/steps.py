@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riskengine.operators.joins import SALTS, fits_broadcast
 from riskengine.operators.prefix import prefix_sums, with_buckets
-from riskengine.session import shared_dir
+from riskengine.session import stored
 
 MOST_CUTS = 16_384
 #: Keys with no more intervals than this are joined by key alone, and the interval is tested.
@@ -25,13 +25,6 @@ FEW_STEPS = 64
 FAN = 16
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once, as it is read several times."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def steps_of(bounds: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Steps (keys, lo, hi, hit) of the least hit at each value.
 

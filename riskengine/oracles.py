@@ -4,9 +4,9 @@ carried state, so that agreement means something."""
 from __future__ import annotations
 
 from riskengine.constants import (
-    ACCOUNT_ID_PATTERN, CARD_ID_PATTERN, DOMESTIC_LOCATIONS, FOREIGN_LOCATIONS, RULE_TEST_ACCOUNTS_LIKE,
+    ACCOUNT_ID_PATTERN, CARD_ID_PATTERN, DOMESTIC_LOCATIONS, RULE_TEST_ACCOUNTS_LIKE,
 )
-from riskengine.testviews import BASE_US, SPAN_US
+from riskengine.testviews import BASE_US, FOREIGN, SPAN_US
 
 
 def _names(values) -> str:
@@ -25,7 +25,7 @@ TX = f"""base AS (
     CASE WHEN event_id % 97 = 0 THEN 1000000001 + event_id WHEN event_id % 10 < 4 THEN 2000 + event_id % 8001
       ELSE CAST(round(value * 100) AS BIGINT) * 20000 END AS amount,
     CASE WHEN event_id % 20 < 5 THEN 'ATM' WHEN event_id % 20 = 5 THEN 'POS' ELSE 'ONLINE' END AS channel,
-    CASE WHEN event_id % 19 = 0 THEN ({_names(FOREIGN_LOCATIONS)})[CAST((event_id // 19) % 6 AS INTEGER) + 1]
+    CASE WHEN event_id % 19 = 0 THEN ({_names(FOREIGN)})[CAST((event_id // 19) % 6 AS INTEGER) + 1]
       ELSE ({_names(DOMESTIC_LOCATIONS)})[CAST(user_id % 5 AS INTEGER) + 1] END AS location_name,
     CASE WHEN event_type IN ('error', 'signup') THEN 'Declined' ELSE 'Approved' END AS status,
     e_us + (event_id * 37 % 900) * 1000 AS decided_us,
@@ -40,11 +40,11 @@ DEC = """dec AS (
   SELECT transaction_id, account_id, amount, us, decided_us, produced_at, decided_at, is_fraud, fraud_pattern,
     decided_us // 1000 - us // 1000 AS latency_ms,
     CASE WHEN amount > 1000000000 THEN 'AMOUNT_THRESHOLD' END AS rule_hit,
-    CASE WHEN amount > 1000000000 THEN NULL WHEN location_name IN ('Tokyo', 'London', 'New York') THEN 'LOCATION_JUMP'
+    CASE WHEN amount > 1000000000 THEN NULL WHEN location_name IN ('Dunfallow', 'Eastmere', 'Farholm') THEN 'LOCATION_JUMP'
       WHEN status = 'Declined' AND channel = 'POS' THEN 'DECLINED_BURST' END AS cep_pattern,
-    CASE WHEN amount > 1000000000 OR location_name IN ('Tokyo', 'London', 'New York')
+    CASE WHEN amount > 1000000000 OR location_name IN ('Dunfallow', 'Eastmere', 'Farholm')
       OR (status = 'Declined' AND channel = 'POS') THEN NULL ELSE ml_score END AS ml_score,
-    CASE WHEN amount > 1000000000 OR location_name IN ('Tokyo', 'London', 'New York') THEN 'BLOCK'
+    CASE WHEN amount > 1000000000 OR location_name IN ('Dunfallow', 'Eastmere', 'Farholm') THEN 'BLOCK'
       WHEN status = 'Declined' AND channel = 'POS' THEN 'ALERT'
       WHEN ml_score >= 0.9184e0 THEN 'ALERT' ELSE 'APPROVED' END AS decision
   FROM tx
@@ -139,14 +139,23 @@ def _location_hits(out: str, source: str, seconds: int) -> str:
 )"""
 
 
-def _cascade(reaches: str) -> str:
-    """CTEs from ``p0``; ``lj``, ``hf``, ``db`` and ``rm`` hold the ids each pattern takes."""
-    steps = [f"p0 AS MATERIALIZED ({reaches})", _location_hits("lj", "p0", 3600)]
+def _cascade(reaches: str, new: str = "") -> str:
+    """CTEs from ``p0``; ``lj``, ``hf``, ``db`` and ``rm`` hold the ids each pattern takes. With a condition ``new``, rows
+    that do not meet it keep the pattern that ``settled`` gives them."""
+    def taken_by(name, pattern, hits):
+        if not new:
+            return hits(name)
+        return hits(f"{name}_all") + f""", {name} AS MATERIALIZED (
+  SELECT transaction_id FROM p0 JOIN {name}_all USING (transaction_id) WHERE {new}
+  UNION ALL SELECT transaction_id FROM settled WHERE cep_pattern = '{pattern}'
+)"""
+
+    steps = [f"p0 AS MATERIALIZED ({reaches})", taken_by("lj", "LOCATION_JUMP", lambda out: _location_hits(out, "p0", 3600))]
     hits = [("hf", "HIGH_FREQUENCY", 3600), ("db", "DECLINED_BURST", 1800), ("rm", "RAPID_MICROPAYMENTS", 1800)]
     before, taken = "p0", "lj"
     for i, (name, pattern, seconds) in enumerate(hits, 1):
         steps.append(f"p{i} AS MATERIALIZED (SELECT * FROM {before} WHERE transaction_id NOT IN (SELECT transaction_id FROM {taken}))")
-        steps.append(_count_hits(name, f"p{i}", QUALIFIES[pattern], 3, seconds))
+        steps.append(taken_by(name, pattern, lambda out: _count_hits(out, f"p{i}", QUALIFIES[pattern], 3, seconds)))
         before, taken = f"p{i}", name
     return ", ".join(steps) + """, cep AS (
   SELECT transaction_id, 'LOCATION_JUMP' AS cep_pattern, 'BLOCK' AS cep_status FROM lj UNION ALL
@@ -582,3 +591,34 @@ ORACLES["rule_stream"] = f"""WITH {RULE_MESSAGES}, {_checked(_RULE_CHECKS, _RULE
 ) SELECT * EXCLUDE (enabled, rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY seq DESC) AS rn FROM good
 ) WHERE rn = 1 AND enabled"""
+
+ORACLES["ranking_report"] = f"""SELECT n.*, a.auc_roc, p.auc_pr, b.* FROM (
+  {_BY_SCORE} SELECT count(*) FILTER (WHERE is_fraud) AS pos, count(*) FILTER (WHERE NOT is_fraud) AS neg FROM s
+) n, ({ORACLES["auc_roc"]}) a, ({ORACLES["auc_pr"]}) p, ({ORACLES["best_threshold"]}) b"""
+ORACLES["truth_table"] = f"""WITH {TX} SELECT is_fraud, fraud_pattern, count(*) AS n, sum(amount) AS amount FROM tx GROUP BY ALL
+UNION ALL SELECT NULL, NULL, count(*), sum(amount) FROM tx"""
+ORACLES["labelled_report"] = f"""WITH {TX}, {LABELLED} SELECT account_id, count(*) AS n, sum(amount) AS amount,
+  count(*) FILTER (WHERE is_fraud) AS fraud, count(*) FILTER (WHERE is_home) AS home, max(us) // 1000 * 1000 AS last_us,
+  true AS in_order, true AS reset FROM lab GROUP BY account_id"""
+ORACLES["source_reads"] = f"""{PARSED}, typed AS (
+  SELECT *, error_message = '' AS good, CASE WHEN error_message = '' THEN CAST(trunc(CAST(j->>'amount' AS DOUBLE)) AS BIGINT) END AS amount FROM checked
+) SELECT 'transactions' AS topic, 0 AS partition, good, 'text' AS source, count(*) AS n, sum(amount) AS amount, NULL AS offsets FROM typed GROUP BY good
+UNION ALL SELECT 'transactions', partition, good, source, count(*), sum(amount), sum("offset")
+FROM typed, (VALUES ('json'), ('parquet')) f(source) GROUP BY partition, good, source"""
+ORACLES["rule_dead_letters"] = f"""WITH {RULE_MESSAGES}, {_checked(_RULE_CHECKS, _RULE_KEYS)} SELECT 'rules-updates' AS "sourceTopic",
+  0 AS partition, "offset", value AS "rawPayload", error_message AS "errorMessage" FROM checked WHERE error_message <> ''"""
+
+# Late rows are decided among all rows, and change nothing that was decided without them.
+_REACHING = "rule_hit IS NULL AND account_id NOT IN ('ACC_00003', 'ACC_00011')"
+_DECISION = DECIDED[DECIDED.index("staged AS ("):]
+ORACLES["decide_stream_late"] = f"""WITH {TX}, {UPDATES}, {RULED}, settled AS MATERIALIZED (
+  WITH {_cascade(f"SELECT * FROM ruled WHERE id % 10 <> 3 AND {_REACHING}")} SELECT * FROM cep
+), {_cascade(f"SELECT * FROM ruled WHERE {_REACHING}", "id % 10 = 3")}, {_DECISION}
+SELECT transaction_id, account_id, rule_hit, cep_pattern, round(CAST(CAST(ml_score AS FLOAT) AS DOUBLE), 4) AS ml_score, decision FROM decided"""
+ORACLES["decide_stream_rules"] = f"""WITH {TX}, {UPDATES}, in_force AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY part, rule_id ORDER BY seq DESC) AS rn
+    FROM upd JOIN range(4) p(part) ON updated_us < {BASE_US} + part * {SPAN_US // 4}
+  ) WHERE rn = 1 AND enabled
+), {_first_match("r.rule_id", f"r.part = greatest(0, least(3, (tx.us - {BASE_US}) // {SPAN_US // 4}))", "in_force")}
+SELECT transaction_id, account_id, rule_hit, rule_status FROM ruled"""

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from riskengine.functions.predicates import label_name, with_location_type
 from riskengine.operators.joins import lookup_join, salted_join
-from riskengine.operators.prefix import exact_quantiles, hashed_rank
+from riskengine.operators.prefix import exact_quantiles, hashed_rank, quantiles_of_counts
+from riskengine.session import stored
 
 QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
 
@@ -24,25 +25,41 @@ def combine(first: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame, rows_per_bucket: int = 1_000_000) -> DataFrame:
-    """Rows, fraud share, accounts, time range, and count/mean/std/min/quartiles/max of the amount."""
-    n = F.count(F.lit(1))
-    main = df.agg(
-        n.alias("total_rows"),
-        F.count_if("is_fraud").alias("fraud_rows"),
-        (F.count_if("is_fraud") * 100.0 / F.nullif(n, F.lit(0))).alias("fraud_percent"),
-        F.min("event_time").alias("first_event"),
-        F.max("event_time").alias("last_event"),
-        F.count("amount").alias("amount_count"),
-        (_exact_sum("amount").cast("double") / F.count("amount")).alias("amount_mean"),
-        F.stddev_samp("amount").alias("amount_std"),
+    """Rows, fraud share, accounts, time range, and count/mean/std/min/quartiles/max of the amount.
+
+    One reading of the rows: they are counted by amount and by account at once, and all figures come from the counts."""
+    counted = stored(
+        df.groupingSets([[F.col("amount")], [F.col("account_id")]], "amount", "account_id").agg(
+            (F.grouping("amount") == 1).alias("_by_account"),
+            F.count(F.lit(1)).alias("n"),
+            F.count_if("is_fraud").alias("fraud"),
+            F.min("event_time").alias("first"),
+            F.max("event_time").alias("last"),
+        ),
+        "profile",
+    )
+    amounts = counted.filter("NOT _by_account")
+    n, known = F.sum("n"), F.sum(F.when(F.col("amount").isNotNull(), F.col("n")))
+    total = F.sum(F.col("amount").cast("decimal(20,0)") * F.col("n").cast("decimal(18,0)"))
+    main = amounts.agg(
+        F.coalesce(n, F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum("fraud"), F.lit(0)).alias("fraud_rows"),
+        (F.sum("fraud") * 100.0 / F.nullif(n, F.lit(0))).alias("fraud_percent"),
+        F.min("first").alias("first_event"),
+        F.max("last").alias("last_event"),
+        F.coalesce(known, F.lit(0)).alias("amount_count"),
+        (total.cast("double") / known).alias("amount_mean"),
         F.min("amount").alias("amount_min"),
         F.max("amount").alias("amount_max"),
     )
-    # Distinct accounts apart: beside other aggregates they would make every row be repeated.
-    accounts = df.groupBy("account_id").agg(F.lit(1)).agg(F.count("account_id"))
-    quartiles = exact_quantiles(df, "amount", QUARTILES, rows_per_bucket=rows_per_bucket)
+    away = F.col("amount") - main.select("amount_mean").scalar()
+    spread = amounts.agg(F.sqrt(F.sum(F.col("n") * away * away) / F.nullif(known - 1, F.lit(0))))
+    accounts = counted.filter("_by_account").agg(F.count("account_id"))
+    valued = amounts.filter("amount IS NOT NULL").select(F.col("amount").alias("_v"), "n")
+    quartiles = quantiles_of_counts(valued, QUARTILES, rows_per_bucket=rows_per_bucket)
     out = main.select(
-        "*", accounts.scalar().alias("accounts"), quartiles.select(F.struct(*QUARTILES)).scalar().alias("_quartiles")
+        "*", spread.scalar().alias("amount_std"), accounts.scalar().alias("accounts"),
+        quartiles.select(F.struct(*QUARTILES)).scalar().alias("_quartiles"),
     )
     return out.select("*", "_quartiles.*").drop("_quartiles")
 

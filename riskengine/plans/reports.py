@@ -11,8 +11,9 @@ from riskengine.constants import APPROVED, RULE_TEST_ACCOUNTS_LIKE
 from riskengine.functions.predicates import exclude_accounts, with_trigger
 from riskengine.functions.time import time_range, with_latency
 from riskengine.operators.joins import interval_join, salted_join
-from riskengine.operators.steps import find_step, stored
 from riskengine.operators.prefix import exact_quantiles, hashed_rank, prefix_sums
+from riskengine.operators.steps import find_step
+from riskengine.session import stored
 
 PERCENTILES = {"p50_ms": 0.50, "p90_ms": 0.90, "p95_ms": 0.95, "p99_ms": 0.99}
 
@@ -209,16 +210,26 @@ def ml_f1(labelled: DataFrame) -> DataFrame:
 
 # Ranking quality
 
-def _by_score(labelled: DataFrame, score: str) -> DataFrame:
-    """Positives and negatives per distinct score."""
-    return labelled.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
+def score_counts(labelled: DataFrame, score: str = "ml_score") -> DataFrame:
+    """Positives and negatives per distinct score, written once: the rows are read here and nowhere else. Every figure that
+    takes labelled rows takes this table as well, so several figures of the same rows read them once together."""
+    if labelled.columns == ["score", "pos", "neg"]:
+        return labelled
+    counts = labelled.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("score")).agg(
         F.count_if("is_fraud").alias("pos"), F.count_if(~F.col("is_fraud")).alias("neg")
     )
+    return stored(counts, "score-counts")
+
+
+def _from_best(labelled: DataFrame, score: str, rows_per_bucket: int) -> DataFrame:
+    """Distinct scores with positives and rows, and those of all higher scores."""
+    by_score = score_counts(labelled, score).withColumn("n", F.col("pos") + F.col("neg"))
+    return prefix_sums(by_score, "score", ["pos", "n"], descending=True, rows_per_bucket=rows_per_bucket)
 
 
 def auc_roc(labelled: DataFrame, score: str = "ml_score", ties: str = "mid", rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Rank-sum AUC. Tied pairs count half (``mid``), or not at all, as with plain ``rank()`` (``min``)."""
-    ranked = prefix_sums(_by_score(labelled, score), "score", ["neg"], rows_per_bucket=rows_per_bucket)
+    ranked = prefix_sums(score_counts(labelled, score), "score", ["neg"], rows_per_bucket=rows_per_bucket)
     below = F.col("neg_before").cast("double")
     if ties == "mid":
         won = F.col("pos") * (below + F.col("neg") / 2)
@@ -231,14 +242,15 @@ def auc_roc(labelled: DataFrame, score: str = "ml_score", ties: str = "mid", row
 
 def auc_pr(labelled: DataFrame, score: str = "ml_score", ties: str = "score", rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Average precision over distinct scores, or row by row with ties in md5(transaction_id) order (``row``)."""
-    by_score = _by_score(labelled, score).withColumn("n", F.col("pos") + F.col("neg"))
-    ranked = prefix_sums(by_score, "score", ["pos", "n"], descending=True, rows_per_bucket=rows_per_bucket)
     if ties == "score":
         precision = (F.col("pos_before") + F.col("pos")) / (F.col("n_before") + F.col("n"))
+        ranked = _from_best(labelled, score, rows_per_bucket)
         return ranked.agg((F.sum(F.col("pos") * precision) / F.nullif(F.sum("pos"), F.lit(0))).alias("auc_pr"))
-    rows = labelled.filter(F.col(score).isNotNull()).select(
-        "transaction_id", F.col(score).alias("score"), F.col("is_fraud").cast("long").alias("tp")
+    rows = stored(
+        labelled.filter(F.col(score).isNotNull()).select("transaction_id", F.col(score).alias("score"), "is_fraud"), "scored-rows"
     )
+    ranked = _from_best(rows, "score", rows_per_bucket)
+    rows = rows.withColumn("tp", F.col("is_fraud").cast("long"))
     placed = hashed_rank(rows, ["score"], "transaction_id", measures=["tp"]).filter("tp = 1")
     starts = ranked.filter("pos > 0").select("score", "pos_before", "n_before")
     placed = salted_join(placed, starts, "score", "inner", "transaction_id")
@@ -248,8 +260,7 @@ def auc_pr(labelled: DataFrame, score: str = "ml_score", ties: str = "score", ro
 
 def pr_curve(labelled: DataFrame, score: str = "ml_score", rows_per_bucket: int = 1_000_000) -> DataFrame:
     """Precision, recall and F1 with each distinct score as the threshold."""
-    by_score = _by_score(labelled, score).withColumn("n", F.col("pos") + F.col("neg"))
-    ranked = prefix_sums(by_score, "score", ["pos", "n"], descending=True, rows_per_bucket=rows_per_bucket)
+    ranked = _from_best(labelled, score, rows_per_bucket)
     tp = F.col("pos_before") + F.col("pos")
     p, r = F.col("precision"), F.col("recall")
     return (
@@ -267,6 +278,15 @@ def best_threshold(labelled: DataFrame, score: str = "ml_score", rows_per_bucket
     return curve.agg(best.alias("best")).select("best.*")
 
 
+def ranking_report(labelled: DataFrame, score: str = "ml_score", rows_per_bucket: int = 1_000_000) -> DataFrame:
+    """Both areas and the best threshold in one row, from one reading of the rows."""
+    counts = score_counts(labelled, score)
+    figures = [auc_roc(counts, rows_per_bucket=rows_per_bucket), auc_pr(counts, rows_per_bucket=rows_per_bucket)]
+    best = best_threshold(counts, rows_per_bucket=rows_per_bucket)
+    size = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return size.select("*", *[f.scalar().alias(f.columns[0]) for f in figures], best.select(F.struct("*")).scalar().alias("best"))
+
+
 def classification_report(
     labelled: DataFrame, threshold: float, targets: dict[str, float], score: str = "ml_score"
 ) -> DataFrame:

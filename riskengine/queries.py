@@ -10,9 +10,10 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskengine import schemas
 from riskengine import testviews as V
 from riskengine.constants import FEATURES, MODEL_TARGETS, SCORE_THRESHOLD
 from riskengine.functions import predicates as P
@@ -23,7 +24,10 @@ from riskengine.plans import decide as D
 from riskengine.plans import ml, profile, reports
 from riskengine.session import shared_dir
 from riskengine.sources import parsing, readers
-from riskengine.sources.sinks import overwrite_table, read_decisions, write_batch, write_decisions
+from riskengine.sources.sinks import (
+    drop_labels, overwrite_table, read_decisions, reset_table, write_batch, write_decisions, write_dlq_stream, write_ground_truth,
+    write_report,
+)
 from riskengine.streaming import jobs, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -379,6 +383,13 @@ def best_threshold(spark, sf_dir):
     return _round(reports.best_threshold(_truth(spark, sf_dir)), 6, "threshold", "precision", "recall", "f1")
 
 
+@query
+def ranking_report(spark, sf_dir):
+    """Areas and best threshold together, from one reading of the rows."""
+    df = reports.ranking_report(_truth(spark, sf_dir)).select("*", "best.*").drop("best")
+    return _round(df, 6, "auc_roc", "auc_pr", "threshold", "precision", "recall", "f1")
+
+
 @query
 def classification_report(spark, sf_dir):
     df = reports.classification_report(_truth(spark, sf_dir), SCORE_THRESHOLD, MODEL_TARGETS)
@@ -407,6 +418,48 @@ def missed_account_history(spark, sf_dir):
 
 # Data set
 
+@query
+def truth_table(spark, sf_dir):
+    """Labelled transactions appended in two runs, read back by label and by whether they may be published."""
+    path = shared_dir(spark, "truth")
+    rows = V.ground_truth(spark, sf_dir)
+    for part in range(2):
+        write_ground_truth(rows.filter(F.col("transaction_id").cast("long") % 2 == part), path)
+    truth = spark.read.schema(schemas.GROUND_TRUTH).parquet(path)
+    kept = truth.groupBy("is_fraud", "fraud_pattern").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+    public = drop_labels(truth)
+    for name in ("is_fraud", "fraud_pattern"):
+        kind = truth.schema[name].dataType
+        public = public if name in public.columns else public.withColumn(name, F.lit(None).cast(kind))
+    hidden = public.groupBy("is_fraud", "fraud_pattern").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"))
+    return kept.unionByName(hidden)
+
+
+@query
+def labelled_report(spark, sf_dir):
+    """The training set as CSV in order of account and time, read back by file: ``in_order`` says that a file ends where the
+    next begins, and a table that is reset has no rows and the same columns."""
+    path = f"{shared_dir(spark, 'report')}.csv"
+    names = schemas.LABELLED.fieldNames()
+    write_report(V.labelled(spark, sf_dir).select(*names), path, "account_id", "event_time")
+    rows = readers.read_labelled(spark, path)
+    place = F.struct("account_id", "event_time")
+    files = rows.groupBy(F.input_file_name().alias("file")).agg(F.min(place).alias("least"), F.max(place).alias("most"))
+    # One row per file here.
+    before = F.lag("most").over(Window.orderBy("file"))
+    in_order = files.select((before.isNull() | (before <= F.col("least"))).alias("ok")).agg(F.every("ok"))
+    emptied = f"{shared_dir(spark, 'reset')}"
+    overwrite_table(rows, emptied)
+    reset_table(spark, emptied, schemas.LABELLED)
+    empty = spark.read.parquet(emptied)
+    reset = empty.agg((F.count(F.lit(1)) == 0) & F.lit(empty.columns == names))
+    out = rows.groupBy("account_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.count_if("is_fraud").alias("fraud"),
+        F.count_if("is_home").alias("home"), F.unix_micros(F.max("event_time")).alias("last_us"),
+    )
+    return out.select("*", in_order.scalar().alias("in_order"), reset.scalar().alias("reset"))
+
+
 @query
 def dataset_profile(spark, sf_dir):
     df = profile.profile(V.labelled(spark, sf_dir))
@@ -491,6 +544,23 @@ def dlq_records(spark, sf_dir):
     return parsing.dlq_records(bad, F.lit("2026-01-01 00:00:00").cast("timestamp"))
 
 
+@query
+def source_reads(spark, sf_dir):
+    """Messages written as text and with their envelope, read back as transactions: how many are good, by source."""
+    path = shared_dir(spark, "messages")
+    messages = V.messages(spark, sf_dir)
+    messages.select("value").write.text(f"{path}/text")
+    for fmt in ("json", "parquet"):
+        messages.write.format(fmt).save(f"{path}/{fmt}")
+    counts = []
+    for fmt in ("text", "json", "parquet"):
+        parsed = parsing.parse_transactions(readers.read_transactions(spark, fmt, f"{path}/{fmt}", streaming=False))
+        counts.append(parsed.groupBy("topic", "partition", (F.size("errors") == 0).alias("good")).agg(
+            F.lit(fmt).alias("source"), F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.sum("offset").alias("offsets")
+        ))
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 @query
 def parse_rules(spark, sf_dir):
     parsed = parsing.with_error_message(parsing.parse_rules(V.rule_messages(spark, sf_dir)))
@@ -630,6 +700,55 @@ def decide_stream_scored(spark, sf_dir):
     )
 
 
+@query
+def decide_stream_late(spark, sf_dir):
+    """Late rows and replays: all rows but each tenth come first; then the late ones, twice, and a tenth of the others again
+    with another score. Late rows are decided among all that came; what was decided stays, and is decided once."""
+    updates = V.rule_updates(spark, sf_dir)
+    rows, last = V.transactions(spark, sf_dir), F.col("transaction_id").cast("long") % 10
+    late, again = rows.filter(last == 3), rows.filter(last == 4).withColumn("ml_score", F.lit(0.99))
+    second = late.unionByName(late).unionByName(again).withColumn("_part", F.lit(1))
+    both = rows.filter(last != 3).withColumn("_part", F.lit(0)).unionByName(second)
+
+    def run(stream, folder):
+        decider = jobs.Decider(jobs.DecisionLog(f"{folder}/out"), lambda: updates, CONFIG, PRIORITY)
+        return jobs.decide_stream(stream.drop("_part"), decider, f"{folder}/checkpoint", availableNow=True)
+
+    folder = _in_batches(spark, both, F.col("_part"), run, 2)
+    return jobs.DecisionLog(f"{folder}/out").read(spark).select(
+        "transaction_id", "account_id", "rule_hit", "cep_pattern", F.round(F.col("ml_score").cast("double"), 4).alias("ml_score"), "decision"
+    )
+
+
+@query
+def decide_stream_rules(spark, sf_dir):
+    """Rules that change while transactions flow: before each quarter of the time, the updates sent until then come in as
+    messages; the quarter is decided by the rules then in force."""
+    fields = schemas.RULE.fieldNames()
+    updates = V.rule_updates(spark, sf_dir).select(
+        F.to_json(F.struct(*fields)).alias("value"), F.lit("rules-updates").alias("topic"), F.lit(0).alias("partition"),
+        F.col("seq").alias("offset"), "updated_at",
+    )
+    sent, parts = shared_dir(spark, "sent"), iter(range(4))
+    width = V.SPAN_US // 4
+
+    def run(stream, folder):
+        part = next(parts)
+        since, until = (F.timestamp_micros(F.lit(V.BASE_US + p * width)) for p in (part - 1, part))
+        new = updates.filter((F.col("updated_at") < until) & (F.col("updated_at") >= since))
+        new.drop("updated_at").write.mode("append").parquet(sent)
+        incoming = readers.read_rule_updates(spark, "parquet", sent).drop("seq")
+        jobs.rule_stream(incoming, f"{folder}/rules", f"{folder}/dlq", f"{folder}/rules-checkpoint", availableNow=True).awaitTermination()
+        decider = jobs.Decider(
+            jobs.DecisionLog(f"{folder}/out"), lambda: jobs.read_rule_table(spark, f"{folder}/rules"), CONFIG, PRIORITY
+        )
+        return jobs.decide_stream(stream, decider, f"{folder}/checkpoint", availableNow=True)
+
+    folder = _by_time(spark, sf_dir, run)
+    log = spark.read.parquet(f"{folder}/out/log")
+    return log.select("transaction_id", "account_id", "rule_hit", "rule_status")
+
+
 @query
 def cep_stream(spark, sf_dir):
     spark.conf.set(
@@ -725,3 +844,15 @@ def rule_stream(spark, sf_dir):
     return rules.active_rules(jobs.read_rule_table(spark, f"{folder}/rules")).select(
         "rule_id", "field", "operator", "threshold", F.col("value").alias("operand"), "action", "seq"
     )
+
+
+@query
+def rule_dead_letters(spark, sf_dir):
+    """Dead letters of rule messages, sent on as JSON by a stream of their own."""
+    def run(stream, folder):
+        _, bad = parsing.split_dlq(parsing.parse_rules(stream))
+        return write_dlq_stream(parsing.dlq_records(bad), "text", f"{folder}/checkpoint", {"availableNow": True}, path=f"{folder}/dlq")
+
+    folder = _in_batches(spark, V.rule_messages(spark, sf_dir), F.pmod(F.xxhash64("offset"), F.lit(2)), run, 2)
+    letter = F.from_json("value", "sourceTopic STRING, partition INT, `offset` BIGINT, rawPayload STRING, errorMessage STRING")
+    return spark.read.text(f"{folder}/dlq").select(letter.alias("l")).select("l.*")

@@ -46,9 +46,10 @@ def write_dlq(records: DataFrame, path: str, source: str, batch_id: int) -> None
     as_messages(records).write.mode("overwrite").text(f"{path}/source={source}/batch_id={batch_id}")
 
 
-def write_dlq_stream(records: DataFrame, fmt: str, checkpoint: str, **options: str):
+def write_dlq_stream(records: DataFrame, fmt: str, checkpoint: str, trigger: dict | None = None, **options: str):
     """A running query that sends DLQ records on, to ``kafka`` (servers and topic in ``options``) or to files."""
-    return as_messages(records).writeStream.format(fmt).options(**options).option("checkpointLocation", checkpoint).start()
+    writer = as_messages(records).writeStream.format(fmt).options(**options).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
 def write_ground_truth(df: DataFrame, path: str) -> None:

@@ -8,11 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskengine.constants import DOMESTIC_LOCATIONS, FOREIGN_LOCATIONS
+from riskengine.constants import DOMESTIC_LOCATIONS
 from riskengine.session import prepare
 
 BASE_US = 1_704_067_200_000_000  # 2024-01-01T00:00:00Z
 SPAN_US = 108_000_000_000  # 30 days, compressed
+#: Places that are not domestic; any names would do.
+FOREIGN = ("Aldermoor", "Brackwater", "Cindermouth", "Dunfallow", "Eastmere", "Farholm")
 _names = lambda values: "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
@@ -39,7 +41,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "CASE WHEN event_id % 20 < 5 THEN 'ATM' WHEN event_id % 20 = 5 THEN 'POS' ELSE 'ONLINE' END"
         ).alias("channel"),
         F.expr(
-            f"CASE WHEN event_id % 19 = 0 THEN element_at({_names(FOREIGN_LOCATIONS)}, CAST((event_id div 19) % 6 AS INT) + 1) "
+            f"CASE WHEN event_id % 19 = 0 THEN element_at({_names(FOREIGN)}, CAST((event_id div 19) % 6 AS INT) + 1) "
             f"ELSE element_at({_names(DOMESTIC_LOCATIONS)}, CAST(user_id % 5 AS INT) + 1) END"
         ).alias("location_name"),
         F.expr("CASE WHEN event_type IN ('error', 'signup') THEN 'Declined' ELSE 'Approved' END").alias("status"),
@@ -57,16 +59,16 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("CASE WHEN amount > 1000000000 THEN 'AMOUNT_THRESHOLD' END").alias("rule_hit"),
         F.expr(
             "CASE WHEN amount > 1000000000 THEN NULL "
-            "WHEN location_name IN ('Tokyo', 'London', 'New York') THEN 'LOCATION_JUMP' "
+            "WHEN location_name IN ('Dunfallow', 'Eastmere', 'Farholm') THEN 'LOCATION_JUMP' "
             "WHEN status = 'Declined' AND channel = 'POS' THEN 'DECLINED_BURST' END"
         ).alias("cep_pattern"),
         F.expr(
-            "CASE WHEN amount > 1000000000 OR location_name IN ('Tokyo', 'London', 'New York') "
+            "CASE WHEN amount > 1000000000 OR location_name IN ('Dunfallow', 'Eastmere', 'Farholm') "
             "OR (status = 'Declined' AND channel = 'POS') THEN NULL ELSE ml_score END"
         ).alias("ml_score"),
         "produced_at", "decided_at",
         F.expr(
-            "CASE WHEN amount > 1000000000 OR location_name IN ('Tokyo', 'London', 'New York') THEN 'BLOCK' "
+            "CASE WHEN amount > 1000000000 OR location_name IN ('Dunfallow', 'Eastmere', 'Farholm') THEN 'BLOCK' "
             "WHEN status = 'Declined' AND channel = 'POS' THEN 'ALERT' "
             "WHEN ml_score >= 0.9184D THEN 'ALERT' ELSE 'APPROVED' END"
         ).alias("decision"),

@@ -190,3 +190,46 @@ def test_null_groups_and_values_stay(spark, many):
     assert q == {"a": 4.5, None: 4.5}
     ranked = prefix.hashed_rank(df.withColumn("k", F.col("v").cast("string")), ["g"], "k").collect()
     assert len(ranked) == len(rows) and {r.group_size for r in ranked} == {11}
+
+
+def test_input_is_read_once(spark):
+    """Figures that need cuts, offsets or several aggregates read their rows once; what they read again is small."""
+    rows = [(f"t{i}", f"A{i % 7}" if i % 11 else None, i % 10 / 10, i % 3 == 0, i % 50 if i % 13 else None, T0 + timedelta(minutes=i)) for i in range(300)]
+    plain = spark.createDataFrame(rows, "transaction_id string, account_id string, ml_score double, is_fraud boolean, amount long, event_time timestamp")
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    def flat(values):
+        """Numbers in order; sums of floats differ in the last digit by the order of their rows."""
+        return [v for x in values for v in (flat(x) if isinstance(x, (tuple, list)) else [x])]
+
+    counted = plain.mapInPandas(seen, plain.schema)
+    figures = {
+        "auc_roc": lambda df: reports.auc_roc(df, rows_per_bucket=3),
+        "auc_pr": lambda df: reports.auc_pr(df, rows_per_bucket=3),
+        "auc_pr_by_row": lambda df: reports.auc_pr(df, ties="row", rows_per_bucket=3),
+        "best_threshold": lambda df: reports.best_threshold(df, rows_per_bucket=3),
+        "ranking_report": lambda df: reports.ranking_report(df, rows_per_bucket=3),
+        "profile": lambda df: profile.profile(df, rows_per_bucket=3),
+        "box": lambda df: profile.amount_box(df, rows_per_bucket=3),
+        "quantiles": lambda df: prefix.exact_quantiles(df, "amount", {"m": 0.5}, ["is_fraud"], rows_per_bucket=3),
+    }
+    for name, figure in figures.items():
+        before = read.value
+        got = figure(counted).collect()
+        assert read.value - before == len(rows), name
+        assert flat(got) == pytest.approx(flat(figure(plain).collect()), nan_ok=True), name
+
+
+def test_profile_of_nulls_and_of_nothing(spark):
+    schema = "account_id string, amount long, event_time timestamp, is_fraud boolean"
+    rows = [("A", 1, T0, True), ("A", None, T0, False), (None, 4, T0, None), ("B", 7, None, False)]
+    got = profile.profile(spark.createDataFrame(rows, schema)).first()
+    assert (got.total_rows, got.fraud_rows, got.accounts, got.amount_count) == (4, 1, 2, 3)
+    assert (got.amount_mean, got.amount_std, got.q50, got.amount_min, got.amount_max) == (4.0, 3.0, 4.0, 1, 7)
+    empty = profile.profile(spark.createDataFrame([], schema)).first()
+    assert (empty.total_rows, empty.fraud_rows, empty.accounts, empty.amount_mean, empty.q50) == (0, 0, 0, None, None)
