@@ -203,9 +203,9 @@ def test_input_is_read_once(spark):
             read.add(len(batch))
             yield batch
 
-    def flat(values):
-        """Numbers in order; sums of floats differ in the last digit by the order of their rows."""
-        return [v for x in values for v in (flat(x) if isinstance(x, (tuple, list)) else [x])]
+    def rounded(x):
+        """Sums of floats differ in the last digit by the order of their rows."""
+        return [rounded(v) for v in x] if isinstance(x, (tuple, list)) else round(x, 9) if isinstance(x, float) else x
 
     counted = plain.mapInPandas(seen, plain.schema)
     figures = {
@@ -222,7 +222,7 @@ def test_input_is_read_once(spark):
         before = read.value
         got = figure(counted).collect()
         assert read.value - before == len(rows), name
-        assert flat(got) == pytest.approx(flat(figure(plain).collect()), nan_ok=True), name
+        assert rounded(got) == rounded(figure(plain).collect()), name
 
 
 def test_profile_of_nulls_and_of_nothing(spark):
