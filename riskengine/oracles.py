@@ -622,3 +622,4 @@ ORACLES["decide_stream_rules"] = f"""WITH {TX}, {UPDATES}, in_force AS (
   ) WHERE rn = 1 AND enabled
 ), {_first_match("r.rule_id", f"r.part = greatest(0, least(3, (tx.us - {BASE_US}) // {SPAN_US // 4}))", "in_force")}
 SELECT transaction_id, account_id, rule_hit, rule_status FROM ruled"""
+ORACLES["decide_stream_compacted"] = f"WITH {DECIDED} SELECT transaction_id, account_id, rule_hit, cep_pattern, decision FROM decided"

@@ -685,6 +685,19 @@ def decide_stream(spark, sf_dir):
     )
 
 
+@query
+def decide_stream_compacted(spark, sf_dir):
+    """The same decisions from eight batches whose folders are merged after every second one."""
+    updates = V.rule_updates(spark, sf_dir)
+
+    def run(stream, folder):
+        decider = jobs.Decider(jobs.DecisionLog(f"{folder}/out"), lambda: updates, CONFIG, PRIORITY, compact_every=2)
+        return jobs.decide_stream(stream, decider, f"{folder}/checkpoint", availableNow=True)
+
+    folder = _by_time(spark, sf_dir, run, 8)
+    return jobs.DecisionLog(f"{folder}/out").read(spark).select("transaction_id", "account_id", "rule_hit", "cep_pattern", "decision")
+
+
 @query
 def decide_stream_scored(spark, sf_dir):
     """Decisions of a stream whose rows are scored as they come; the same as those of one batch over all rows."""
@@ -745,8 +758,7 @@ def decide_stream_rules(spark, sf_dir):
         return jobs.decide_stream(stream, decider, f"{folder}/checkpoint", availableNow=True)
 
     folder = _by_time(spark, sf_dir, run)
-    log = spark.read.parquet(f"{folder}/out/log")
-    return log.select("transaction_id", "account_id", "rule_hit", "rule_status")
+    return jobs.DecisionLog(f"{folder}/out").rows.read(spark).select("transaction_id", "account_id", "rule_hit", "rule_status")
 
 
 @query

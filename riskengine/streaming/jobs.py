@@ -9,11 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from riskengine import schemas
 from riskengine.constants import PRIORITY_ACCOUNTS, RULES_TOPIC, SCORE_THRESHOLD, TRANSACTIONS_TOPIC
@@ -26,20 +25,11 @@ from riskengine.operators.slicing import ROWS_PER_SLICE
 from riskengine.plans.decide import conclude, reaches_patterns, stage_of
 from riskengine.sources.parsing import dlq_records, parse_rules, parse_transactions, split_dlq
 from riskengine.sources.sinks import write_batch, write_dlq, write_parts
+from riskengine.streaming.compact import BatchTable, bucket_of
 
 LOG_COLUMNS = [c for c in schemas.DECIDED_LOG.fieldNames() if c not in ("event_date", "batch_id")]
 
 
-def _stored(spark: SparkSession, path: str, schema: StructType, base: str | None = None) -> DataFrame:
-    """The table at ``path``, which has no rows before its first batch."""
-    try:
-        return spark.read.schema(schema).option("basePath", base or path).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def _first_seen(batch: DataFrame, history: DataFrame) -> DataFrame:
     """The batch without what is replayed: one row per transaction, and none that an earlier batch has decided.
 
@@ -60,6 +50,21 @@ class DecisionLog:
 
     path: str
 
+    @property
+    def rows(self) -> BatchTable:
+        return BatchTable(self.path, "log", schemas.DECIDED_LOG, "account_id", "transaction_id", by_day=True)
+
+    @property
+    def homes(self) -> BatchTable:
+        return BatchTable(self.path, "homes", schemas.HOMES, "account_id", "account_id")
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Merges the folders of all batches up to ``upto``; an account's first home alone is kept."""
+        self.rows.compact(spark, upto)
+        self.homes.compact(spark, upto, lambda homes: homes.groupBy("account_id").agg(
+            F.min_by("home", "batch_id").alias("home"), F.min("batch_id").alias("batch_id")
+        ).select(*schemas.HOMES.fieldNames()))
+
     def history(self, batch: DataFrame, batch_id: int, lookback_s: int) -> DataFrame:
         """Rows of earlier batches that the batch can look back at: its accounts, from its first row's window on."""
         spark = batch.sparkSession
@@ -71,15 +76,16 @@ class DecisionLog:
         days = batch.select(F.explode(back).alias("day")).distinct().collect()
         if span.since is None:
             return spark.createDataFrame([], schemas.DECIDED_LOG).select(*LOG_COLUMNS)
-        folders = f"{self.path}/log/event_date={{{','.join(sorted(str(r.day) for r in days))}}}"
-        log = _stored(spark, folders, schemas.DECIDED_LOG, f"{self.path}/log")
-        recent = log.filter((F.col("batch_id") < batch_id) & (F.col("event_time") >= F.timestamp_micros(F.lit(span.since))))
+        # At most as many as there are buckets; the merged files of the others are not read.
+        buckets = [r.bucket for r in batch.select(bucket_of(F.col("account_id")).alias("bucket")).distinct().collect()]
+        log = self.rows.read(spark, batch_id - 1, sorted(str(r.day) for r in days if r.day is not None), buckets)
+        recent = log.filter(F.col("event_time") >= F.timestamp_micros(F.lit(span.since)))
         return members(recent.select(*LOG_COLUMNS), batch, "account_id", "transaction_id")
 
     def with_homes(self, df: DataFrame, batch_id: int) -> DataFrame:
         """Adds ``_stored_home``, null for accounts that no earlier batch has seen."""
-        homes = _stored(df.sparkSession, f"{self.path}/homes", schemas.HOMES)
-        earlier = homes.filter(F.col("batch_id") < batch_id).groupBy("account_id").agg(
+        homes = self.homes.read(df.sparkSession, batch_id - 1)
+        earlier = homes.groupBy("account_id").agg(
             F.min_by("home", "batch_id").alias("_stored_home")
         )
         return salted_join(df, earlier, "account_id", "left", "transaction_id")
@@ -98,7 +104,7 @@ class DecisionLog:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Decisions of all batches, in the decision table's columns."""
-        log = _stored(spark, f"{self.path}/log", schemas.DECIDED_LOG).withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+        log = self.rows.read(spark).withColumn("amount", F.col("amount").cast("decimal(18,2)"))
         return log.withColumn("ml_score", F.col("ml_score").cast("float")).select(*schemas.DECISION.fieldNames())
 
 
@@ -106,7 +112,8 @@ class DecisionLog:
 class Decider:
     """What it takes to decide a batch. ``updates`` is called at the start of every batch, so a rule update is in
     force from the next one on. ``score`` gives scores from the nine features; what a batch's own decisions do to its
-    later averages is worked out in order of time, so where a batch ends changes no answer. Without it the rows bring their score."""
+    later averages is worked out in order of time, so where a batch ends changes no answer. Without it the rows bring their score.
+    Every ``compact_every`` batches (0: never) the folders of all earlier batches are merged."""
 
     log: DecisionLog
     updates: Callable[[], DataFrame]
@@ -115,8 +122,12 @@ class Decider:
     threshold: float = SCORE_THRESHOLD
     score: Scorer | None = None
     rows_per_slice: int | None = ROWS_PER_SLICE
+    compact_every: int = 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.compact_every and batch_id and batch_id % self.compact_every == 0:
+            # This batch may be run again; those before it are settled.
+            self.log.compact(batch.sparkSession, batch_id - 1)
         batch.persist()
         try:
             self.log.append(self.decide(batch, batch_id), batch_id)
@@ -208,7 +219,17 @@ def rule_stream(raw: DataFrame, path: str, dlq_path: str, checkpoint: str, sourc
 
 def read_rule_table(spark: SparkSession, path: str) -> DataFrame:
     """All rule updates so far; no rows before the first batch."""
-    return _stored(spark, path, schemas.RULE_UPDATE)
+    return _rule_table(path).read(spark).drop("batch_id")
+
+
+def compact_rule_table(spark: SparkSession, path: str, upto: int) -> None:
+    """Merges the rule updates of all batches up to ``upto``, which must not be the stream's last."""
+    _rule_table(path).compact(spark, upto)
+
+
+def _rule_table(path: str) -> BatchTable:
+    schema = StructType([*schemas.RULE_UPDATE.fields, StructField("batch_id", LongType())])
+    return BatchTable(path, "", schema, "rule_id", "seq")
 
 
 #: Size of the latency sketches: ranks are exact up to about so many rows, and beyond within 0.2 % of the rows.
