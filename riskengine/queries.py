@@ -687,14 +687,14 @@ def decide_stream(spark, sf_dir):
 
 @query
 def decide_stream_compacted(spark, sf_dir):
-    """The same decisions from eight batches whose folders are merged after every second one."""
+    """The same decisions from batches whose folders are merged after every second one."""
     updates = V.rule_updates(spark, sf_dir)
 
     def run(stream, folder):
         decider = jobs.Decider(jobs.DecisionLog(f"{folder}/out"), lambda: updates, CONFIG, PRIORITY, compact_every=2)
         return jobs.decide_stream(stream, decider, f"{folder}/checkpoint", availableNow=True)
 
-    folder = _by_time(spark, sf_dir, run, 8)
+    folder = _by_time(spark, sf_dir, run)
     return jobs.DecisionLog(f"{folder}/out").read(spark).select("transaction_id", "account_id", "rule_hit", "cep_pattern", "decision")
 
 

@@ -73,12 +73,11 @@ class DecisionLog:
         # The days that some row looks back over, so that no other folder is even listed. One old row adds its own days
         # alone.
         back = F.sequence(F.to_date(F.col("event_time") - F.expr(f"INTERVAL {lookback_s} SECONDS")), F.to_date("event_time"))
-        days = batch.select(F.explode(back).alias("day")).distinct().collect()
+        # With them the buckets of its accounts: the merged files of others are not read.
+        found = batch.select(F.explode(back).alias("day"), bucket_of(F.col("account_id")).alias("bucket")).distinct().collect()
         if span.since is None:
             return spark.createDataFrame([], schemas.DECIDED_LOG).select(*LOG_COLUMNS)
-        # At most as many as there are buckets; the merged files of the others are not read.
-        buckets = [r.bucket for r in batch.select(bucket_of(F.col("account_id")).alias("bucket")).distinct().collect()]
-        log = self.rows.read(spark, batch_id - 1, sorted(str(r.day) for r in days if r.day is not None), buckets)
+        log = self.rows.read(spark, batch_id - 1, sorted({str(r.day) for r in found}), sorted({r.bucket for r in found}))
         recent = log.filter(F.col("event_time") >= F.timestamp_micros(F.lit(span.since)))
         return members(recent.select(*LOG_COLUMNS), batch, "account_id", "transaction_id")
 
