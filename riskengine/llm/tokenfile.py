@@ -166,8 +166,8 @@ def write_tokens(
             yield cell()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tokenize, sent)
-    tasks = max(1, min(len(cuts) + 2, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    ordered = source.repartition(tasks, "part").sortWithinPartitions("part", "doc_id", "hash")
+    # A task per part, so tasks do not grow with the table.
+    ordered = source.repartition(len(cuts) + 2, "part").sortWithinPartitions("part", "doc_id", "hash")
     ordered.mapInArrow(build, files).write.mode("overwrite").option("compression", "none").parquet(out)
 
 
