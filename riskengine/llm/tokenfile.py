@@ -166,7 +166,7 @@ def write_tokens(
             yield cell()
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tokenize, sent)
-    # A task per part, so tasks do not grow with the table.
+    # A task per part, so that no task grows with the table.
     ordered = source.repartition(len(cuts) + 2, "part").sortWithinPartitions("part", "doc_id", "hash")
     ordered.mapInArrow(build, files).write.mode("overwrite").option("compression", "none").parquet(out)
 
