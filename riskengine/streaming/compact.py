@@ -38,6 +38,10 @@ def read_or_empty(spark: SparkSession, paths: str | list[str], schema: StructTyp
     return spark.createDataFrame([], schema)
 
 
+#: The folder of rows without a day.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
 def bucket_of(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
@@ -88,14 +92,19 @@ class BatchTable:
         rows = read_or_empty(spark, path, self.schema, self.batches).filter(F.col("batch_id") > after)
         return rows if upto is None else rows.filter(F.col("batch_id") <= upto)
 
+    def _merged_rows(self, spark: SparkSession, at: dict[str, int]) -> DataFrame:
+        """Rows of some days' versions. A folder that the manifest names must be there: its absence is an error."""
+        kept = StructType([*self.schema.fields, *StructType.fromDDL("bucket INT").fields])
+        paths = [f"{self.merged}/version={v}" + (f"/event_date={d}" if self.by_day else "") for d, v in at.items()]
+        if not paths:
+            return spark.createDataFrame([], kept)
+        return spark.read.schema(kept).option("basePath", self.merged).parquet(*paths)
+
     def read(self, spark: SparkSession, upto: int | None = None, days: list[str] | None = None, buckets: list[int] | None = None) -> DataFrame:
         """Rows of the batches up to ``upto``, of some days, and at least those of some buckets."""
         last, at = self.newest(spark)
         tail = self._tail(spark, last, upto, days)
-        wanted = [d for d in at if days is None or d in days]
-        paths = [f"{self.merged}/version={at[d]}" + (f"/event_date={d}" if self.by_day else "") for d in wanted]
-        kept = StructType([*self.schema.fields, *StructType.fromDDL("bucket INT").fields])
-        old = read_or_empty(spark, paths, kept, self.merged)
+        old = self._merged_rows(spark, {d: v for d, v in at.items() if days is None or d in days})
         if buckets is not None:
             old = old.filter(F.col("bucket").isin(buckets))
         if upto is not None:
@@ -109,12 +118,13 @@ class BatchTable:
         if upto <= last:
             return
         tail = self._tail(spark, last, upto, None)
-        days = sorted(str(r[0]) for r in tail.select("event_date").distinct().collect()) if self.by_day else [""]
+        days = [""]
+        if self.by_day:
+            days = [NO_DAY if r[0] is None else str(r[0]) for r in tail.select("event_date").distinct().collect()]
         if days:
-            folders = [f"{self.merged}/version={at[d]}" + (f"/event_date={d}" if self.by_day else "") for d in days if d in at]
-            kept = StructType([*self.schema.fields, *StructType.fromDDL("bucket INT").fields])
             names = self.schema.fieldNames()
-            rows = tail.select(*names).unionByName(read_or_empty(spark, folders, kept, self.merged).select(*names))
+            before = self._merged_rows(spark, {d: at[d] for d in days if d in at})
+            rows = tail.select(*names).unionByName(before.select(*names))
             self._write(rows if reduce is None else reduce(rows), f"{self.merged}/version={upto}")
         named = [(d, v) for d, v in {**at, **{d: upto for d in days}}.items()] or [(None, None)]
         spark.createDataFrame(named, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{self.manifest}/version={upto}")

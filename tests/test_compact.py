@@ -16,8 +16,9 @@ def write(spark, table, batch_id, n=6, change=0):
     rows = []
     for i in range(n):
         time = DAY + timedelta(days=(batch_id + i) % 2, seconds=batch_id)
+        time = None if batch_id == 1 and i == 5 else time  # a row without a time, and so without a day
         account = None if i == 0 else "HOT" if i < 4 else f"A{i}"
-        rows.append((f"{batch_id}-{i}", account, change + i, time, time.date()))
+        rows.append((f"{batch_id}-{i}", account, change + i, time, time and time.date()))
     df = spark.createDataFrame(rows, "transaction_id string, account_id string, amount long, event_time timestamp, event_date date")
     for f in schemas.DECIDED_LOG.fields:
         if f.name not in df.columns:
