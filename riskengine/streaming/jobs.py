@@ -37,7 +37,9 @@ def _first_seen(batch: DataFrame, history: DataFrame) -> DataFrame:
     without an id all stay.
     """
     known = batch.filter(F.col("transaction_id").isNotNull()).dropDuplicates(["transaction_id"])
-    known = known.join(history.select("transaction_id"), "transaction_id", "left_anti").select(*batch.columns)
+    # The history grows with the look-back; Spark, sizing it by its files, would broadcast its ids through the driver.
+    seen = history.select("transaction_id").hint("merge")
+    known = known.join(seen, "transaction_id", "left_anti").select(*batch.columns)
     return known.unionByName(batch.filter(F.col("transaction_id").isNull()))
 
 

@@ -196,3 +196,13 @@ def test_scored_stream_does_not_depend_on_batches(spark, tmp_path, batches):
     got = key(decider.log.read(spark))
     assert got == key(want)
     assert len({v[2] for v in got.values() if v[3] is not None}) == 2
+
+
+def test_replayed_ids_are_not_broadcast(spark):
+    """The history's ids grow with the look-back: they are met by a shuffle, not sent through the driver."""
+    batch = spark.createDataFrame([("1", "a"), ("2", "a"), ("2", "a"), (None, "b")], "transaction_id STRING, account_id STRING")
+    history = spark.createDataFrame([("2", "a"), ("3", "a")], "transaction_id STRING, account_id STRING")
+    first = jobs._first_seen(batch, history)
+    assert sorted(first.collect(), key=str) == sorted([("1", "a"), (None, "b")], key=str)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
