@@ -71,9 +71,11 @@ class PatternProcessor(StatefulProcessor):
             self.expiry = handle.getValueState("expiry", EXPIRY)
 
     def _keep_until(self, at: int) -> None:
-        """One timer per account, moved on as newer rows come; a late row moves nothing."""
-        if self.expiry.exists():
-            before = self.expiry.get()[0]
+        """One timer per account, moved on as newer rows come; a late row moves nothing. Every state call is a round trip
+        to the JVM, so ``get`` (None when there is none) stands for ``exists`` too."""
+        stored = self.expiry.get()
+        if stored is not None:
+            before = stored[0]
             if before >= at:
                 return
             self.handle.deleteTimer(before)
@@ -88,8 +90,8 @@ class PatternProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         n = len(self.steps)
         times, values = [[] for _ in range(n)], [None] * n
-        if self.state.exists():
-            stored = self.state.get()
+        stored = self.state.get()
+        if stored is not None:
             times, values = [list(t) for t in stored[0]], list(stored[1])
         # Rows of one account come in any order within a batch.
         batch = pd.concat(list(rows)).sort_values(["ms", "transaction_id"])
