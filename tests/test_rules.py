@@ -96,6 +96,30 @@ def test_asof_equals_brute_force(spark, monkeypatch, seed, with_neq, few_steps):
     assert rules.apply_rules_asof(tx, table.limit(0)).filter("rule_hit IS NOT NULL").isEmpty()
 
 
+def test_asof_busy_hour_is_not_gathered(spark, monkeypatch):
+    """Few versions in all, but more than FEW_PER_HOUR in one hour: each transaction would test every one of them."""
+    rng = random.Random(6)
+    gathered = []
+    monkeypatch.setattr(rules, "_asof_few", lambda *a: gathered.append(a))
+    updates = []
+    for i, r in enumerate(random_rules(6, 400, True)):
+        at = T0 + timedelta(seconds=10 * i + rng.randrange(5))
+        updates.append({**r, "rule_id": f"R{i % 7}", "enabled": rng.random() < 0.8, "seq": i, "updated_at": at})
+    rows, tx = transactions(spark, seed=6)
+    table = spark.createDataFrame([tuple(u.values()) for u in updates], schemas.RULE_UPDATE)
+
+    def state(t):
+        newest = {}
+        for u in updates:
+            if u["updated_at"] <= t:
+                newest[u["rule_id"]] = u
+        return [u for u in newest.values() if u["enabled"]]
+
+    got = rules.apply_rules_asof(tx, table, "produced_at").collect()
+    assert not gathered
+    assert {r.transaction_id: r.rule_hit for r in got} == {t[0]: first(state(t[3]), t) for t in rows}
+
+
 def test_active_rules_disable_and_replace(spark):
     rows = [("A", "amount", "GT", 1, None, "BLOCK", True, 1, None), ("A", "amount", "GT", 9, None, "BLOCK", True, 3, None),
             ("B", "amount", "GT", 1, None, "BLOCK", True, 2, None), ("B", "amount", "GT", 1, None, "BLOCK", False, 4, None)]
